@@ -1,28 +1,28 @@
-"""``key=value, key=value`` text as regular expressions, which stay inside generated code."""
+"""``key=value, key=value`` text as array expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tickward.functions.text import WHITESPACE, strip
+from tickward.functions.text import strip
 
-_BLANK = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*"
 
-# A field with no "=" at all, or with two of them.
-_BAD_FIELD = r"(?:^|,)[^=,]*(?:,|\z)|=[^=,]*="
+def pairs_of(text: Column) -> Column:
+    """Comma-separated fields, each split at ``=``, last field first."""
+    return F.reverse(F.transform(F.split(text, ",", -1), lambda field: F.split(field, "=", -1)))
 
 
-def is_well_formed(text: Column) -> Column:
-    """Every comma-separated field has exactly one ``=``."""
-    return ~text.rlike(_BAD_FIELD)
+def is_well_formed(pairs: Column) -> Column:
+    """Every field has exactly one ``=``."""
+    return F.forall(pairs, lambda pair: F.size(pair) == 2)
 
 
-def value_of(text: Column, key: str) -> Column:
-    """Stripped value of the last field named ``key`` (any case); NULL when there is none.
+def names_of(pairs: Column) -> Column:
+    """Stripped, lower-cased field names in the order of ``pairs``."""
+    return F.transform(pairs, lambda pair: F.lower(strip(F.get(pair, F.lit(0)))))
 
-    The greedy prefix finds the last match; the kept ``=`` tells an empty value from no field.
-    """
-    pattern = f"(?s)^(?:.*,)?{_BLANK}(?i:{key}){_BLANK}(=[^,]*)"
-    found = F.regexp_extract(text, pattern, 1)
-    return F.when(found != "", strip(F.substring(found, 2, 2147483647)))
+
+def value_of(pairs: Column, names: Column, key: str) -> Column:
+    """Stripped value of the last field named ``key``; NULL when there is none."""
+    return strip(F.get(F.get(pairs, F.array_position(names, key).cast("int") - 1), F.lit(1)))

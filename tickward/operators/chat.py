@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickward.functions.kv import is_well_formed, value_of
+from tickward.functions.kv import is_well_formed, names_of, pairs_of, value_of
 from tickward.functions.text import INVALID_FORMAT
 from tickward.functions.times import utc_iso
 from tickward.operators.decode import Split
@@ -22,14 +22,14 @@ def parse_kv_messages(
     a ``chat_id`` given in the text replaces the sender's. ``rejects`` has ``chat_id, text, reason``.
     """
     text = F.col(text_col)
-    heard = chats.filter(text.isNotNull() & ~text.startswith("/"))
     stamp = utc_iso(F.current_timestamp() if now is None else now)
-    fields = {f.name: value_of(text, f.name) for f in RULE_WIRE.fields if f.name != "created_at"}
-    fields["chat_id"] = F.coalesce(fields["chat_id"], F.col(id_col).cast("string"))
-    good = heard.filter(is_well_formed(text)).select(
-        *[c.alias(name) for name, c in fields.items()], stamp.alias("created_at")
-    )
-    rejects = heard.filter(~is_well_formed(text)).select(
-        F.col(id_col).alias("chat_id"), text.alias("text"), F.lit(INVALID_FORMAT).alias("reason")
+    heard = chats.filter(text.isNotNull() & ~text.startswith("/")).select(
+        F.col(id_col).alias("chat_id"), text.alias("text"), stamp.alias("created_at"), pairs_of(text).alias("_pairs")
     )
+    pairs, names = F.col("_pairs"), F.col("_names")
+    accepted = heard.filter(is_well_formed(pairs)).withColumn("_names", names_of(pairs))
+    fields = {f.name: value_of(pairs, names, f.name) for f in RULE_WIRE.fields if f.name != "created_at"}
+    fields["chat_id"] = F.coalesce(fields["chat_id"], F.col("chat_id").cast("string"))
+    good = accepted.select(*[c.alias(name) for name, c in fields.items()], "created_at")
+    rejects = heard.filter(~is_well_formed(pairs)).select("chat_id", "text", F.lit(INVALID_FORMAT).alias("reason"))
     return Split(good, rejects)

@@ -96,23 +96,21 @@ def render_notifications(fired: DataFrame) -> DataFrame:
 def _hits(fired: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per fired key, with the last ``fired_at`` when the rows carry one.
 
-    The digest joins along with the keys so that the planner cannot reuse this aggregate's
-    partitioning: with both sides shuffled for the join itself, the adaptive skew join can split
-    a key that holds a large share of the other side.
+    Grouping by one struct hides the key columns from the planner on purpose. It can then reuse
+    neither the partitioning of the join that produced ``fired`` for this aggregate, nor the
+    aggregate's for the join that follows: each join is shuffled for itself and reduced on the
+    map side, the shape in which the adaptive skew join may split a hot asset or a hot key.
     """
-    whole = fired.dropna("any", subset=list(keys)).groupBy(*keys)
-    timed = "fired_at" in fired.columns
-    once = whole.agg(F.max("fired_at").alias("_hit_at")) if timed else whole.agg(F.lit(None).alias("_hit_at"))
-    return once.select(
-        *[F.col(k).alias(f"_hit_{k}") for k in keys],
-        F.xxhash64(*keys).alias("_hit_digest"),
-        *(["_hit_at"] if timed else []),
-    )
+    whole = fired.dropna("any", subset=list(keys)).withColumn("_hit", F.struct(*keys))
+    if "fired_at" in fired.columns:
+        once = whole.groupBy("_hit").agg(F.max("fired_at").alias("_hit_at"))
+    else:
+        once = whole.select("_hit").distinct()
+    return once.select(*[F.col(f"_hit.`{k}`").alias(f"_hit_{k}") for k in keys], *once.columns[1:])
 
 
 def _hit_condition(rows: DataFrame, fired: DataFrame, keys: Sequence[str]) -> list[Column]:
     on = [F.col(k) == F.col(f"_hit_{k}") for k in keys]
-    on.append(F.xxhash64(*keys) == F.col("_hit_digest"))
     if "fired_at" in fired.columns and "created_at" in rows.columns:
         on.append(F.col("created_at").isNull() | (F.col("created_at") <= F.col("_hit_at")))
     return on
@@ -129,7 +127,7 @@ def mark_alerted(rules: DataFrame, fired: DataFrame, keys: Sequence[str] = RULE_
     """
     keys = list(keys)
     joined = rules.join(_hits(fired, keys), _hit_condition(rules, fired, keys), "left")
-    flag = F.when(F.col("_hit_digest").isNotNull(), F.lit(True)).otherwise(F.col("is_alerted"))
+    flag = F.when(F.col(f"_hit_{keys[0]}").isNotNull(), F.lit(True)).otherwise(F.col("is_alerted"))
     return joined.select(*[flag.alias(c) if c == "is_alerted" else F.col(c) for c in rules.columns])
 
 
