@@ -1,0 +1,75 @@
+import pytest
+
+from helpers import at, rows, rule, rules, tick, ticks
+from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, run_turn
+from tickward.schemas import RULE, TICK
+from tickward.sources.files import read_version
+
+
+def sample(spark):
+    stored = rules(
+        spark,
+        rule(1),
+        rule(2, loss=50.0, profit=200.0),
+        rule(3, flag=True),
+        rule(4, flag=None),
+        rule(0),
+        rule(None),
+        rule(5, profit=None),
+        rule(6, "Ether"),
+    )
+    return stored, ticks(spark, tick(price=150.0), tick(price=1.0, ts=at("2024-12-31 00:00:00")))
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_one_cycle(spark, out, stored):
+    df, feed = sample(spark)
+    cycle = evaluate_cycle(df, feed, store=out if stored else None)
+    assert rows(cycle.fired, "chat_id", "side") == [(0, "profit"), (1, "profit"), (None, "profit")]
+    assert rows(cycle.notifications, "chat_id") == [(1,)]
+    assert rows(cycle.rejects, "chat_id") == [(5,)]
+    flags = {r["chat_id"]: r["is_alerted"] for r in cycle.rules.collect()}
+    assert flags == {0: True, 1: True, 2: False, 3: True, 4: None, 5: False, 6: False, None: False}
+
+
+def test_second_turn_is_silent(spark, out):
+    df, feed = sample(spark)
+    df = df.filter("chat_id is not null")
+    assert [run_turn(df, feed, out) for _ in range(2)] == [0, 1]
+    assert rows(fired_log(spark, out, df), "chat_id", "batch_id") == [(0, 0), (1, 0)]
+    assert spark.read.parquet(f"{out}/notifications/batch_id=1").count() == 0
+
+
+def test_replayed_turn_repeats_its_result(spark, out):
+    df, feed = sample(spark)
+    run_turn(df, feed, out, 0)
+    before = rows(spark.read.parquet(f"{out}/notifications"), "notification_id", "chat_id", "text")
+    run_turn(df, feed, out, 0)
+    assert rows(spark.read.parquet(f"{out}/notifications"), "notification_id", "chat_id", "text") == before
+
+
+def test_rule_added_after_it_fired_fires_again(spark, out):
+    feed = ticks(spark, tick(price=150.0))
+    run_turn(rules(spark, rule(1, created=at("2025-01-01"))), feed, out)
+    again = rules(spark, rule(1, created=at("2099-01-01")))
+    run_turn(again, feed, out)
+    assert rows(fired_log(spark, out, again), "batch_id") == [(0,), (1,)]
+
+
+def test_compaction_folds_the_log(spark, out):
+    df, feed = sample(spark)
+    run_turn(df, feed, f"{out}/turns")
+    log = fired_log(spark, f"{out}/turns", df)
+    compact_rules(df, log, f"{out}/rules", 0, purge=False)
+    compact_rules(df, log, f"{out}/rules", 1)
+    kept = read_version(spark, f"{out}/rules", RULE)
+    assert rows(kept, "chat_id") == [(2,), (4,), (5,), (6,), (None,)]
+    assert read_version(spark, f"{out}/rules", RULE, before=1).filter("is_alerted").count() == 3
+
+
+def test_no_ticks_nothing_fires(spark, out):
+    df, _ = sample(spark)
+    empty = spark.createDataFrame([], TICK)
+    cycle = evaluate_cycle(df, empty)
+    assert cycle.fired.count() == cycle.notifications.count() == 0
+    assert rows(cycle.rules, "chat_id", "is_alerted") == rows(df, "chat_id", "is_alerted")

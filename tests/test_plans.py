@@ -1,0 +1,106 @@
+"""Plan shapes that decide whether the operators hold on large, skewed tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF
+from helpers import final_plan
+from tickward.operators.latest import latest_per_key
+from tickward.operators.rules import evaluate_thresholds, latest_ticks, mark_alerted, match_rules
+from tickward.plans.cycle import evaluate_cycle
+from tickward.plans.workloads import QUERIES
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Thresholds scaled down to the test data, broadcast off."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rules(spark, n=40_000):
+    """A third of all rules on asset 0, and a third of them with one and the same key."""
+    hot = F.col("id") % 3 == 0
+    return spark.range(0, n, 1, 8).select(
+        F.when(hot, 0).otherwise(F.col("id")).alias("chat_id"),
+        F.when(hot, 0).otherwise(F.col("id") % 1000).alias("crypto_type"),
+        F.lit(100.0).alias("purchase_price"),
+        F.rand(1).alias("desired_profit_percentage"),
+        F.rand(2).alias("desired_loss_percentage"),
+        F.lit(False).alias("is_alerted"),
+    )
+
+
+def feed(spark, n=20_000):
+    return spark.range(0, n, 1, 8).select(
+        (F.col("id") % 1000).alias("id"),
+        (F.col("id") % 1000).alias("name"),
+        F.lit(200.0).alias("current_price"),
+        F.timestamp_seconds("id").alias("last_updated"),
+    )
+
+
+def test_hot_asset_is_split(spark, small_limits):
+    matched = match_rules(hot_rules(spark), latest_ticks(feed(spark)))
+    plan = final_plan(evaluate_thresholds(matched))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert matched.count() == 40_000
+
+
+def test_hot_key_is_split_when_flagging(spark, small_limits):
+    rules = hot_rules(spark)
+    marked = mark_alerted(rules, rules.filter("chat_id < 10"))
+    assert "SortMergeJoin(skew=true)" in final_plan(marked)
+    assert marked.count() == 40_000
+    assert marked.filter("is_alerted").count() == rules.filter("chat_id < 10").count()
+
+
+def test_cycle_splits_the_hot_asset_before_flagging(spark, small_limits):
+    rules = hot_rules(spark)
+    updated = evaluate_cycle(rules, feed(spark)).rules
+    assert final_plan(updated).count("SortMergeJoin(skew=true)") == 2
+    assert updated.filter("is_alerted").count() == 40_000
+
+
+def test_latest_aggregates_before_the_shuffle(spark):
+    plan = final_plan(latest_per_key(feed(spark), ["id"], "last_updated"))
+    assert "partial_max" in plan and "Window" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fired_keys_are_reduced_before_the_shuffle(spark, small_limits):
+    rules = hot_rules(spark)
+    hot = mark_alerted(rules, rules.filter("chat_id = 0"))
+    assert "HashAggregate" in final_plan(hot)
+
+
+def test_small_tick_side_is_broadcast_by_its_size(spark):
+    plan = final_plan(match_rules(hot_rules(spark), latest_ticks(feed(spark))))
+    assert "BroadcastHashJoin" in plan
+
+
+BATCH = [n for n in QUERIES if not n.startswith(("stream_", "alert_stream", "cycle_turns", "compact_", "archive_"))]
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_python_and_no_cross_join(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("Python", "CartesianProduct", "NestedLoop", "Window", "CollectLimit"):
+        assert bad not in plan
+
+
+def test_flag_filter_reaches_the_scan(spark):
+    plan = QUERIES["threshold_alerts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Not(EqualTo(l_returnflag,R))" in plan
+    assert "l_linestatus" not in plan and "l_suppkey" not in plan
