@@ -73,3 +73,13 @@ def test_no_ticks_nothing_fires(spark, out):
     cycle = evaluate_cycle(df, empty)
     assert cycle.fired.count() == cycle.notifications.count() == 0
     assert rows(cycle.rules, "chat_id", "is_alerted") == rows(df, "chat_id", "is_alerted")
+
+
+def test_folded_turns_are_not_read_again(spark, out):
+    df, feed = sample(spark)
+    df = df.filter("chat_id is not null")
+    run_turn(df, feed, f"{out}/turns")
+    compact_rules(df, fired_log(spark, f"{out}/turns", df), f"{out}/rules", 0)
+    stored = read_version(spark, f"{out}/rules", RULE)
+    run_turn(stored, feed, f"{out}/turns", folded=0)
+    assert rows(fired_log(spark, f"{out}/turns", df), "chat_id", "batch_id") == [(0, 0), (1, 0)]

@@ -63,4 +63,4 @@ def test_predicates_reach_the_scan(spark, out):
     assert "GreaterThanOrEqual(last_updated" in pushed(day_slice(df, "last_updated", "2025-01-01"))
     assert "LessThan(last_updated" in pushed(day_slice(df, "last_updated", "2025-01-01"))
     assert "GreaterThanOrEqual(last_updated" in pushed(purge_expired(df, as_of=NOW))
-    assert "EqualTo(is_alerted,false)" in pushed(purge_flagged(df)).replace(" ", "")
+    assert "Or(IsNull(is_alerted),Not(EqualTo(is_alerted,true)))" in pushed(purge_flagged(df)).replace(" ", "")

@@ -84,19 +84,21 @@ def run_turn(
     *,
     tiebreak: Sequence[str] = (),
     keys: Sequence[str] = RULE_KEY,
+    folded: int = -1,
 ) -> int:
     """Run one turn, store what it did under ``out`` and return its number.
 
     Writes, in this order: ``outcome`` (evaluated rows), ``notifications``, ``fired`` (keys and
     time), each in a folder for the turn. Work and writes follow the number of fired rules; the
-    rules table itself is not rewritten. Earlier turns' keys count as flagged. A turn that died
-    is not in ``fired`` and runs again under its number, replacing its own output.
+    rules table itself is not rewritten. Earlier turns' keys count as flagged; turns up to
+    ``folded`` are in the rules table already (``compact_rules``) and their folders are not read.
+    A turn that died is not in ``fired`` and runs again under its number, replacing its output.
     """
     keys = list(keys)
     spark = rules.sparkSession
     if turn is None:
         turn = max(committed(spark, f"{out}/fired", "batch_id"), default=-1) + 1
-    log = fired_log(spark, out, rules, keys).filter(F.col("batch_id") < turn)
+    log = fired_log(spark, out, rules, keys).filter((F.col("batch_id") > folded) & (F.col("batch_id") < turn))
     cycle = evaluate_cycle(
         rules, ticks, tiebreak=tiebreak, keys=keys, already=log, store=f"{out}/outcome/batch_id={turn}"
     )
@@ -115,7 +117,7 @@ def compact_rules(
     purge: bool = True,
 ) -> None:
     """Fold the fired log into the rules table as a new version, without the flagged rules if
-    ``purge``. Flag values get a folder each, so a pending scan never opens flagged rules."""
+    ``purge``. Flag values get a folder each, so a pending scan never opens flagged rules. The
+    join's own partitions are written as they are; rules are not shuffled again."""
     marked = mark_alerted(rules, log, keys)
-    kept = purge_flagged(marked) if purge else marked
-    write_version(kept.hint("rebalance", "is_alerted"), root, version, ["is_alerted"])
+    write_version(purge_flagged(marked) if purge else marked, root, version, ["is_alerted"])

@@ -59,9 +59,9 @@ def _unit_price() -> Column:
     return F.try_divide("l_extendedprice", "l_quantity")
 
 
-def line_ticks(spark: SparkSession, sf_dir: str, price: Column | None = None) -> DataFrame:
+def line_ticks(lines: DataFrame, price: Column | None = None) -> DataFrame:
     """Each line as a tick of its part."""
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.col("l_partkey").alias("id"),
         F.col("l_partkey").alias("name"),
         (_unit_price() if price is None else price).alias("current_price"),
@@ -71,8 +71,7 @@ def line_ticks(spark: SparkSession, sf_dir: str, price: Column | None = None) ->
 
 
 def line_rules(
-    spark: SparkSession,
-    sf_dir: str,
+    lines: DataFrame,
     *,
     flag: Column | None = None,
     price: Column | None = None,
@@ -80,7 +79,7 @@ def line_rules(
     loss: Column | None = None,
 ) -> DataFrame:
     """Each line as a rule of its order on its part; returned lines count as flagged."""
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").alias("chat_id"),
         F.col("l_partkey").alias("crypto_type"),
         (_unit_price() if price is None else price).alias("purchase_price"),
@@ -154,20 +153,19 @@ def order_wire_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matched = match_rules(
-        pending_rules(line_rules(spark, sf_dir)), latest_ticks(line_ticks(spark, sf_dir), LINE_TIEBREAK)
-    )
+    lines = table(spark, sf_dir, "lineitem")
+    matched = match_rules(pending_rules(line_rules(lines)), latest_ticks(line_ticks(lines), LINE_TIEBREAK))
     return fired_only(evaluate_thresholds(matched)).drop("created_at")
 
 
 def rejected_operands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
     rules = line_rules(
-        spark,
-        sf_dir,
+        lines,
         profit=F.when(F.col("l_tax") == 0, F.lit(float("nan"))).otherwise(F.col("l_tax") * 100),
         loss=F.when(F.col("l_discount") != 0, F.col("l_discount") * 100),
     )
-    matched = match_rules(pending_rules(rules), latest_ticks(line_ticks(spark, sf_dir), LINE_TIEBREAK))
+    matched = match_rules(pending_rules(rules), latest_ticks(line_ticks(lines), LINE_TIEBREAK))
     return threshold_rejects(matched).drop("created_at", "desired_profit_percentage")
 
 
@@ -180,7 +178,7 @@ def latest_by_user_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_ticks(line_ticks(spark, sf_dir), LINE_TIEBREAK)
+    return latest_ticks(line_ticks(table(spark, sf_dir, "lineitem")), LINE_TIEBREAK)
 
 
 def pending_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,9 +188,9 @@ def pending_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice")
-    rules = line_rules(spark, sf_dir, price=price, profit=F.col("l_quantity"), loss=F.col("l_quantity"))
-    return evaluate_cycle(rules, line_ticks(spark, sf_dir, price), tiebreak=LINE_TIEBREAK).notifications
+    lines, price = table(spark, sf_dir, "lineitem"), F.col("l_extendedprice")
+    rules = line_rules(lines, price=price, profit=F.col("l_quantity"), loss=F.col("l_quantity"))
+    return evaluate_cycle(rules, line_ticks(lines, price), tiebreak=LINE_TIEBREAK).notifications
 
 
 # -- wire formats ----------------------------------------------------------------------------
@@ -305,12 +303,14 @@ def archived_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cycle_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = line_rules(spark, sf_dir, flag=_three_valued_flag())
-    return evaluate_cycle(rules, line_ticks(spark, sf_dir), tiebreak=LINE_TIEBREAK).rules
+    lines = table(spark, sf_dir, "lineitem")
+    rules = line_rules(lines, flag=_three_valued_flag())
+    return evaluate_cycle(rules, line_ticks(lines), tiebreak=LINE_TIEBREAK).rules
 
 
 def _two_turns(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
-    rules, ticks = line_rules(spark, sf_dir, flag=_three_valued_flag()), line_ticks(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem")
+    rules, ticks = line_rules(lines, flag=_three_valued_flag()), line_ticks(lines)
     for _ in range(2):
         run_turn(rules, ticks, out, tiebreak=LINE_TIEBREAK)
     return rules

@@ -30,14 +30,15 @@ def read_archive(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(full).parquet(path) if _exists(spark, path) else spark.createDataFrame([], full)
 
 
-def archive_day(df: DataFrame, ts: str, path: str, day: dt.date | str, column: str = "date") -> str:
-    """Write the rows of one day under ``<column>=YYYY-MM-DD`` and return that folder.
+def archive_day(df: DataFrame, ts: str, path: str, day: dt.date | str | None = None, column: str = "date") -> str:
+    """Write the rows of one day (today by default) under ``<column>=YYYY-MM-DD``; returns the folder.
 
     A re-run replaces the day. The rebalance evens out files whatever share of the slice a
     single input file holds.
     """
-    folder = f"{path}/{column}={_iso_day(day)}"
-    day_slice(df, ts, str(day)).hint("rebalance").write.mode("overwrite").parquet(folder)
+    day = _iso_day(day)
+    folder = f"{path}/{column}={day}"
+    day_slice(df, ts, day).hint("rebalance").write.mode("overwrite").parquet(folder)
     return folder
 
 
@@ -57,8 +58,9 @@ def archive_by_day(df: DataFrame, ts: str, path: str, column: str = "date") -> N
     )
 
 
-def archive_snapshot(df: DataFrame, path: str, day: dt.date | str, column: str = "date") -> str:
-    """Write the whole table under ``<column>=YYYY-MM-DD``, replacing an earlier run of that day."""
+def archive_snapshot(df: DataFrame, path: str, day: dt.date | str | None = None, column: str = "date") -> str:
+    """Write the whole table under ``<column>=YYYY-MM-DD`` (today by default), replacing an
+    earlier run of that day."""
     folder = f"{path}/{column}={_iso_day(day)}"
     df.write.mode("overwrite").parquet(folder)
     return folder
@@ -110,7 +112,9 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     return old
 
 
-def _iso_day(day: dt.date | str) -> str:
+def _iso_day(day: dt.date | str | None) -> str:
+    if day is None:
+        return dt.datetime.now(dt.timezone.utc).date().isoformat()
     return dt.date.fromisoformat(str(day)[:10]).isoformat()
 
 

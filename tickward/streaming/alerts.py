@@ -21,19 +21,21 @@ def alert_stream(
     *,
     tiebreak: Sequence[str] = (),
     keys: Sequence[str] = RULE_KEY,
+    folded: int = -1,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Run one turn per micro-batch over its latest ticks, each rule alerting once.
 
     Rules are read again per batch. The turn number is the batch id, so a replayed batch ignores
-    its own log entry and overwrites it.
+    its own log entry and overwrites it. ``folded`` is the last turn the rules table contains.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
-                run_turn(load_rules(batch.sparkSession), batch, out, batch_id, tiebreak=tiebreak, keys=keys)
+                rules = load_rules(batch.sparkSession)
+                run_turn(rules, batch, out, batch_id, tiebreak=tiebreak, keys=keys, folded=folded)
         finally:
             batch.unpersist()
 

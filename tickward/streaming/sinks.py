@@ -15,8 +15,9 @@ Sink = Callable[[DataFrame, int], None]
 
 
 def archive_sink(path: str) -> Sink:
-    """Append-only Parquet, one folder per batch; a replayed batch replaces itself."""
-    return lambda batch, batch_id: append_archive(batch, path, batch_id)
+    """Append-only Parquet, one folder per batch; a replayed batch replaces itself. The rebalance
+    keeps a small batch from becoming one file per source partition."""
+    return lambda batch, batch_id: append_archive(batch.hint("rebalance"), path, batch_id)
 
 
 def jdbc_append_sink(url: str, table: str, **options: object) -> Sink:
