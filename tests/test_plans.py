@@ -9,6 +9,7 @@ from tickward.operators.latest import latest_per_key
 from tickward.operators.rules import evaluate_thresholds, latest_ticks, mark_alerted, match_rules
 from tickward.plans.cycle import evaluate_cycle
 from tickward.plans.workloads import QUERIES
+from tickward.sources.files import stored
 
 
 @pytest.fixture
@@ -90,6 +91,17 @@ def test_small_tick_side_is_broadcast_by_its_size(spark):
     assert "BroadcastHashJoin" in plan
 
 
+def test_stored_tick_side_spares_the_rules_a_shuffle(spark, out):
+    latest = stored(latest_ticks(feed(spark)), out)
+    plan = final_plan(evaluate_thresholds(match_rules(hot_rules(spark), latest)))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_large_stored_tick_side_is_not_broadcast(spark, small_limits, out):
+    latest = stored(latest_ticks(feed(spark)), out)
+    assert "Broadcast" not in final_plan(match_rules(hot_rules(spark), latest))
+
+
 BATCH = [n for n in QUERIES if not n.startswith(("stream_", "alert_stream", "cycle_turns", "compact_", "archive_"))]
 
 

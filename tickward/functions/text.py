@@ -37,8 +37,12 @@ def money(c: Column) -> Column:
 
 
 def plain(c: Column) -> Column:
-    """Shortest decimal text; ``cast`` would switch to ``1.0E7`` from ten million on."""
-    return F.call_function("format_number", c, F.lit(PLAIN_FORMAT))
+    """Shortest decimal text. ``cast`` gives it cheaply, but switches to ``1.0E7`` from ten million
+    on and to ``1.0E-4`` below a thousandth; the number format takes those."""
+    size = F.abs(c)
+    return F.when((size >= 0.001) & (size < 10000000), c.cast("string")).otherwise(
+        F.call_function("format_number", c, F.lit(PLAIN_FORMAT))
+    )
 
 
 def fill(template: str, **parts: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +24,26 @@ from tickward.operators.rules import (
     without_alerted,
 )
 from tickward.schemas import RULE_KEY
-from tickward.sources.files import append_archive, committed, read_archive, write_version
+from tickward.sources.files import append_archive, committed, read_archive, stored, write_version
 
 
-class Cycle(NamedTuple):
+@dataclass(frozen=True)
+class Cycle:
+    """What one evaluation gives: rows that fired, rows that could not be evaluated, and, built
+    on demand, the notifications and the rules with the fired ones flagged."""
+
     fired: DataFrame
     rejects: DataFrame
-    notifications: DataFrame
-    rules: DataFrame
+    evaluated: DataFrame
+    keys: Sequence[str]
 
+    @property
+    def notifications(self) -> DataFrame:
+        return render_notifications(self.fired)
 
-def evaluated_pairs(rules: DataFrame, ticks: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Pending rules with the latest tick of their asset, thresholds and side."""
-    return evaluate_thresholds(match_rules(pending_rules(rules), latest_ticks(ticks, tiebreak)))
+    @property
+    def rules(self) -> DataFrame:
+        return mark_alerted(self.evaluated, self.fired, self.keys)
 
 
 def evaluate_cycle(
@@ -48,26 +55,29 @@ def evaluate_cycle(
     already: DataFrame | None = None,
     store: str | None = None,
 ) -> Cycle:
-    """Evaluate pending rules once: who fired, who could not be evaluated, the notifications,
-    and the rules with the fired ones flagged.
+    """Evaluate pending rules against the latest tick of their asset, once.
 
     ``already`` holds keys that fired before and are not flagged in ``rules`` yet; they are
-    removed from the outcome, which is far smaller than the rules. With ``store``, the outcome is
-    written there once and everything else reads it back, so notifications and flags agree even
-    if the ticks change meanwhile. Without it the result is one lazy plan per output.
+    removed from the outcome, which is far smaller than the rules.
+
+    With ``store``, the latest ticks and then the outcome are written there and read back. The
+    first lets the planner see the real size of the tick side: if it is below the broadcast
+    threshold, the rules are joined where they are read, without a shuffle. The second makes
+    notifications and flags agree even if the ticks change meanwhile. Without ``store`` the
+    result is one lazy plan per output, and the join strategy is settled at run time.
     """
-    pairs = evaluated_pairs(rules, ticks, tiebreak)
+    latest = latest_ticks(ticks, tiebreak)
+    if store is not None:
+        latest = stored(latest, f"{store}/latest")
+    pairs = evaluate_thresholds(match_rules(pending_rules(rules), latest))
     if store is None and already is None:
-        fired, rejects = fired_only(pairs), threshold_rejects(pairs)
-    else:
-        outcome = pairs.filter(F.col("side").isNotNull() | unusable(*[F.col(c) for c in OPERANDS]))
-        if already is not None:
-            outcome = without_alerted(outcome, already, keys)
-        if store is not None:
-            outcome.write.mode("overwrite").parquet(store)
-            outcome = outcome.sparkSession.read.schema(outcome.schema).parquet(store)
-        fired, rejects = fired_only(outcome), outcome.filter(F.col("side").isNull())
-    return Cycle(fired, rejects, render_notifications(fired), mark_alerted(rules, fired, keys))
+        return Cycle(fired_only(pairs), threshold_rejects(pairs), rules, keys)
+    outcome = pairs.filter(F.col("side").isNotNull() | unusable(*[F.col(c) for c in OPERANDS]))
+    if already is not None:
+        outcome = without_alerted(outcome, already, keys)
+    if store is not None:
+        outcome = stored(outcome, f"{store}/outcome")
+    return Cycle(fired_only(outcome), outcome.filter(F.col("side").isNull()), rules, keys)
 
 
 def fired_log(spark: SparkSession, out: str, rules: DataFrame, keys: Sequence[str] = RULE_KEY) -> DataFrame:
@@ -88,8 +98,8 @@ def run_turn(
 ) -> int:
     """Run one turn, store what it did under ``out`` and return its number.
 
-    Writes, in this order: ``outcome`` (evaluated rows), ``notifications``, ``fired`` (keys and
-    time), each in a folder for the turn. Work and writes follow the number of fired rules; the
+    Writes, in this order: ``work`` (latest ticks, evaluated rows), ``notifications``, ``fired``
+    (keys and time), each in a folder for the turn. Work and writes follow the number of fired rules; the
     rules table itself is not rewritten. Earlier turns' keys count as flagged; turns up to
     ``folded`` are in the rules table already (``compact_rules``) and their folders are not read.
     A turn that died is not in ``fired`` and runs again under its number, replacing its output.
@@ -100,7 +110,7 @@ def run_turn(
         turn = max(committed(spark, f"{out}/fired", "batch_id"), default=-1) + 1
     log = fired_log(spark, out, rules, keys).filter((F.col("batch_id") > folded) & (F.col("batch_id") < turn))
     cycle = evaluate_cycle(
-        rules, ticks, tiebreak=tiebreak, keys=keys, already=log, store=f"{out}/outcome/batch_id={turn}"
+        rules, ticks, tiebreak=tiebreak, keys=keys, already=log, store=f"{out}/work/batch_id={turn}"
     )
     append_archive(cycle.notifications, f"{out}/notifications", turn)
     append_archive(cycle.fired.select(*keys, F.current_timestamp().alias("fired_at")), f"{out}/fired", turn)

@@ -120,7 +120,8 @@ _REJECTED_RULES = f"""
 _EVENT_TICKS = """
     SELECT user_id::VARCHAR AS id, event_type AS symbol, 'asset ' || user_id::VARCHAR AS name,
            value AS current_price, event_id AS market_cap, user_id AS total_volume,
-           least((day(ts) - 1) // 10, 2)::BIGINT AS batch_id
+           CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN 2 WHEN ts >= TIMESTAMP '2024-01-11' THEN 1 ELSE 0 END::BIGINT
+               AS batch_id
     FROM events
 """
 
@@ -254,11 +255,12 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT translate(text, chr(13) || chr(10), '  '), 'no declared field could be read', 1::BIGINT
         FROM conversations""",
-    "alert_stream": """
-        WITH latest AS (
-            SELECT user_id, value, least((day(ts) - 1) // 10, 2)::BIGINT AS batch_id FROM events
-            QUALIFY row_number() OVER (
-                PARTITION BY user_id, least((day(ts) - 1) // 10, 2) ORDER BY ts DESC, event_id DESC) = 1)
+    "alert_stream": f"""
+        WITH sliced AS (
+            SELECT e.*, t.batch_id FROM events e JOIN ({_EVENT_TICKS}) t ON e.event_id = t.market_cap),
+        latest AS (
+            SELECT * FROM sliced
+            QUALIFY row_number() OVER (PARTITION BY user_id, batch_id ORDER BY ts DESC, event_id DESC) = 1)
         SELECT c_custkey AS chat_id, c_custkey AS crypto_type, 250.0::DOUBLE AS purchase_price,
                min(batch_id) AS batch_id
         FROM customer JOIN latest ON c_custkey = user_id

@@ -46,6 +46,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LINE_TIEBREAK = ["l_orderkey", "l_linenumber"]
 AVAILABLE = {"availableNow": True}
+SLICE_BOUNDS = ["2024-01-11 00:00:00", "2024-01-21 00:00:00"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -333,10 +334,15 @@ def compacted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams ---------------------------------------------------------------------------------
 
 
-def _slices(df: DataFrame, ts: str = "ts", days: int = 10, count: int = 3) -> list[DataFrame]:
-    """Split by day of month into consecutive spans, so a stream arrives in several batches."""
-    span = F.least(F.floor((F.dayofmonth(ts) - 1) / days), F.lit(count - 1))
-    return [df.filter(span == i) for i in range(count)]
+def _slices(df: DataFrame, ts: str = "ts") -> list[DataFrame]:
+    """Split into consecutive spans, so that a stream arrives in several batches."""
+    bounds = [F.lit(b).cast(df.schema[ts].dataType) for b in SLICE_BOUNDS]
+    t = F.col(ts)
+    return [
+        df.filter(t.isNull() | (t < bounds[0])),
+        df.filter((t >= bounds[0]) & (t < bounds[1])),
+        df.filter(t >= bounds[1]),
+    ]
 
 
 def _land_and_ingest(spark: SparkSession, slices: list[DataFrame], label: str, ingest, **kwargs) -> str:

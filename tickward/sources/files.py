@@ -19,6 +19,13 @@ from tickward.operators.retention import day_slice
 COMMIT_MARK = "_SUCCESS"
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` and continue from the files: evaluated once, of known size, and safe against
+    a lost executor."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_archive(df: DataFrame, path: str, batch_id: int) -> None:
     """Add one batch under ``batch_id=N``; writing the same batch again replaces it."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
