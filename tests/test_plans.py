@@ -116,3 +116,14 @@ def test_flag_filter_reaches_the_scan(spark):
     plan = QUERIES["threshold_alerts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Not(EqualTo(l_returnflag,R))" in plan
     assert "l_linestatus" not in plan and "l_suppkey" not in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "call"),
+    [("decode_ticks", "from_json("), ("decode_rejects", "from_json("), ("kv_rules", "split("), ("kv_rejects", "split(")],
+)
+def test_text_is_parsed_once(spark, name, call):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan()
+    nodes = [line for line in plan.toString().splitlines() if call in line]
+    operators = [line for line in nodes if line.lstrip(" :+-*()0123456789").startswith(("Generate", "Filter", "Project"))]
+    assert all(line.lstrip(" :+-*()0123456789").startswith("Generate") for line in operators) and operators

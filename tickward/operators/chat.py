@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickward.functions.kv import is_well_formed, names_of, pairs_of, value_of
+from tickward.functions.once import once
 from tickward.functions.text import INVALID_FORMAT
 from tickward.functions.times import utc_iso
 from tickward.operators.decode import Split
@@ -24,7 +25,7 @@ def parse_kv_messages(
     text = F.col(text_col)
     stamp = utc_iso(F.current_timestamp() if now is None else now)
     heard = chats.filter(text.isNotNull() & ~text.startswith("/")).select(
-        F.col(id_col).alias("chat_id"), text.alias("text"), stamp.alias("created_at"), pairs_of(text).alias("_pairs")
+        F.col(id_col).alias("chat_id"), text.alias("text"), stamp.alias("created_at"), once(pairs_of(text)).alias("_pairs")
     )
     pairs, names = F.col("_pairs"), F.col("_names")
     accepted = heard.filter(is_well_formed(pairs)).withColumn("_names", names_of(pairs))

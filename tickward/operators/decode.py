@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickward.functions.once import once
 from tickward.functions.times import wire_timestamp
-from tickward.schemas import TICK_WIRE
+from tickward.schemas import RULE_WIRE, TICK_WIRE
 
 CHAT_ID_REASON = "chat_id is not a whole number"
 DECODE_REASON = "no declared field could be read"
@@ -24,8 +25,23 @@ class Split(NamedTuple):
     rejects: DataFrame
 
 
-def _all_null(schema: T.StructType) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"`{f.name}`").isNull() for f in schema.fields])
+def split_tagged(tagged: DataFrame) -> Split:
+    """Separate rows by ``_reject``, the reason why a message was set aside."""
+    reason = F.col("_reject")
+    return Split(
+        tagged.filter(reason.isNull()).drop("_raw", "_reject"),
+        tagged.filter(reason.isNotNull()).select(F.col("_raw").alias("value"), reason.alias("reason")),
+    )
+
+
+def tag_messages(
+    messages: DataFrame, schema: T.StructType, value: str = "value", carry: Sequence[str] = ()
+) -> DataFrame:
+    """The columns of ``schema``, the ``carry`` columns, the message as ``_raw`` and ``_reject``."""
+    raw = messages.select(F.col(value).cast("string").alias("_raw"), *carry)
+    parsed = raw.select("_raw", *carry, once(F.from_json("_raw", schema)).alias("_data"))
+    empty = reduce(lambda a, b: a & b, [F.col(f"_data.`{f.name}`").isNull() for f in schema.fields])
+    return parsed.select("_data.*", *carry, "_raw", F.when(empty, F.lit(DECODE_REASON)).alias("_reject"))
 
 
 def decode_messages(
@@ -36,41 +52,52 @@ def decode_messages(
     Undeclared fields are dropped and a field of the wrong type becomes NULL. A message without
     a single readable field goes to ``rejects`` as ``value, reason``.
     """
-    raw = messages.select(F.col(value).cast("string").alias("_raw"), *carry)
-    decoded = raw.select("_raw", F.from_json("_raw", schema).alias("_data"), *carry).select("_raw", "_data.*", *carry)
-    empty = _all_null(schema)
-    return Split(
-        decoded.filter(~empty).drop("_raw"),
-        decoded.filter(empty).select(F.col("_raw").alias("value"), F.lit(DECODE_REASON).alias("reason")),
-    )
+    return split_tagged(tag_messages(messages, schema, value, carry))
+
+
+def tag_ticks(messages: DataFrame, value: str = "value") -> DataFrame:
+    if "last_updated" not in messages.columns:
+        messages = messages.withColumn("last_updated", F.current_timestamp())
+    return tag_messages(messages, TICK_WIRE, value, carry=["last_updated"])
 
 
 def decode_ticks(messages: DataFrame, value: str = "value") -> Split:
     """Tick messages to stored ticks. ``last_updated`` is the arrival stamp the messages carry,
     or the current instant."""
-    if "last_updated" not in messages.columns:
-        messages = messages.withColumn("last_updated", F.current_timestamp())
-    return decode_messages(messages, TICK_WIRE, value, carry=["last_updated"])
+    return split_tagged(tag_ticks(messages, value))
+
+
+def _typed() -> list[Column]:
+    """Text columns of a rule message as columns of a stored rule."""
+    numbers = ["purchase_price", "desired_profit_percentage", "desired_loss_percentage"]
+    return [
+        F.col("chat_id").try_cast("long").alias("chat_id"),
+        F.col("crypto_type"),
+        *[F.col(c).try_cast("double").alias(c) for c in numbers],
+        wire_timestamp(F.col("created_at")).alias("created_at"),
+        F.lit(False).alias("is_alerted"),
+    ]
+
+
+def _bad_chat() -> Column:
+    chat = F.col("chat_id")
+    return chat.isNotNull() & chat.try_cast("long").isNull()
+
+
+def tag_rules(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Rule messages to stored rules with ``_raw`` and ``_reject``, decoded once."""
+    reason = F.coalesce(F.col("_reject"), F.when(_bad_chat(), F.lit(CHAT_ID_REASON)))
+    return tag_messages(messages, RULE_WIRE, value).select(*_typed(), "_raw", reason.alias("_reject"))
 
 
 def type_rules(wire: DataFrame) -> Split:
     """Text fields to stored types. Unreadable numbers and times become NULL (such a rule cannot
     fire); a ``chat_id`` that is given but is no whole number rejects the rule."""
-    chat = F.col("chat_id").try_cast("long")
-    bad_chat = F.col("chat_id").isNotNull() & chat.isNull()
-    typed = wire.filter(~bad_chat).select(
-        chat.alias("chat_id"),
-        "crypto_type",
-        F.col("purchase_price").try_cast("double").alias("purchase_price"),
-        F.col("desired_profit_percentage").try_cast("double").alias("desired_profit_percentage"),
-        F.col("desired_loss_percentage").try_cast("double").alias("desired_loss_percentage"),
-        wire_timestamp(F.col("created_at")).alias("created_at"),
-        F.lit(False).alias("is_alerted"),
-    )
-    rejects = wire.filter(bad_chat).select(
-        F.to_json(F.struct(*wire.columns)).alias("value"), F.lit(CHAT_ID_REASON).alias("reason")
+    rejects = wire.filter(_bad_chat()).select(
+        F.to_json(F.struct(*wire.columns), {"ignoreNullFields": "false"}).alias("value"),
+        F.lit(CHAT_ID_REASON).alias("reason"),
     )
-    return Split(typed, rejects)
+    return Split(wire.filter(~_bad_chat()).select(*_typed()), rejects)
 
 
 def encode_messages(df: DataFrame, key: str | None = None) -> DataFrame:

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickward.operators.decode import Split, decode_messages, decode_ticks, type_rules
-from tickward.schemas import RULE_WIRE
+from tickward.operators.decode import split_tagged, tag_rules, tag_ticks
 from tickward.streaming.sinks import Sink
 
 
@@ -26,24 +25,24 @@ def start_batches(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def _each_once(split: Callable[[DataFrame], Split], sinks: Sequence[Sink], rejects: Sink | None):
-    """Batch handler that decodes once however many sinks there are, and leaves a sink untouched
-    when the batch has nothing for it."""
+def _each_once(tag: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink], rejects: Sink | None):
+    """Batch handler that reads and decodes once however many sinks there are, and leaves a sink
+    untouched when the batch has nothing for it."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if rejects is not None:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        good, bad = split(batch)
-        good = good.persist(StorageLevel.MEMORY_AND_DISK)
+        tagged = tag(batch)
+        # keep the text of rejected messages only
+        tagged = tagged.withColumn("_raw", F.when(F.col("_reject").isNotNull(), F.col("_raw")))
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            good, bad = split_tagged(tagged)
             if not good.isEmpty():
                 for sink in sinks:
                     sink(good, batch_id)
             if rejects is not None and not bad.isEmpty():
                 rejects(bad, batch_id)
         finally:
-            good.unpersist()
-            batch.unpersist()
+            tagged.unpersist()
 
     return handle
 
@@ -57,13 +56,7 @@ def ingest_rules(
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Rule messages to every sink (table, archive) as stored rules; unreadable ones to ``rejects``."""
-
-    def split(batch: DataFrame) -> Split:
-        decoded = decode_messages(batch, RULE_WIRE)
-        typed = type_rules(decoded.good)
-        return Split(typed.good, decoded.rejects.unionByName(typed.rejects))
-
-    return start_batches(messages.select("value"), _each_once(split, sinks, rejects), checkpoint, trigger)
+    return start_batches(messages.select("value"), _each_once(tag_rules, sinks, rejects), checkpoint, trigger)
 
 
 def ingest_ticks(
@@ -80,4 +73,4 @@ def ingest_ticks(
     instant per micro-batch and uses it again if the batch is replayed.
     """
     stamped = messages.select("value", F.current_timestamp().alias("last_updated"))
-    return start_batches(stamped, _each_once(decode_ticks, sinks, rejects), checkpoint, trigger)
+    return start_batches(stamped, _each_once(tag_ticks, sinks, rejects), checkpoint, trigger)
