@@ -111,3 +111,16 @@ def test_intake_is_readable_by_the_rule_stream(spark):
     good, rejects = rule_intake(df, now=instant())
     assert decode_messages(good, RULE_WIRE).good.first()["crypto_type"] == "Ä"
     assert rejects.first()["chat_id"] == 2
+
+
+def test_default_stamp_is_utc_in_any_session_zone(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(1, "a=b")], "chat_id long, text string")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        stamp = dt.datetime.fromisoformat(parse_kv_messages(df).good.first()["created_at"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs(now - stamp) < dt.timedelta(minutes=5)

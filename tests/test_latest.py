@@ -55,3 +55,8 @@ def test_latest_name_is_the_one_of_the_latest_tick(spark):
 
 def test_empty_input_gives_no_rows(spark):
     assert latest_per_key(ticks(spark), ["id"], "last_updated").count() == 0
+
+
+def test_columns_without_an_order(spark):
+    df = spark.sql("SELECT 1 AS id, 1 AS t, map('a', 1) AS m UNION ALL SELECT 1, 2, map('a', 2)")
+    assert latest_per_key(df, ["id"], "t").first()["m"] == {"a": 2}

@@ -16,14 +16,16 @@ from tickward.schemas import RULE_WIRE
 def parse_kv_messages(
     chats: DataFrame, id_col: str = "chat_id", text_col: str = "text", now: Column | None = None
 ) -> Split:
-    """``key=value`` chat text to rule messages (all text, ``created_at`` set to ``now``).
+    """``key=value`` chat text to rule messages (all text, ``created_at`` set to ``now`` in UTC).
 
     Commands (leading ``/``) and NULL text are ignored. One malformed field rejects the whole
     message. The last of repeated keys wins, unknown keys are dropped, missing ones are NULL, and
     a ``chat_id`` given in the text replaces the sender's. ``rejects`` has ``chat_id, text, reason``.
     """
     text = F.col(text_col)
-    stamp = utc_iso(F.current_timestamp() if now is None else now)
+    if now is None:
+        now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    stamp = utc_iso(now)
     heard = chats.filter(text.isNotNull() & ~text.startswith("/")).select(
         F.col(id_col).alias("chat_id"), text.alias("text"), stamp.alias("created_at"), once(pairs_of(text)).alias("_pairs")
     )

@@ -6,6 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _unordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_unordered(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _unordered(kind.elementType)
+    return isinstance(kind, (T.MapType, T.VariantType))
 
 
 def latest_per_key(
@@ -28,5 +37,10 @@ def latest_per_key(
     ranked = list(dict.fromkeys([order, *tiebreak, *kept]))
     ranked = [c for c in ranked if c not in keys]
     out = [*keys, *kept] if columns is not None else df.columns
-    best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
+    if any(_unordered(df.schema[c].dataType) for c in kept):
+        # maps have no order: only order and tiebreak decide, so the tiebreak must be total
+        rank = F.struct(*[c for c in (order, *tiebreak) if c not in keys])
+        best = df.groupBy(*keys).agg(F.max_by(F.struct(*ranked), rank).alias("_best"))
+    else:
+        best = df.groupBy(*keys).agg(F.max(F.struct(*ranked)).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`").alias(c) for c in out])

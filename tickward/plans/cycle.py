@@ -76,7 +76,8 @@ def evaluate_cycle(
     if already is not None:
         outcome = without_alerted(outcome, already, keys)
     if store is not None:
-        outcome = stored(outcome, f"{store}/outcome")
+        # few rules fire in most turns: without the rebalance, one small file per task of the scan
+        outcome = stored(outcome.hint("rebalance"), f"{store}/outcome")
     return Cycle(fired_only(outcome), outcome.filter(F.col("side").isNull()), rules, keys)
 
 
