@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from conftest import SF
 from helpers import final_plan
 from tickward.operators.latest import latest_per_key
-from tickward.operators.rules import evaluate_thresholds, latest_ticks, mark_alerted, match_rules
-from tickward.plans.cycle import evaluate_cycle
+from tickward.operators.rules import evaluate_thresholds, latest_ticks, mark_alerted, match_rules, without_alerted
+from tickward.plans.cycle import evaluate_cycle, fired_log
 from tickward.plans.workloads import QUERIES
 from tickward.sources.files import stored
 
@@ -102,6 +102,12 @@ def test_large_stored_tick_side_is_not_broadcast(spark, small_limits, out):
     assert "Broadcast" not in final_plan(match_rules(hot_rules(spark), latest))
 
 
+def test_first_turn_pays_nothing_for_the_empty_log(spark, out):
+    rules = hot_rules(spark)
+    plan = final_plan(without_alerted(rules, fired_log(spark, out, rules)))
+    assert "Join" not in plan and "Exchange" not in plan
+
+
 BATCH = [n for n in QUERIES if not n.startswith(("stream_", "alert_stream", "cycle_turns", "compact_", "archive_"))]
 
 

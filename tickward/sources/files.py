@@ -19,6 +19,11 @@ from tickward.operators.retention import day_slice
 COMMIT_MARK = "_SUCCESS"
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """Empty table that the optimizer knows to be empty, so that joins with it fold away."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and continue from the files: evaluated once, of known size, and safe against
     a lost executor."""
@@ -34,7 +39,7 @@ def append_archive(df: DataFrame, path: str, batch_id: int) -> None:
 def read_archive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Every archived batch, with its ``batch_id``; empty before the first one."""
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).parquet(path) if _exists(spark, path) else spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path) if _exists(spark, path) else no_rows(spark, full)
 
 
 def archive_day(df: DataFrame, ts: str, path: str, day: dt.date | str | None = None, column: str = "date") -> str:
@@ -104,7 +109,7 @@ def read_version(
     """
     usable = [v for v in committed(spark, root) if before is None or v < before]
     if not usable:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     return spark.read.schema(schema).parquet(f"{root}/version={usable[-1]}")
 
 
