@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -100,11 +101,12 @@ def run_turn(
     """Run one turn, store what it did under ``out`` and return its number.
 
     Writes, in this order: ``work`` (latest ticks, evaluated rows), ``notifications``, ``fired``
-    (keys and time), each in a folder for the turn. Work and writes follow the number of fired rules; the
-    rules table itself is not rewritten. Earlier turns' keys count as flagged; turns up to
-    ``folded`` are in the rules table already (``compact_rules``) and their folders are not read.
-    A turn that died is not in ``fired`` and runs again under its number, replacing its output.
+    (keys and the time the turn began), each in a folder for the turn. The rules table itself is
+    not rewritten. Earlier turns' keys count as flagged; turns up to ``folded`` are in the rules
+    table already (``compact_rules``) and their folders are not read. A turn that died is not in
+    ``fired`` and runs again under its number, replacing its output.
     """
+    began = F.lit(dt.datetime.now(dt.timezone.utc))
     keys = list(keys)
     spark = rules.sparkSession
     if turn is None:
@@ -114,7 +116,7 @@ def run_turn(
         rules, ticks, tiebreak=tiebreak, keys=keys, already=log, store=f"{out}/work/batch_id={turn}"
     )
     append_archive(cycle.notifications, f"{out}/notifications", turn)
-    append_archive(cycle.fired.select(*keys, F.current_timestamp().alias("fired_at")), f"{out}/fired", turn)
+    append_archive(cycle.fired.select(*keys, began.alias("fired_at")), f"{out}/fired", turn)
     return turn
 
 

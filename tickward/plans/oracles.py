@@ -267,7 +267,7 @@ ORACLES: dict[str, str] = {
         WHERE value >= 250.0::DOUBLE * (1 + c_nationkey::DOUBLE / 100)
            OR value <= 250.0::DOUBLE * (1 - (c_nationkey * 2)::DOUBLE / 100)
         GROUP BY c_custkey""",
-    "stream_enriched": """
+    "stream_static_join": """
         SELECT c_custkey AS chat_id, 'asset ' || c_custkey::VARCHAR AS crypto_type, c_acctbal AS purchase_price,
                10.0::DOUBLE AS desired_profit_percentage, 5.0::DOUBLE AS desired_loss_percentage,
                event_id AS tick_id, value AS current_price

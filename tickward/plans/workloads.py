@@ -116,16 +116,32 @@ def order_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(
             kind == "1-URGENT",
-            F.concat(F.lit("crypto_type="), "o_orderstatus", F.lit(", purchase_price="), price, F.lit(", desired_profit_percentage=10, desired_loss_percentage=5")),
+            F.concat(
+                F.lit("crypto_type="),
+                "o_orderstatus",
+                F.lit(", purchase_price="),
+                price,
+                F.lit(", desired_profit_percentage=10, desired_loss_percentage=5"),
+            ),
         )
         .when(kind == "2-HIGH", F.concat(F.lit("crypto_type="), "o_orderstatus", F.lit(",,purchase_price="), price))
         .when(
             kind == "3-MEDIUM",
-            F.concat(F.lit(" Crypto_Type = first ,\tpurchase_price= "), price, F.lit(" ,CRYPTO_TYPE="), "o_orderstatus", F.lit(",other=x\n")),
+            F.concat(
+                F.lit(" Crypto_Type = first ,\tpurchase_price= "),
+                price,
+                F.lit(" ,CRYPTO_TYPE="),
+                "o_orderstatus",
+                F.lit(",other=x\n"),
+            ),
         )
         .when(kind == "4-NOT SPECIFIED", F.concat(F.lit("/start "), price))
         .otherwise(
-            F.concat(F.lit("chat_id=7,crypto_type=,purchase_price="), price, F.lit(",created_at=never,=5,desired_loss_percentage=abc"))
+            F.concat(
+                F.lit("chat_id=7,crypto_type=,purchase_price="),
+                price,
+                F.lit(",created_at=never,=5,desired_loss_percentage=abc"),
+            )
         )
     )
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("chat_id"), text.alias("text"), "o_orderdate")
@@ -139,8 +155,13 @@ def order_wire_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.when(status == "P", F.concat(key, F.lit(".0"))).otherwise(key).alias("chat_id"),
         F.col("o_orderstatus").alias("crypto_type"),
-        F.when(kind == "1-URGENT", F.lit("30,000")).otherwise(F.col("o_totalprice").cast("string")).alias("purchase_price"),
-        F.when(kind == "2-HIGH", F.lit(" 12 ")).when(kind == "3-MEDIUM", F.lit("1e3")).otherwise(kind).alias("desired_profit_percentage"),
+        F.when(kind == "1-URGENT", F.lit("30,000"))
+        .otherwise(F.col("o_totalprice").cast("string"))
+        .alias("purchase_price"),
+        F.when(kind == "2-HIGH", F.lit(" 12 "))
+        .when(kind == "3-MEDIUM", F.lit("1e3"))
+        .otherwise(kind)
+        .alias("desired_profit_percentage"),
         F.when(kind == "5-LOW", F.lit("")).otherwise(F.lit("5")).alias("desired_loss_percentage"),
         F.when(kind == "1-URGENT", F.lit("junk"))
         .when(kind == "2-HIGH", F.concat(iso, F.lit("Z")))
@@ -442,7 +463,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fired_log(spark, f"{root}/out", rules).drop("fired_at")
 
 
-def stream_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tick of the stream archive joined to its customer's standing rule."""
     ticks = stream_history(spark, sf_dir)
     rules = table(spark, sf_dir, "customer").select(
@@ -491,5 +512,5 @@ QUERIES: dict[str, Query] = {
     "stream_rules": stream_rules,
     "stream_rejects": stream_rejects,
     "alert_stream": stream_alerts,
-    "stream_enriched": stream_enriched,
+    "stream_static_join": stream_static_join,
 }
