@@ -70,6 +70,10 @@ def test_price_text(spark, text, expected):
         ("2025-01-01T10:00:00.250000", at("2025-01-01 10:00:00.250000")),
         ("2025-01-01T10:00:00Z", at("2025-01-01 10:00:00")),
         ("2025-01-01T12:00:00+02:00", at("2025-01-01 10:00:00")),
+        (" 2025-01-01 10:00:00 ", at("2025-01-01 10:00:00")),
+        ("2025-01-01", at("2025-01-01 00:00:00")),
+        ("2025-13-01T10:00:00", None),
+        ("10:00:00", None),
         ("junk", None),
         ("", None),
         (None, None),

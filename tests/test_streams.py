@@ -157,3 +157,41 @@ def test_checkpoint_is_required(spark, out):
     publish(spark, out, wire("a", 1.0))
     with pytest.raises(TypeError):
         ingest_ticks(message_stream(spark, path=f"{out}/in"), [])
+
+
+class Recorder:
+    """Stands in for a session, a reader and a writer where no broker is available."""
+
+    def __init__(self):
+        self.calls = {}
+        self.readStream = self.write = self
+
+    def format(self, name):
+        self.calls["format"] = name
+        return self
+
+    def options(self, **given):
+        self.calls["options"] = given
+        return self
+
+    def load(self):
+        return self
+
+    def save(self):
+        self.calls["saved"] = True
+
+
+def test_topic_source_and_sink():
+    source = Recorder()
+    message_stream(source, servers="h:1", topic="prices", minPartitions="64")
+    assert source.calls["format"] == "kafka"
+    assert source.calls["options"]["subscribe"] == "prices" and source.calls["options"]["minPartitions"] == "64"
+    sink = Recorder()
+    publish_messages(sink, servers="h:1", topic="prices")
+    assert sink.calls == {
+        "format": "kafka",
+        "options": {"kafka.bootstrap.servers": "h:1", "topic": "prices"},
+        "saved": True,
+    }
+    with pytest.raises(ValueError):
+        publish_messages(sink, topic="prices")

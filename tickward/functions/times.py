@@ -14,8 +14,14 @@ ZONE_SUFFIX = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
 def wire_timestamp(text: Column) -> Column:
-    """Instant for ISO text; text without a zone means UTC, junk gives NULL."""
-    zoned = F.when(text.rlike(ZONE_SUFFIX), text).otherwise(F.concat(text, F.lit("Z")))
+    """Instant for ISO text; text without a zone means UTC, a bare date its midnight. Junk and
+    a time without a date (which a cast would put on today) give NULL."""
+    text = F.trim(text)
+    zoned = (
+        F.when(text.rlike(ZONE_SUFFIX), text)
+        .when(text.contains("-") & text.contains(":"), F.concat(text, F.lit("Z")))
+        .when(text.contains("-"), F.concat(text, F.lit("T00:00:00Z")))
+    )
     return zoned.try_cast("timestamp")
 
 
