@@ -74,6 +74,7 @@ def test_price_text(spark, text, expected):
         ("2025-01-01", at("2025-01-01 00:00:00")),
         ("2025-13-01T10:00:00", None),
         ("10:00:00", None),
+        ("10:00:00Z", None),
         ("junk", None),
         ("", None),
         (None, None),

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Text layout of a wire time, and the zone suffix of one that carries a zone.
+# Text layout of a wire time, what a date begins with, and the suffix that is a zone.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+DATE_PREFIX = r"^\d+-"
 ZONE_SUFFIX = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
@@ -19,10 +20,10 @@ def wire_timestamp(text: Column) -> Column:
     text = F.trim(text)
     zoned = (
         F.when(text.rlike(ZONE_SUFFIX), text)
-        .when(text.contains("-") & text.contains(":"), F.concat(text, F.lit("Z")))
-        .when(text.contains("-"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.contains(":"), F.concat(text, F.lit("Z")))
+        .otherwise(F.concat(text, F.lit("T00:00:00Z")))
     )
-    return zoned.try_cast("timestamp")
+    return F.when(text.rlike(DATE_PREFIX), zoned).try_cast("timestamp")
 
 
 def utc_iso(ts: Column) -> Column:
