@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickward.llm.best_fit import cut_documents, pack
 from tickward.llm.common import fold, ship
+from tickward.llm.mixing import sized, take
 from tickward.llm.pu_quality import quality_model
+from tickward.llm.reply_trees import chosen_paths, format_paths, linear_replies, masked, parse
 from tickward.llm.toxicity import toxicity_model
 
 
@@ -15,6 +18,91 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(cut_documents(_table(spark, sf_dir, "documents")))
+
+
+def op6_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = take(sized(_table(spark, sf_dir, "documents")))
+    words = (F.col("first_pass") + F.col("second_pass")).alias("taken")
+    return taken.select("doc_id", "size", "source_size", "target", words)
+
+
+# Both texts of the conversation that tests the escapes.
+HARD_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = [(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)]
+    turns = turns.unionAll(spark.createDataFrame(hard, turns.schema))
+    formatted = format_paths(chosen_paths(linear_replies(turns), acyclic=True))
+    read = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"), masked(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP6_SQL = """
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE place % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight, source_size * CAST(2 AS DOUBLE) AS lim FROM s
+), l AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - coalesce(sum(lim) OVER b, 0))
+            / (CAST(sum(weight) OVER () AS DOUBLE) - coalesce(sum(weight) OVER b, 0)) AS lev
+  FROM w WINDOW b AS (ORDER BY lim / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), o AS (
+  SELECT arg_min(lev, (lim / weight, place)) AS lev FROM l WHERE lim > lev * weight
+), t AS (
+  SELECT source, place, source_size, CASE WHEN lim <= l.lev * weight THEN lim ELSE o.lev * weight END AS target FROM l LEFT JOIN o ON true
+), c AS (
+  SELECT *, coalesce(sum(target) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         sum(target) OVER () AS total FROM t
+), k AS (
+  SELECT greatest(1, CAST(ceil(max(total) / 1048576) AS BIGINT)) AS block, max(total) AS total FROM c
+), points AS (
+  SELECT CAST(i AS DOUBLE) * CAST('0.6180339887498949' AS DOUBLE) AS p FROM k, unnest(range(CAST(ceil(total / block) AS BIGINT))) AS u(i)
+), slots AS (
+  SELECT c.place, count(*) AS n FROM c JOIN points ON p - floor(p) >= c.start / c.total AND p - floor(p) < (c.start + c.target) / c.total
+  WHERE c.target > 0 GROUP BY c.place
+), laid AS (
+  SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS pos FROM d
+)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(size, coalesce(n, 0) * block - pos)) + greatest(0, least(size, coalesce(n, 0) * block - pos - source_size)) AS BIGINT) AS taken
+FROM laid JOIN c ON laid.source IS NOT DISTINCT FROM c.source LEFT JOIN slots USING (place), k
+"""
+
+OP7_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+), spoken AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         sum(length('<turn ' || replace(replace(replace(replace(role, '\\', '\\s'), '<', '\\l'), '>', '\\g'), chr(10), '\\n') || '>.'
+                    || replace(replace(text, '\\', '\\s'), '<', '\\l') || '</turn>.')) AS chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM spoken
+"""
+
+
 def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     model = quality_model(documents, _table(spark, sf_dir, "labels"))
@@ -30,8 +118,14 @@ def op9_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit": op3_best_fit,
+    "op6_source_schedule": op6_source_schedule,
+    "op7_reply_trees": op7_reply_trees,
     "op8_pu_quality": op8_pu_quality,
     "op9_pattern_grammar": op9_pattern_grammar,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_source_schedule": OP6_SQL,
+    "op7_reply_trees": OP7_SQL,
+}
