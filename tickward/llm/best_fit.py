@@ -29,31 +29,67 @@ TOKENIZER = "word_bpe_49k.json"
 CLOSING_ID = 0
 #: White space to Python's split but not to the tokenizer.
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Signs that may follow a word without changing how it is cut; the apostrophe of contractions is none.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class _Spellings(dict):
+    """Ids of spellings between spaces, as little-endian bytes, worked out on first use."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.letters, self.before = tokenizer, tokenizer.model, byte_letters(), {}
+
+    def __missing__(self, spelling: str) -> bytes:
+        ids = self.before.get(spelling)
+        if ids is None:
+            word = spelling.rstrip(SIGNS)
+            if len(word) == len(spelling) and word.isalpha():
+                letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+                ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+            elif word and word.isalpha():
+                ids = self[word] + self[spelling[len(word) :]]
+            else:
+                ids = np.array(self.tokenizer.encode(spelling, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self[spelling] = ids
+        return ids
 
 
 class WordTokenizer:
-    """Ids as little-endian bytes. Tokens never cross white space, so each spelling between spaces is encoded once."""
+    """Ids of whole texts as little-endian bytes, for vocabularies of lower-case words that never cross white space.
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    Spellings are remembered in two generations of at most ``remembered`` entries each. Texts beyond Latin-1, where lower
+    case and composed characters need more care, go to the tokenizer whole.
+    """
+
+    def __init__(self, path: str, remembered: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.split() if not any(c in t for c in ODD_SPACE) else None for t in texts]
+        self.known = _Spellings(self.tokenizer)
+
+    def encode(self, text: str) -> bytes:
+        try:
+            text.encode("latin-1")
+            simple = not any(c in text for c in ODD_SPACE)
+        except UnicodeEncodeError:
+            simple = False
+        if not simple:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(self.known) > self.remembered:
-            self.known.clear()
-        new = list(set().union(*filter(None, split)).difference(self.known))
-        self.known.update(zip(new, self._encode(new), strict=True))
+            old, self.known = self.known, _Spellings(self.tokenizer)
+            old.before = {}
+            self.known.before = old
         known = self.known
-        for text, words in zip(texts, split, strict=True):
-            yield b"".join([known[w] for w in words]) if words is not None else self._encode([text])[0]
+        return b"".join([known[w] for w in text.lower().split()])
 
 
 def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
@@ -62,31 +98,24 @@ def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | N
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
 
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordTokenizer(path)
-        names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-
-        def block(ids: list, texts: list[str]) -> pa.RecordBatch:
-            rows = []
-            for doc_id, encoded in zip(ids, encoder.encode(texts), strict=True):
-                encoded += closing
-                for k, at in enumerate(range(0, len(encoded), 4 * capacity)):
-                    part = encoded[at : at + 4 * capacity]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part))
-            columns = list(zip(*rows, strict=True))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(columns[i], types[i]) for i in range(len(names))], names)
-
-        ids, texts, size = [], [], 0
+        columns: list[list] = [[] for _ in names]
+        held = 0
         for doc_id, text in rows_of(batches, "doc_id", "text"):
-            ids.append(doc_id)
-            texts.append(text or "")
-            size += len(texts[-1])
-            if size > 2_000_000:
-                yield block(ids, texts)
-                ids, texts, size = [], [], 0
-        if ids:
-            yield block(ids, texts)
+            encoded = encoder.encode(text or "") + closing
+            for k, at in enumerate(range(0, len(encoded), 4 * capacity)):
+                part = encoded[at : at + 4 * capacity]
+                for column, value in zip(columns, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
+                    column.append(value)
+            held += len(encoded)
+            if held > 8_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names)
+                columns, held = [[] for _ in names], 0
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return documents.select("doc_id", "text").mapInArrow(cut, schema)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tickward.llm.best_fit import cut_documents, pack
 from tickward.llm.common import fold, ship
 from tickward.llm.mixing import sized, take
+from tickward.llm.nra_topk import exact_top
+from tickward.llm.perm_index import nearest
 from tickward.llm.pu_quality import quality_model
 from tickward.llm.reply_trees import chosen_paths, format_paths, linear_replies, masked, parse
 from tickward.llm.toxicity import toxicity_model
@@ -18,6 +20,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op4_no_random_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return exact_top(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS d, unnest(embedding) AS c FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), bad AS (
+  SELECT vec_id FROM v WHERE c IS NULL OR NOT isfinite(c)
+), i AS (
+  SELECT vec_id, d, CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT) AS c FROM v WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+), s AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS vec_id, CAST(sum(q.c * x.c) AS BIGINT) AS score
+  FROM i q JOIN i x ON q.d = x.d AND q.vec_id <> x.vec_id WHERE q.vec_id % 100 = 0 GROUP BY q.vec_id, x.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut_documents(_table(spark, sf_dir, "documents")))
 
@@ -118,7 +148,9 @@ def op9_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_permutation_index": op2_permutation_index,
     "op3_best_fit": op3_best_fit,
+    "op4_no_random_access": op4_no_random_access,
     "op6_source_schedule": op6_source_schedule,
     "op7_reply_trees": op7_reply_trees,
     "op8_pu_quality": op8_pu_quality,
@@ -126,6 +158,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_no_random_access": OP4_SQL,
     "op6_source_schedule": OP6_SQL,
     "op7_reply_trees": OP7_SQL,
 }
