@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickward.llm.best_fit import cut_documents, pack
 from tickward.llm.common import fold, ship
+from tickward.llm.interpolation import HELD_OUT, TRAINING, TUNING, score_documents
 from tickward.llm.mixing import sized, take
 from tickward.llm.nra_topk import exact_top
 from tickward.llm.perm_index import nearest
@@ -147,6 +148,13 @@ def op9_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fold(F.col("doc_id"), 10)
+    role = F.when(part == 0, HELD_OUT).when(part == 1, TUNING).otherwise(TRAINING)
+    scored = score_documents(_table(spark, sf_dir, "documents"), role)
+    return scored.withColumn("held_out", F.col("role") == HELD_OUT).drop("role")
+
+
 QUERIES = {
     "op2_permutation_index": op2_permutation_index,
     "op3_best_fit": op3_best_fit,
@@ -155,6 +163,7 @@ QUERIES = {
     "op7_reply_trees": op7_reply_trees,
     "op8_pu_quality": op8_pu_quality,
     "op9_pattern_grammar": op9_pattern_grammar,
+    "op10_deleted_interpolation": op10_deleted_interpolation,
 }
 
 ORACLES: dict[str, str] = {
