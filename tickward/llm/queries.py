@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tickward.llm.best_fit import cut_documents, pack
 from tickward.llm.common import fold, ship
+from tickward.llm.dart_minhash import near_duplicates
 from tickward.llm.interpolation import HELD_OUT, TRAINING, TUNING, score_documents
 from tickward.llm.mixing import sized, take
 from tickward.llm.nra_topk import exact_top
 from tickward.llm.perm_index import nearest
 from tickward.llm.pu_quality import quality_model
 from tickward.llm.reply_trees import chosen_paths, format_paths, linear_replies, masked, parse
+from tickward.llm.template import extract
 from tickward.llm.toxicity import toxicity_model
 
 
@@ -21,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -53,6 +59,10 @@ def op3_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut_documents(_table(spark, sf_dir, "documents")))
 
 
+def op5_template_deduction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = take(sized(_table(spark, sf_dir, "documents")))
     words = (F.col("first_pass") + F.col("second_pass")).alias("taken")
@@ -156,9 +166,11 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
     "op2_permutation_index": op2_permutation_index,
     "op3_best_fit": op3_best_fit,
     "op4_no_random_access": op4_no_random_access,
+    "op5_template_deduction": op5_template_deduction,
     "op6_source_schedule": op6_source_schedule,
     "op7_reply_trees": op7_reply_trees,
     "op8_pu_quality": op8_pu_quality,
