@@ -1,0 +1,88 @@
+"""Targets against step-by-step resharing, shares taken, and the schedule's evenness."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm_data import SF, shipped  # noqa: F401
+from tickward.llm.common import words_of
+from tickward.llm.mixing import mix, schedule, sized, source_targets, take
+
+SCHEMA = "doc_id long, text string, source string, size long, target string, _copy int"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, s, 0, "t", 0) for i, t, s in rows], SCHEMA)
+
+
+def reshared(sizes, share=1.5, most=2.0):
+    """Targets by sharing out again and again what is above a limit."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    total, full = share * sum(sizes.values()), {}
+    while True:
+        open_sources = [s for s in order if s not in full]
+        left = total - sum(full.values())
+        parts = {s: left * weight[s] / sum(weight[o] for o in open_sources) for s in open_sources}
+        over = {s: most * sizes[s] for s in open_sources if parts[s] >= most * sizes[s]}
+        if not over:
+            return full | parts
+        full |= over
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets_and_what_is_taken(spark, seed):
+    rng = random.Random(seed)
+    sources = ["b", "Z", "é", "a", "", None][: rng.randint(1, 6)]
+    rows = [(i, "w " * rng.choice([0, 1, 5, 60, 700]), "a" if "a" in sources and rng.random() < 0.4 else rng.choice(sources)) for i in range(300)]
+    got = take(sized(docs(spark, rows))).collect()
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    want = reshared(dict(sizes))
+    taken = defaultdict(int)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
+        assert 0 <= r["second_pass"] <= r["first_pass"] <= r["size"] or r["second_pass"] > 0 and r["first_pass"] == r["size"]
+        taken[r["source"]] += r["first_pass"] + r["second_pass"]
+    total = sum(want.values())
+    assert all(abs(taken[s] - want[s]) <= max(6, 0.001 * total) for s in want)
+    again = {(r["_row"], r["first_pass"], r["second_pass"]) for r in take(sized(docs(spark, rows))).collect()}
+    assert again == {(r["_row"], r["first_pass"], r["second_pass"]) for r in got}
+
+
+def test_every_stretch_of_the_schedule_has_the_right_shares(spark):
+    targets = source_targets(spark.createDataFrame([("a", 500), ("b", 900), ("c", 100)], "source string, size long"))
+    shares = {r["source"]: r["target"] for r in targets.collect()}
+    total = sum(shares.values())
+    slots = [r["source"] for r in schedule(targets, 1, 2000).orderBy("slot").collect()]
+    assert len(slots) == 2000
+    for at in range(0, 2000, 100):
+        for source, share in shares.items():
+            assert abs(slots[at : at + 100].count(source) - 100 * share / total) <= 4
+
+
+def test_mix_repeats_whole_documents_with_their_columns(spark):
+    rows = [(i, "w " * 50, "a" if i < 60 else "b") for i in range(200)] + [(1, "w " * 50, "a"), (900, None, "a"), (901, "", None), (None, "w " * 50, "a")]
+    table = docs(spark, rows)
+    mixed = mix(table)
+    assert mixed.columns == table.columns
+    words = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(words_of(F.col("text"))).alias("n")).collect()}
+    want = reshared({"a": 62 * 50, "b": 140 * 50, None: 0})
+    assert all(abs(words.get(s, 0) - n) <= 50 for s, n in want.items())
+    assert mixed.where("text is null or text = ''").count() == 0
+    assert mix(table.where("false")).collect() == []
+
+
+def test_words_are_runs_without_ascii_white_space(spark):
+    texts = [None, "", " \t\n", "a", " a\x0bb\x0c c\r\n", "a\xa0b c\x1cd"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(words_of(F.col("t"))).collect()
+    assert [r[0] for r in got] == [0, 0, 0, 1, 3, 2]
+
+
+def test_table_keeps_every_row(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    assert take(sized(table)).count() == table.count()

@@ -138,7 +138,7 @@ def fit_quality(documents: DataFrame, positives: DataFrame, prior: float, max_po
     scale[scale < 1e-6] = 1.0
     center[bias], scale[bias] = 0.0, 1.0
     mean_pos = (sums[2 + 2 * width :] / n_pos - center) / scale
-    penalty = np.full(width, ridge)
+    penalty = np.full(width, ridge + 2 / n_pos)  # few positives leave the weights uncertain
     penalty[bias] = 1e-9
 
     def terms(w: np.ndarray):

@@ -99,6 +99,7 @@ def chosen_paths(messages: DataFrame, branches: int = 1, acyclic: bool = False)
     Adds branch (from 1), leaf_id and depth (1 at the root). A path's rank is its mean score, then its length, longest
     first, then its leaf's id. ``acyclic`` spares the search for circles where there can be none.
     """
+    messages = messages.select("conv_id", "msg_id", "parent_id", "role", "text", "score")
     messages = messages if acyclic else without_circles(messages)
     links, state = climb(messages)
     if not links:
