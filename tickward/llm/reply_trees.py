@@ -69,15 +69,9 @@ def climb(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         if len(links) > 62:
             raise ValueError("replies form a circle")
         above = state.select(F.col("conv_id").alias("_conv"), F.col("msg_id").alias("_id"), F.col("_up").alias("_next"), F.col("depth").alias("_d"), F.col("total").alias("_t"))
-        joined = state.join(above, _same(state, above, "_up", "_id"), "left")
-        state = joined.select(
-            "conv_id",
-            "msg_id",
-            F.col("_next").alias("_up"),
-            (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("_t", F.lit(0.0))).alias("total"),
-        )
-        state = stored(state, "replies")
+        climbed = going.join(above, _same(going, above, "_up", "_id"))
+        climbed = climbed.select("conv_id", "msg_id", F.col("_next").alias("_up"), (F.col("depth") + F.col("_d")).alias("depth"), (F.col("total") + F.col("_t")).alias("total"))
+        state = stored(state.where("_up is null").unionAll(climbed), "replies")
 
 
 def without_circles(messages: DataFrame, max_depth: int = 1 << 20) -> DataFrame:
