@@ -4,8 +4,8 @@ A vector's score is the sum over dimensions of query component times vector comp
 list per dimension, sorted by component; a query reads it from whichever end contributes most. While the lists are read in
 step, every row has a lower bound, with unread components at their list's worst value, and an upper bound, with them at
 the value the list has come down to. Reading stops when no row outside the best k can reach the k-th lower bound, and
-those left get their final scores. Rows beyond doubt are never dropped earlier, so the result is exact; if the bounds never
-part, the lists are read to their ends.
+those left get their final scores. Only rows that cannot be among the best are given up on the way, so the result is exact;
+where the bounds never part, the rows left are scored in full.
 
 Components become floor(scale * x), x as double. Vectors that are NULL, empty or hold NULL or non-finite components take no
 part, nor do rows without an id; zero vectors do. Ties go to the smaller id. An empty table gives an empty result.
@@ -19,46 +19,42 @@ from pyspark.sql import DataFrame
 from tickward.llm.vector_blocks import prepared, search, top
 
 #: Shares of the lists after which the bounds are compared.
-STOPS = (0.05, 0.125, 0.25, 0.4, 0.6, 0.8, 1.0)
+STOPS = (0.05, 0.25, 0.5, 0.75)
 
 
 class SortedLists:
-    """One list per dimension of a block of integer vectors, by ascending component."""
+    """One list per dimension of a block of integer vectors, kept as each row's place in it, by ascending component."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x
-        self.order = np.argsort(x, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(x.T, self.order, axis=1)
+        self.columns = np.ascontiguousarray(x.T)
+        order = np.argsort(self.columns, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(self.columns, order, axis=1)
+        self.place = np.empty(order.shape, dtype=np.int32)
+        np.put_along_axis(self.place, order, np.arange(order.shape[1], dtype=np.int32)[None, :], axis=1)
 
     def candidates(self, q: np.ndarray, k: int, allowed: np.ndarray) -> np.ndarray:
         """Rows that hold the ``k`` best allowed ones, every row that ties with the last included."""
-        n = len(self.x)
-        dims = np.flatnonzero(q)
-        if not len(dims) or allowed.sum() <= k:
-            return np.flatnonzero(allowed)
-        worst = np.where(q[dims] > 0, self.sorted[dims, 0], self.sorted[dims, -1]) * q[dims]
-        read = np.zeros(n, dtype=np.int64)  # sum of the components read
-        worst_read = np.zeros(n, dtype=np.int64)  # their lists' worst values
-        seen = np.zeros((len(dims), n), dtype=bool)
-        depth = 0
+        n = self.columns.shape[1]
+        rows = np.flatnonzero(allowed)
+        up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
+        dims = np.concatenate([up, down])
+        weight = q[dims, None]
+        worst = np.concatenate([self.sorted[up, 0], self.sorted[down, -1]])[:, None] * weight
         for stop in STOPS:
-            until = max(depth, int(np.ceil(stop * n)))
-            reached = np.zeros(len(dims), dtype=np.int64)
-            for row, d in enumerate(dims):
-                part = slice(depth, until) if q[d] < 0 else slice(n - until, n - depth)
-                where = self.order[d, part]
-                read[where] += self.sorted[d, part] * q[d]
-                worst_read[where] += worst[row]
-                seen[row, where] = True
-                reached[row] = self.sorted[d, until - 1 if q[d] < 0 else n - until] * q[d]
-            depth = until
-            lower = np.where(allowed, read + (worst.sum() - worst_read), np.iinfo(np.int64).min)
-            bar = np.partition(lower, n - k)[n - k]
-            upper = read + reached.sum() - (reached.astype(np.float64) @ seen).astype(np.int64)
-            open_rows = np.flatnonzero(allowed & (upper >= bar))
-            if len(open_rows) <= k:
+            if len(rows) <= k or not len(dims):
                 break
-        return open_rows
+            depth = int(np.ceil(stop * n))
+            reached = np.concatenate([self.sorted[up, n - depth], self.sorted[down, depth - 1]])[:, None] * weight
+            places, parts = self.place[dims], self.columns[dims]
+            if len(rows) < n:
+                places, parts = places[:, rows], parts[:, rows]
+            read = np.concatenate([places[: len(up)] >= n - depth, places[len(up) :] < depth])
+            parts = parts * weight
+            lower = np.where(read, parts, worst).sum(axis=0)
+            upper = np.where(read, parts, reached).sum(axis=0)
+            bar = np.partition(lower, len(rows) - k)[len(rows) - k]
+            rows = rows[upper >= bar]
+        return rows
 
 
 def exact_top(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, block_rows: int = 8192) -> DataFrame:
