@@ -1,4 +1,4 @@
-"""Time the headline queries and print one JSON line.
+"""Time the registered queries on the star-schema tables and print one JSON line.
 
 ``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the local cores. Each query is
 run once to warm up and then ``BENCH_RUNS`` times; the median is reported. Results go to the
@@ -15,39 +15,11 @@ import time
 from tickward.plans.workloads import QUERIES
 from tickward.session import build_session
 
-HEADLINE = [
-    "threshold_alerts",
-    "threshold_rejects",
-    "latest_by_user_type",
-    "latest_by_part",
-    "pending_rules",
-    "render_messages",
-    "decode_props",
-    "decode_ticks",
-    "type_rules",
-    "kv_rules",
-    "encode_events",
-    "explode_payload",
-    "rule_intake",
-    "tick_intake",
-    "flag_update",
-    "purge_flagged",
-    "ttl_keep",
-    "day_slice",
-    "archive_by_day",
-    "cycle_rules",
-    "cycle_turns",
-    "stream_history",
-    "stream_upsert",
-    "alert_stream",
-]
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
+    names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else list(QUERIES)
     spark = build_session(
         "bench",
         f"local[{cpus}]",

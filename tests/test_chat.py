@@ -1,3 +1,5 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,6 @@ from tickward.plans.intake import rule_intake
 from tickward.schemas import RULE_WIRE
 
 
-
 def instant(text="2025-05-10 08:00:00"):
     return F.lit(text).cast("timestamp")
 
@@ -25,15 +26,13 @@ def only(spark, text, chat_id=99):
 
 
 def test_full_message(spark):
-    got = only(
-        spark, "crypto_type=Bitcoin, purchase_price=30000, desired_profit_percentage=10, desired_loss_percentage=5"
-    )
+    got = only(spark, "crypto_type=Quartz, purchase_price=4.75, desired_profit_percentage=12.5, desired_loss_percentage=7")
     assert got == {
         "chat_id": "99",
-        "crypto_type": "Bitcoin",
-        "purchase_price": "30000",
-        "desired_profit_percentage": "10",
-        "desired_loss_percentage": "5",
+        "crypto_type": "Quartz",
+        "purchase_price": "4.75",
+        "desired_profit_percentage": "12.5",
+        "desired_loss_percentage": "7",
         "created_at": "2025-05-10T08:00:00",
     }
 
@@ -80,25 +79,38 @@ def test_long_message_is_read_whole(spark):
     assert got["crypto_type"] == "last"
 
 
-def test_matches_a_plain_parser(spark):
-    import itertools
-
-    pieces = ["crypto_type=A", " Purchase_Price = 1 ", "a=b=c", "", "=", "CHAT_ID=3", "x"]
-    texts = [",".join(p) for n in (1, 2, 3) for p in itertools.product(pieces, repeat=n)]
-
-    def plain(text):
-        found = {"chat_id": "99"}
-        for field in text.split(","):
-            parts = field.strip().split("=")
-            if len(parts) != 2:
-                return None
-            found[parts[0].strip().lower()] = parts[1].strip()
-        return tuple(found.get(n) for n in RULE_WIRE.names[:-1])
-
-    want = sorted((p for p in map(plain, texts) if p), key=str)
-    good, rejects = parse(spark, *texts)
-    assert sorted((tuple(r)[:-1] for r in good.collect()), key=str) == want
-    assert sorted(r["text"] for r in rejects.collect()) == sorted(t for t in texts if plain(t) is None)
+# Fields by what a message with them must yield: (text, name, value); None stands for a broken field.
+PIECES = [
+    ("crypto_type=Quartz", "crypto_type", "Quartz"),
+    ("\tPURCHASE_PRICE =  4.75", "purchase_price", "4.75"),
+    ("desired_loss_percentage=", "desired_loss_percentage", ""),
+    ("Chat_Id=31", "chat_id", "31"),
+    ("=", None, ""),
+    ("note=hello there", None, ""),
+    ("two=equal=signs", None, None),
+    ("", None, None),
+    ("no sign", None, None),
+]
+
+
+def test_combined_fields_give_the_row_they_were_built_from(spark):
+    accepted, refused = [], []
+    for chosen in itertools.product(range(len(PIECES)), repeat=3):
+        parts = [PIECES[k] for k in chosen]
+        text = " , ".join(p[0] for p in parts)
+        if any(value is None for _, _, value in parts):
+            refused.append(text)
+        else:
+            row = {"chat_id": "99"} | {name: value for _, name, value in parts if name}
+            accepted.append(tuple(row.get(n) for n in RULE_WIRE.names[:-1]))
+    good, rejects = parse(spark, *accepted_texts(), *refused)
+    assert sorted((tuple(r)[:-1] for r in good.collect()), key=str) == sorted(accepted, key=str)
+    assert sorted(r["text"] for r in rejects.collect()) == sorted(refused)
+
+
+def accepted_texts():
+    sound = [p[0] for p in PIECES if p[2] is not None]
+    return [" , ".join(texts) for texts in itertools.product(sound, repeat=3)]
 
 
 def test_micros_are_printed_only_when_present(spark):

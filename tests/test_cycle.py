@@ -1,9 +1,11 @@
+import os
+
 import pytest
 
 from helpers import at, rows, rule, rules, tick, ticks
-from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, run_turn
+from tickward.plans.cycle import compact_rules, drop_turns, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
 from tickward.schemas import RULE, TICK
-from tickward.sources.files import read_version
+from tickward.sources.commits import commits, read_commits, write_commit
 
 
 def sample(spark):
@@ -37,7 +39,7 @@ def test_second_turn_is_silent(spark, out):
     df = df.filter("chat_id is not null")
     assert [run_turn(df, feed, out) for _ in range(2)] == [0, 1]
     assert rows(fired_log(spark, out, df), "chat_id", "batch_id") == [(0, 0), (1, 0)]
-    assert spark.read.parquet(f"{out}/notifications/batch_id=1").count() == 0
+    assert spark.read.parquet(f"{out}/notifications").filter("batch_id = 1").count() == 0
 
 
 def test_replayed_turn_repeats_its_result(spark, out):
@@ -60,11 +62,57 @@ def test_compaction_folds_the_log(spark, out):
     df, feed = sample(spark)
     run_turn(df, feed, f"{out}/turns")
     log = fired_log(spark, f"{out}/turns", df)
-    compact_rules(df, log, f"{out}/rules", 0, purge=False)
-    compact_rules(df, log, f"{out}/rules", 1)
-    kept = read_version(spark, f"{out}/rules", RULE)
-    assert rows(kept, "chat_id") == [(2,), (4,), (5,), (6,), (None,)]
-    assert read_version(spark, f"{out}/rules", RULE, before=1).filter("is_alerted").count() == 3
+    compact_rules(df, log, f"{out}/rules", purge=False)
+    assert read_commits(spark, f"{out}/rules", RULE).filter("is_alerted").count() == 3
+    compact_rules(df, log, f"{out}/rules")
+    assert rows(read_commits(spark, f"{out}/rules", RULE), "chat_id") == [(2,), (4,), (5,), (6,), (None,)]
+
+
+def test_clocks_that_run_ahead_and_keys_without_a_chat(spark, out):
+    feed = ticks(spark, tick(price=150.0))
+    df = rules(spark, rule(1, created=at("2099-01-01")), rule(1, created=at("2025-01-01")), rule(None), rule(2))
+    for _ in range(3):
+        run_turn(df, feed, out)
+    assert rows(fired_log(spark, out, df), "chat_id", "batch_id") == [(1, 0), (2, 0)]
+    assert spark.read.parquet(f"{out}/notifications").groupBy("batch_id").count().collect() == [(0, 3)]
+
+
+def test_rejects_are_written_once_until_something_changes(spark, out):
+    feed = ticks(spark, tick(price=150.0))
+    for profit in (None, None, float("nan")):
+        run_turn(rules(spark, rule(5, profit=profit), rule(1)), feed, out)
+    assert rows(spark.read.parquet(f"{out}/rejects"), "chat_id", "batch_id") == [(5, 0), (5, 2)]
+    assert not os.listdir(f"{out}/work")
+
+
+def test_flags_count_what_fired_before(spark, out):
+    df = rules(spark, rule(1), rule(2, "Ether"))
+    cycle = evaluate_cycle(df, ticks(spark, tick(price=1.0, name="Other")), already=rules(spark, rule(1)), store=out)
+    assert rows(cycle.rules, "chat_id", "is_alerted") == [(1, True), (2, False)]
+
+
+def test_rules_that_arrive_after_a_fold_are_seen_and_fire_once(spark, out):
+    root, turns = f"{out}/rules", f"{out}/turns"
+    feed = ticks(spark, tick(price=150.0))
+
+    def turn():
+        now = read_rules(spark, root)
+        return run_turn(now.rows, feed, turns, folded=now.folded)
+
+    assert fold_rules(spark, root, turns) is None
+    write_commit(rules(spark, rule(1), rule(2, "Ether")), root)
+    turn()
+    write_commit(rules(spark, rule(3)), root)
+    fold_rules(spark, root, turns)
+    assert fold_rules(spark, root, turns) is None
+    assert rows(read_rules(spark, root).rows, "chat_id") == [(2,), (3,)] and read_rules(spark, root).folded == 0
+    write_commit(rules(spark, rule(4)), root)
+    assert [turn(), turn()] == [1, 2]
+    assert drop_turns(spark, turns, 0) == [0]
+    assert rows(fired_log(spark, turns, rules(spark)), "chat_id", "batch_id") == [(3, 1), (4, 1)]
+    assert rows(spark.read.parquet(f"{turns}/notifications"), "chat_id") == [(3,), (4,)]
+    fold_rules(spark, root, turns)
+    assert rows(read_rules(spark, root).rows, "chat_id") == [(2,)] and len(commits(spark, root)) == 5
 
 
 def test_no_ticks_nothing_fires(spark, out):
@@ -73,13 +121,3 @@ def test_no_ticks_nothing_fires(spark, out):
     cycle = evaluate_cycle(df, empty)
     assert cycle.fired.count() == cycle.notifications.count() == 0
     assert rows(cycle.rules, "chat_id", "is_alerted") == rows(df, "chat_id", "is_alerted")
-
-
-def test_folded_turns_are_not_read_again(spark, out):
-    df, feed = sample(spark)
-    df = df.filter("chat_id is not null")
-    run_turn(df, feed, f"{out}/turns")
-    compact_rules(df, fired_log(spark, f"{out}/turns", df), f"{out}/rules", 0)
-    stored = read_version(spark, f"{out}/rules", RULE)
-    run_turn(stored, feed, f"{out}/turns", folded=0)
-    assert rows(fired_log(spark, f"{out}/turns", df), "chat_id", "batch_id") == [(0, 0), (1, 0)]

@@ -71,6 +71,12 @@ def test_price_text(spark, text, expected):
         ("2025-01-01T10:00:00Z", at("2025-01-01 10:00:00")),
         ("2025-01-01T12:00:00+02:00", at("2025-01-01 10:00:00")),
         (" 2025-01-01 10:00:00 ", at("2025-01-01 10:00:00")),
+        ("2025-01-01 10:00:00+00", at("2025-01-01 10:00:00")),
+        ("2025-01-01 12:30:00.5+02", at("2025-01-01 10:30:00.500000")),
+        ("2025-01-01T12:00:00+0200", at("2025-01-01 10:00:00")),
+        ("2025-01-01T10:00:00z", at("2025-01-01 10:00:00")),
+        ("2025-01-01 10:00:00 UTC", at("2025-01-01 10:00:00")),
+        ("2025-01-01 11:00:00 Europe/Paris", at("2025-01-01 10:00:00")),
         ("2025-01-01", at("2025-01-01 00:00:00")),
         ("2025-13-01T10:00:00", None),
         ("10:00:00", None),

@@ -1,21 +1,14 @@
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import types as T
 
 from helpers import at, rows, rule, rules, tick, ticks
+from tickward.operators.retention import day_slice, purge_expired
 from tickward.schemas import RULE, TICK
-from tickward.sources.files import (
-    append_archive,
-    archive_by_day,
-    archive_day,
-    archive_snapshot,
-    committed,
-    prune_versions,
-    read_archive,
-    read_version,
-    write_version,
-)
+from tickward.sources.commits import BatchId, Commit, commits, prune, read_commits, rewrite, settled, write_commit
+from tickward.sources.files import append_archive, archive_by_day, archive_day, archive_snapshot, read_archive
 
 
 def days(spark):
@@ -36,19 +29,49 @@ def test_batch_archive_is_replay_safe(spark, out):
     assert rows(read_archive(spark, out, TICK), "id", "batch_id") == [("a", 0), ("b", 1)]
 
 
-def test_day_archive_replaces_its_day_only(spark, out):
+def test_batches_of_another_stream_do_not_replace_each_other(spark, out):
+    for source in ("one", "two", "two"):
+        append_archive(ticks(spark, tick(source)), out, BatchId.of(0, source))
+    assert rows(read_archive(spark, out, TICK), "id", "batch_id") == [("one", 0), ("two", 0)]
+
+
+def dated(spark, path):
+    return rows(spark.read.parquet(path).selectExpr("id", "cast(date as string) as date"), "id", "date")
+
+
+def test_day_archive_run_again_adds_nothing_and_loses_nothing(spark, out):
     archive_day(days(spark), "last_updated", out, "2025-01-01")
-    for _ in range(2):
-        archive_day(days(spark), "last_updated", out, "2025-01-02")
-    got = spark.read.parquet(out).selectExpr("id", "cast(date as string) as date")
-    assert rows(got, "id", "date") == [("a", "2025-01-01"), ("b", "2025-01-02"), ("c", "2025-01-02")]
+    for left in ("id <> 'none'", "id = 'b'", "id <> 'none'"):
+        archive_day(days(spark).filter(left), "last_updated", out, "2025-01-02")
+    assert dated(spark, out) == [("a", "2025-01-01"), ("b", "2025-01-02"), ("c", "2025-01-02")]
+
+
+def test_repeated_rows_of_a_day_are_all_archived(spark, out):
+    twice = days(spark).unionAll(days(spark))
+    for df in (days(spark), twice, twice):
+        archive_by_day(df, "last_updated", out)
+    assert spark.read.parquet(out).count() == 8
 
 
-def test_archive_by_day_keeps_other_days(spark, out):
+def test_archive_by_day_keeps_what_left_the_table_and_what_has_no_time(spark, out):
     archive_by_day(days(spark), "last_updated", out)
     archive_by_day(ticks(spark, tick("z", ts=at("2025-01-02 01:00:00"))), "last_updated", out)
-    got = spark.read.parquet(out).selectExpr("id", "cast(date as string) as date")
-    assert rows(got, "id", "date") == [("a", "2025-01-01"), ("z", "2025-01-02")]
+    want = [("a", "2025-01-01"), ("b", "2025-01-02"), ("c", "2025-01-02"), ("d", None), ("z", "2025-01-02")]
+    assert dated(spark, out) == want
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_days_are_utc_in_any_session_zone(spark, out, zone):
+    days(spark).write.parquet(f"{out}/t")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.read.parquet(f"{out}/t")
+        assert rows(day_slice(df, "last_updated", "2025-01-02"), "id") == [("b",), ("c",)]
+        assert rows(purge_expired(df, as_of="2025-01-03 05:30:00"), "id") == [("c",), ("d",)]
+        archive_by_day(df, "last_updated", f"{out}/a")
+        assert dated(spark, f"{out}/a") == [("a", "2025-01-01"), ("b", "2025-01-02"), ("c", "2025-01-02"), ("d", None)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_snapshot_archive_overwrites_its_date(spark, out):
@@ -60,30 +83,74 @@ def test_snapshot_archive_overwrites_its_date(spark, out):
         archive_snapshot(days(spark), out, "yesterday")
 
 
-def test_versions(spark, out):
-    assert committed(spark, out) == []
-    assert read_version(spark, out, TICK).count() == 0
-    for number in (0, 2, 10):
-        write_version(ticks(spark, tick(str(number))), out, number)
-    os.makedirs(f"{out}/version=11")  # never committed
-    assert committed(spark, out) == [0, 2, 10]
-    assert rows(read_version(spark, out, TICK), "id") == [("10",)]
-    assert rows(read_version(spark, out, TICK, before=10), "id") == [("2",)]
-    assert prune_versions(spark, out, keep=1) == [0, 2]
-    assert committed(spark, out) == [10]
+def test_commits(spark, out):
+    assert commits(spark, out) == [] and read_commits(spark, out, TICK).count() == 0
+    write_commit(ticks(spark, tick("a")), out)
+    full = write_commit(ticks(spark, tick("b")), out, "full")
+    write_commit(ticks(spark, tick("c")), out)
+    late = write_commit(ticks(spark, tick("d")), out, "full", upto=full.seq, note=7)
+    assert [c.seq for c in commits(spark, out)] == [0, 1, 2, 3] and Commit.read(late.mark) == late
+    assert rows(read_commits(spark, out, TICK), "id") == [("c",), ("d",)]
+
+
+def test_numbers_are_never_shared_and_a_dead_writer_holds_up_folding(spark, out):
+    write_commit(ticks(spark, tick("a")), out)
+    open(f"{out}/_claims/000000000001", "w").close()  # taken by a writer that has not marked it yet
+    assert write_commit(ticks(spark, tick("b")), out).seq == 2
+    assert settled(spark, out, commits(spark, out)) == 0
+    rewrite(spark, out, TICK, lambda df: df)
+    assert rows(read_commits(spark, out, TICK), "id") == [("a",), ("b",)]
+    os.utime(f"{out}/_claims/000000000001", (0, 0))
+    assert settled(spark, out, commits(spark, out)) == 3
+
+
+def test_replayed_batches_are_recognised_even_after_folding(spark, out):
+    for _ in range(2):
+        for n in range(3):
+            write_commit(ticks(spark, tick(str(n))), out, batch_id=BatchId.of(n, "s"))
+        rewrite(spark, out, TICK, lambda df: df)
+        prune(spark, out, dt.timedelta(0))
+    assert rows(read_commits(spark, out, TICK), "id") == [("0",), ("1",), ("2",)]
+    write_commit(ticks(spark, tick("other")), out, batch_id=BatchId.of(0, "t"))
+    assert read_commits(spark, out, TICK).count() == 4
+
+
+def test_prune_spares_what_is_in_force_and_what_is_recent(spark, out):
+    for name in "ab":
+        write_commit(ticks(spark, tick(name)), out, "full")
+    write_commit(ticks(spark, tick("c")), out)
+    assert prune(spark, out) == []
+    assert prune(spark, out, dt.timedelta(0)) == [0]
+    assert rows(read_commits(spark, out, TICK), "id") == [("b",), ("c",)]
+
+
+def test_data_without_marks_is_an_error_and_other_marks_do_not_matter(spark, out):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        write_commit(ticks(spark, tick("a")), out)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert read_commits(spark, out, TICK).count() == 1
+    os.rename(f"{out}/_commits", f"{out}/elsewhere")
+    with pytest.raises(ValueError, match="no commits"):
+        read_commits(spark, out, TICK)
 
 
 def test_rewriting_a_table_from_itself(spark, out):
-    write_version(rules(spark, rule(1), rule(2)), out, 0, ["is_alerted"])
-    write_version(read_version(spark, out, RULE).filter("chat_id = 2"), out, 1, ["is_alerted"])
-    assert rows(read_version(spark, out, RULE), "chat_id", "is_alerted") == [(2, False)]
+    write_commit(rules(spark, rule(1), rule(2)), out, "full", partition_by=["is_alerted"])
+    rewrite(spark, out, RULE, lambda df: df.filter("chat_id = 2"), partition_by=["is_alerted"])
+    assert rows(read_commits(spark, out, RULE), "chat_id", "is_alerted") == [(2, False)]
 
 
 def test_flag_folders_read_back_typed_and_prune(spark, out):
     df = rules(spark, rule(1, flag=True), rule(2, flag=False), rule(3, flag=None))
-    write_version(df, out, 0, ["is_alerted"])
-    back = read_version(spark, out, RULE)
+    write_commit(df, out, "full", partition_by=["is_alerted"])
+    back = read_commits(spark, out, RULE)
     assert back.schema["is_alerted"].dataType == T.BooleanType()
     assert rows(back, "chat_id", "is_alerted") == [(1, True), (2, False), (3, None)]
+    write_commit(rules(spark, rule(4)), out)
+    back = read_commits(spark, out, RULE)
+    assert rows(back, "chat_id", "is_alerted") == [(1, True), (2, False), (3, None), (4, False)]
     plan = back.filter("is_alerted = false")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(is_alerted" in plan

@@ -1,6 +1,10 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, rows, rule, rules, tick, ticks
+from tickward.functions.text import plain
 from tickward.operators.rules import (
     evaluate_thresholds,
     fired_only,
@@ -106,6 +110,26 @@ def test_notification_id_is_stable(spark):
     assert len(ids) == 1
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_notification_id_is_the_same_in_any_session_zone(spark, zone, out):
+    fire(spark, created=at("2025-01-01 10:00:00.123456"), price=500.0).write.parquet(out)
+    here = render_notifications(spark.read.parquet(out)).first()["notification_id"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert render_notifications(spark.read.parquet(out)).first()["notification_id"] == here
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_plain_numbers_read_back_the_same(spark):
+    rng = random.Random(4)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-30, 30) for _ in range(3000)]
+    values += [0.0, 1e-18, 1.2345678901234567e-5, 1e7, 1.5e7, 123456789.125, 1e22, 0.001, 5e-324, 1.7976931348623157e308, -2.5e-4]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", plain(F.col("x")).alias("t")).collect()
+    for value, text in got:
+        assert float(text) == value and "E" not in text and "." in text
+
+
 def test_mark_flags_every_rule_of_the_key(spark):
     df = rules(spark, rule(1, profit=1.0), rule(1, profit=99.0), rule(2), rule(1, flag=None), rule(2, flag=None))
     marked = mark_alerted(df, rules(spark, rule(1), rule(1)))

@@ -3,11 +3,14 @@ import pytest
 from helpers import rows, rule, rules
 from tickward.operators.decode import encode_messages
 from tickward.schemas import RULE, TICK, TICK_WIRE
-from tickward.sources.files import committed, read_archive, read_version
+from tickward.plans.cycle import read_rules
+from tickward.plans.upkeep import expire_ticks, read_ticks
+from tickward.sources.commits import BatchId, commits, in_force, read_commits
+from tickward.sources.files import read_archive
 from tickward.sources.streams import kafka_options, landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
 from tickward.streaming.ingest import ingest_rules, ingest_ticks
-from tickward.streaming.sinks import archive_sink, snapshot_sink
+from tickward.streaming.sinks import archive_sink, snapshot_sink, table_sink
 
 NOW = {"availableNow": True}
 
@@ -23,6 +26,10 @@ def run(spark, root, ingest=ingest_ticks, checkpoint="cp", **kw):
     return query
 
 
+def snapshot(spark, out):
+    return read_ticks(spark, f"{out}/snap")
+
+
 def wire(id, price):
     return (id, "s", f"name {id}", price, 1, 1)
 
@@ -35,7 +42,7 @@ def test_snapshot_and_history(spark, out, mode, expected):
     publish(spark, out, wire("a", 3.0))
     run(spark, out, sinks=sinks)
     run(spark, out, sinks=sinks)  # nothing new
-    assert rows(read_version(spark, f"{out}/snap", TICK), "id", "current_price") == expected
+    assert rows(snapshot(spark, out), "id", "current_price") == expected
     history = read_archive(spark, f"{out}/hist", TICK)
     assert rows(history, "id", "current_price", "batch_id") == [("a", 1.0, 0), ("a", 3.0, 1), ("b", 2.0, 0)]
     assert history.groupBy("batch_id").agg({"last_updated": "count"}).count() == 2
@@ -45,12 +52,11 @@ def test_one_file_per_batch_equals_one_batch(spark, out):
     for i in range(3):
         publish(spark, out, wire("a", float(i)), wire(f"x{i}", 1.0))
     stream = message_stream(spark, path=f"{out}/in", maxFilesPerTrigger="1")
-    sinks = [snapshot_sink(f"{out}/snap", "upsert", keep=2), archive_sink(f"{out}/hist")]
+    sinks = [snapshot_sink(f"{out}/snap", "upsert", fold_every=2), archive_sink(f"{out}/hist")]
     ingest_ticks(stream, sinks, f"{out}/cp", trigger=NOW).awaitTermination()
     assert read_archive(spark, f"{out}/hist", TICK).count() == 6
-    snapshot = read_version(spark, f"{out}/snap", TICK)
-    assert rows(snapshot, "id") == [("a",), ("x0",), ("x1",), ("x2",)]
-    assert len(committed(spark, f"{out}/snap")) == 2
+    assert rows(snapshot(spark, out), "id") == [("a",), ("x0",), ("x1",), ("x2",)]
+    assert len(in_force(commits(spark, f"{out}/snap"))[1]) < 2
 
 
 def test_unreadable_batch_leaves_the_snapshot(spark, out):
@@ -59,7 +65,7 @@ def test_unreadable_batch_leaves_the_snapshot(spark, out):
     run(spark, out, sinks=sinks, rejects=archive_sink(f"{out}/bad"))
     publish_messages(spark.createDataFrame([("junk",)], "value string"), path=f"{out}/in")
     run(spark, out, sinks=sinks, rejects=archive_sink(f"{out}/bad"))
-    assert rows(read_version(spark, f"{out}/snap", TICK), "id") == [("a",)]
+    assert rows(snapshot(spark, out), "id") == [("a",)]
     assert [r["value"] for r in spark.read.parquet(f"{out}/bad").collect()] == ["junk"]
 
 
@@ -84,11 +90,12 @@ def test_replayed_upsert_gives_the_same_snapshot(spark, out):
     from helpers import at, tick, ticks
 
     sink = snapshot_sink(f"{out}/snap", "upsert")
-    sink(ticks(spark, tick("a", price=1.0)), 0)
+    sink(ticks(spark, tick("a", price=1.0)), BatchId.of(0, "s"))
     second = ticks(spark, tick("a", price=2.0, ts=at("2025-02-01")), tick("b", price=5.0))
     for _ in range(2):
-        sink(second, 1)
-    assert rows(read_version(spark, f"{out}/snap", TICK), "id", "current_price") == [("a", 2.0), ("b", 5.0)]
+        sink(second, BatchId.of(1, "s"))
+    assert len(commits(spark, f"{out}/snap")) == 2
+    assert rows(snapshot(spark, out), "id", "current_price") == [("a", 2.0), ("b", 5.0)]
 
 
 def test_rule_stream(spark, out):
@@ -98,12 +105,10 @@ def test_rule_stream(spark, out):
         "no json",
     ]
     publish_messages(spark.createDataFrame([(m,) for m in messages], "value string"), path=f"{out}/in")
-    sinks = [archive_sink(f"{out}/table"), archive_sink(f"{out}/hist")]
+    sinks = [table_sink(f"{out}/table"), archive_sink(f"{out}/hist")]
     run(spark, out, ingest_rules, sinks=sinks, rejects=archive_sink(f"{out}/bad"))
-    for name in ("table", "hist"):
-        assert rows(read_archive(spark, f"{out}/{name}", RULE), "chat_id", "purchase_price", "is_alerted") == [
-            (7, 30000.0, False)
-        ]
+    for held in (read_rules(spark, f"{out}/table").rows, read_archive(spark, f"{out}/hist", RULE)):
+        assert rows(held, "chat_id", "purchase_price", "is_alerted") == [(7, 30000.0, False)]
     assert spark.read.parquet(f"{out}/bad").count() == 2
 
 
@@ -131,6 +136,39 @@ def test_alert_stream_alerts_once_and_sees_new_rules(spark, out):
     assert rows(sent, "chat_id", "batch_id") == [(1, 0), (2, 1), (3, 2)]
 
 
+def test_a_new_checkpoint_loses_nothing(spark, out):
+    sinks = [snapshot_sink(f"{out}/snap", "upsert"), archive_sink(f"{out}/hist")]
+    publish(spark, out, wire("a", 1.0))
+    run(spark, out, sinks=sinks)
+    publish(spark, out, wire("b", 2.0))
+    run(spark, out, checkpoint="other", sinks=sinks)
+    run(spark, out, sinks=sinks)
+    assert rows(read_archive(spark, f"{out}/hist", TICK), "id", "batch_id") == [("a", 0), ("a", 0), ("b", 0), ("b", 1)]
+    assert rows(snapshot(spark, out), "id") == [("a",), ("b",)]
+
+
+def test_expiry_beside_the_stream(spark, out):
+    from helpers import at, tick, ticks
+
+    sink = snapshot_sink(f"{out}/snap", "upsert")
+    sink(ticks(spark, tick("old"), tick("a", ts=at("2025-01-02"))), BatchId.of(0, "s"))
+    expire_ticks(spark, f"{out}/snap", as_of="2025-01-02 12:00:00")
+    expire_ticks(spark, f"{out}/snap", as_of="2025-01-02 13:00:00")
+    for n in (1, 2):
+        sink(ticks(spark, tick("a", price=99.0, ts=at(f"2025-01-0{n + 2}"))), BatchId.of(n, "s"))
+    assert rows(snapshot(spark, out), "id", "current_price") == [("a", 99.0)]
+
+
+def test_alerts_go_on_after_a_new_checkpoint(spark, out):
+    from helpers import tick
+
+    spark.createDataFrame([tick(price=150.0)], TICK).write.parquet(f"{out}/ticks")
+    for checkpoint in ("cp", "other"):
+        stream = spark.readStream.schema(TICK).parquet(f"{out}/ticks")
+        alert_stream(stream, lambda s: rules(s, rule(1)), f"{out}/o", f"{out}/{checkpoint}", trigger=NOW).awaitTermination()
+    assert rows(spark.read.parquet(f"{out}/o/notifications"), "chat_id", "batch_id") == [(1, 0)]
+
+
 def test_payload_files(spark, tmp_path):
     (tmp_path / "page.json").write_text('[{"id":"a"},\n {"id":"b"}]')
     assert landed_payloads(spark, str(tmp_path)).count() == 1

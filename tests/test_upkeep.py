@@ -6,23 +6,24 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows, rule, rules, tick, ticks
 from tickward.operators.decode import counted, explode_payload
-from tickward.plans.upkeep import archive_rules, archive_tables, clean_rules, expire_ticks
-from tickward.schemas import RULE, TICK, TICK_WIRE
-from tickward.sources.files import archive_by_day, read_version, write_version
+from tickward.plans.upkeep import archive_rules, archive_tables, clean_rules, expire_ticks, read_ticks
+from tickward.schemas import RULE, TICK_WIRE
+from tickward.sources.commits import read_commits, write_commit
+from tickward.sources.files import archive_by_day
 from tickward.streaming.delivery import deliver
 
 
 def test_clean_rules(spark, out):
     assert clean_rules(spark, out) is None
-    write_version(rules(spark, rule(1, flag=True), rule(2), rule(3, flag=None)), out, 0, ["is_alerted"])
-    assert clean_rules(spark, out) == 1
-    assert rows(read_version(spark, out, RULE), "chat_id", "is_alerted") == [(2, False), (3, None)]
+    write_commit(rules(spark, rule(1, flag=True), rule(2), rule(3, flag=None)), out, "full", partition_by=["is_alerted"])
+    assert clean_rules(spark, out).seq == 1
+    assert rows(read_commits(spark, out, RULE), "chat_id", "is_alerted") == [(2, False), (3, None)]
 
 
 def test_expire_ticks(spark, out):
-    write_version(ticks(spark, tick("old"), tick("new", ts=at("2025-01-03"))), out, 4)
-    assert expire_ticks(spark, out, as_of="2025-01-03 12:00:00") == 5
-    assert rows(read_version(spark, out, TICK), "id") == [("new",)]
+    write_commit(ticks(spark, tick("old"), tick("new", ts=at("2025-01-03"))), out)
+    expire_ticks(spark, out, as_of="2025-01-03 12:00:00")
+    assert rows(read_ticks(spark, out), "id") == [("new",)]
 
 
 def test_archive_both_tables(spark, out):
@@ -78,5 +79,8 @@ def test_delivery_keeps_receipts_and_skips_what_was_sent(spark, out, tmp_path):
     deliver(notes, make_send("fail"), out, 0)
     receipts = {r["notification_id"]: r["error"] for r in spark.read.parquet(out).collect()}
     assert receipts == {"n1": None, "n2": "ValueError: refused", "n3": None}
-    deliver(notes, make_send("nothing"), out, 1)
+    for turn in (0, 0, 1):
+        deliver(notes, make_send("nothing"), out, turn)
     assert sorted(open(box).read().split("\n")) == ["", "1 hello", "2 fail", "3 bye"]
+    deliver(notes.limit(1), make_send("nothing"), out, 500, look_back=100)
+    assert open(box).read().count("1 hello") == 2  # so old a receipt is not looked at

@@ -13,8 +13,6 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 MONEY_FORMAT = "0.00"
-# Prints 30000.0, 12.345 and 10000000.0, never an exponent.
-PLAIN_FORMAT = "0.0################"
 PROFIT_HEADLINE = "📈 {asset} hit your profit target!"
 LOSS_HEADLINE = "📉 {asset} dropped below your stop-loss!"
 PRICE_LINE = "Current price: ${price}"
@@ -37,12 +35,22 @@ def money(c: Column) -> Column:
 
 
 def plain(c: Column) -> Column:
-    """Shortest decimal text. ``cast`` gives it cheaply, but switches to ``1.0E7`` from ten million
-    on and to ``1.0E-4`` below a thousandth; the number format takes those."""
-    size = F.abs(c)
-    return F.when((size >= 0.001) & (size < 10000000), c.cast("string")).otherwise(
-        F.call_function("format_number", c, F.lit(PLAIN_FORMAT))
-    )
+    """Shortest decimal text that reads back as the same number, never with an exponent.
+
+    ``cast`` gives the shortest digits but writes ``1.0E7`` from ten million on and ``1.0E-4`` below a
+    thousandth; the point is moved by as many places as the exponent says.
+    """
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    body = F.ltrim(text, F.lit("-"))
+    mantissa, power = F.substring_index(body, "E", 1), F.substring_index(body, "E", -1).try_cast("int")
+    whole, tail = F.substring_index(mantissa, ".", 1), F.regexp_replace(F.substring_index(mantissa, ".", -1), "^0$", "")
+    digits, places = F.concat(whole, tail), F.length(tail)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    large = F.concat(F.rpad(digits, power + 1, F.lit("0")), F.lit(".0"))
+    between = F.concat(F.left(digits, power + 1), F.lit("."), F.substring(digits, power + 2, places))
+    moved = F.when(power < 0, small).when(places <= power, large).otherwise(between)
+    return F.when(body.contains("E"), F.concat(sign, moved)).otherwise(text)
 
 
 def fill(template: str, **parts: Column) -> Column:

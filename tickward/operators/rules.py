@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickward.functions.text import alert_text
 from tickward.functions.thresholds import fired_side, loss_limit, profit_target, unusable
@@ -15,6 +16,23 @@ from tickward.schemas import RULE_KEY
 OPERANDS = ["purchase_price", "desired_profit_percentage", "desired_loss_percentage", "current_price"]
 
 
+# What a notification is told apart by.
+IDENTITY = ["chat_id", "crypto_type", *OPERANDS[:3], "created_at", "tick_id", "side"]
+SEPARATOR = "\x1f"
+
+
+def digest(rows: DataFrame, names: Sequence[str]) -> Column:
+    """Digest of those of the named columns that ``rows`` has, the same in every session zone: times
+    count as microseconds, NULL differs from the empty text."""
+    parts = []
+    for field in (rows.schema[n] for n in names if n in rows.columns):
+        c = F.col(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            c = F.unix_micros(c)
+        parts.append(F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("")))
+    return F.md5(F.concat_ws(SEPARATOR, *parts))
+
+
 def pending_rules(rules: DataFrame) -> DataFrame:
     """Rules not flagged yet; an unknown flag is not pending."""
     return rules.filter(F.col("is_alerted") == F.lit(False))
@@ -76,9 +94,8 @@ def render_notifications(fired: DataFrame) -> DataFrame:
 
     The id is a digest of the rule, the tick and the side, so a replayed send can be recognised.
     """
-    named = [c for c in ("chat_id", "crypto_type", *OPERANDS[:3], "created_at", "tick_id", "side") if c in fired.columns]
     return fired.filter(F.col("chat_id").isNotNull() & (F.col("chat_id") != 0)).select(
-        F.md5(F.to_json(F.struct(*named))).alias("notification_id"),
+        digest(fired, IDENTITY).alias("notification_id"),
         "chat_id",
         alert_text(
             F.col("side"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 from tickward.functions.thresholds import unusable
 from tickward.operators.retention import purge_flagged
 from tickward.operators.rules import (
+    IDENTITY,
     OPERANDS,
+    digest,
     evaluate_thresholds,
     fired_only,
     latest_ticks,
@@ -24,8 +27,10 @@ from tickward.operators.rules import (
     threshold_rejects,
     without_alerted,
 )
-from tickward.schemas import RULE_KEY
-from tickward.sources.files import append_archive, committed, read_archive, stored, write_version
+from tickward.schemas import RULE, RULE_KEY
+from tickward.sources.commits import Commit, commits, in_force, read_commits, read_folders, settled, source_key, write_commit
+from tickward.sources.files import append_archive, read_archive, stored
+from tickward.sources.storage import delete, entries
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,7 @@ class Cycle:
     rejects: DataFrame
     evaluated: DataFrame
     keys: Sequence[str]
+    already: DataFrame | None = None
 
     @property
     def notifications(self) -> DataFrame:
@@ -44,48 +50,85 @@ class Cycle:
 
     @property
     def rules(self) -> DataFrame:
-        return mark_alerted(self.evaluated, self.fired, self.keys)
+        rules = self.evaluated if self.already is None else mark_alerted(self.evaluated, self.already, self.keys)
+        return mark_alerted(rules, self.fired, self.keys)
+
+
+REJECTED = ["chat_id", "crypto_type", *OPERANDS, "created_at", "tick_id"]
 
 
 def evaluate_cycle(
     rules: DataFrame,
     ticks: DataFrame,
     *,
+    store: str | None = None,
     tiebreak: Sequence[str] = (),
     keys: Sequence[str] = RULE_KEY,
     already: DataFrame | None = None,
-    store: str | None = None,
+    rejected: DataFrame | None = None,
 ) -> Cycle:
     """Evaluate pending rules against the latest tick of their asset, once.
 
-    ``already`` holds keys that fired before and are not flagged in ``rules`` yet; they are
-    removed from the outcome, which is far smaller than the rules.
+    Give ``store`` wherever more than one output is used. The latest ticks and then the outcome are
+    written there and read back. The first lets the planner see the real size of the tick side: if
+    it is below the broadcast threshold, the rules are joined where they are read, without a
+    shuffle. The second makes notifications and flags agree even if the ticks change meanwhile.
+    Without ``store`` every output is one lazy plan that evaluates the match for itself.
 
-    With ``store``, the latest ticks and then the outcome are written there and read back. The
-    first lets the planner see the real size of the tick side: if it is below the broadcast
-    threshold, the rules are joined where they are read, without a shuffle. The second makes
-    notifications and flags agree even if the ticks change meanwhile. Without ``store`` the
-    result is one lazy plan per output, and the join strategy is settled at run time.
+    ``already`` holds keys that fired before and are not flagged in ``rules`` yet; they are
+    removed from the outcome, which is far smaller than the rules. ``rejected`` holds the
+    ``reject_id`` of rows that were set aside before and are not to be set aside again.
     """
     latest = latest_ticks(ticks, tiebreak)
     if store is not None:
         latest = stored(latest, f"{store}/latest")
     pairs = evaluate_thresholds(match_rules(pending_rules(rules), latest))
-    if store is None and already is None:
+    if store is None and already is None and rejected is None:
         return Cycle(fired_only(pairs), threshold_rejects(pairs), rules, keys)
     outcome = pairs.filter(F.col("side").isNotNull() | unusable(*[F.col(c) for c in OPERANDS]))
     if already is not None:
         outcome = without_alerted(outcome, already, keys)
+    if rejected is not None:
+        outcome = outcome.withColumn("reject_id", F.when(F.col("side").isNull(), digest(outcome, REJECTED)))
+        outcome = outcome.join(rejected.select("reject_id").distinct(), "reject_id", "left_anti")
     if store is not None:
         # few rules fire in most turns: without the rebalance, one small file per task of the scan
         outcome = stored(outcome.hint("rebalance"), f"{store}/outcome")
-    return Cycle(fired_only(outcome), outcome.filter(F.col("side").isNull()), rules, keys)
+    return Cycle(fired_only(outcome), outcome.filter(F.col("side").isNull()), rules, keys, already)
+
+
+# -- turns -----------------------------------------------------------------------------------
+
+
+def _turns(spark: SparkSession, out: str) -> dict[int, Commit]:
+    """The commit of every turn that ended, the last one if a turn was run again."""
+    return {c.note: c for c in commits(spark, f"{out}/fired")}
+
+
+def fired_log(spark: SparkSession, out: str, rules: DataFrame, keys: Sequence[str] = RULE_KEY, after: int = -1, before: int | None = None) -> DataFrame:
+    """Keys fired by the turns kept under ``out``, once per turn, with ``fired_at`` and the turn as
+    ``batch_id``. Turns up to ``after`` are left unread, dropped ones are gone."""
+    fields = [*[rules.schema[k] for k in keys], T.StructField("fired_at", T.TimestampType()), T.StructField("batch_id", T.LongType())]
+    held = {e.name for e in entries(spark, f"{out}/fired/data")}
+    chosen = [c for turn, c in _turns(spark, out).items() if turn > after and (before is None or turn < before) and c.folder in held]
+    return read_folders(spark, f"{out}/fired", T.StructType(fields), chosen)
+
 
+def _fired_keys(fired: DataFrame, keys: Sequence[str], began: dt.datetime, turn: int) -> DataFrame:
+    """Each fired key once, NULL keys left out since they match nothing.
+
+    ``fired_at`` is the later of the turn's start and the rule's own time: a rule stamped by a
+    clock that runs ahead, or stored while the turn began, has fired all the same.
+    """
+    began = F.lit(began)
+    if "created_at" in fired.columns:
+        began = F.greatest(began, F.col("created_at").cast("timestamp"))
+    dated = fired.dropna("any", subset=list(keys)).select(F.struct(*keys).alias("_key"), began.alias("fired_at"))
+    once = dated.groupBy("_key").agg(F.max("fired_at").alias("fired_at"))
+    return once.select("_key.*", "fired_at", F.lit(turn).cast("long").alias("batch_id"))
 
-def fired_log(spark: SparkSession, out: str, rules: DataFrame, keys: Sequence[str] = RULE_KEY) -> DataFrame:
-    """Keys fired by the turns kept under ``out``, with ``fired_at`` and the turn as ``batch_id``."""
-    fields = [rules.schema[k] for k in keys]
-    return read_archive(spark, f"{out}/fired", T.StructType([*fields, T.StructField("fired_at", T.TimestampType())]))
+
+REJECT_ID = T.StructType([T.StructField("reject_id", T.StringType())])
 
 
 def run_turn(
@@ -97,40 +140,101 @@ def run_turn(
     tiebreak: Sequence[str] = (),
     keys: Sequence[str] = RULE_KEY,
     folded: int = -1,
+    batch_id: int | None = None,
 ) -> int:
     """Run one turn, store what it did under ``out`` and return its number.
 
-    Writes, in this order: ``work`` (latest ticks, evaluated rows), ``notifications``, ``fired``
-    (keys and the time the turn began), each in a folder for the turn. The rules table itself is
-    not rewritten. Earlier turns' keys count as flagged; turns up to ``folded`` are in the rules
-    table already (``compact_rules``) and their folders are not read. A turn that died is not in
-    ``fired`` and runs again under its number, replacing its output.
+    Writes ``notifications`` and ``rejects`` in a folder for the turn and commits ``fired`` (keys and
+    when they fired), after which the turn counts and its ``work`` (latest ticks, evaluated
+    rows) is removed. The rules table itself is not rewritten. Earlier turns' keys count as
+    flagged; turns up to ``folded`` are in the rules table already (``fold_rules``) and are not
+    read. A turn that died never counted, and the next one replaces its output.
+
+    Turns number themselves. ``batch_id`` names the micro-batch behind a turn: if a turn of that
+    batch of that stream has ended, it is not run again. A row that cannot be evaluated is written to
+    ``rejects`` once, until its rule or the tick it met changes.
     """
-    began = F.lit(dt.datetime.now(dt.timezone.utc))
+    began = dt.datetime.now(dt.timezone.utc)
     keys = list(keys)
     spark = rules.sparkSession
+    ended = _turns(spark, out)
+    source = source_key(getattr(batch_id, "source", ""))
+    if source:
+        done = [t for t, c in ended.items() if c.source == source and c.batch == int(batch_id)]
+        if done:
+            return done[0]
     if turn is None:
-        turn = max(committed(spark, f"{out}/fired", "batch_id"), default=-1) + 1
-    log = fired_log(spark, out, rules, keys).filter((F.col("batch_id") > folded) & (F.col("batch_id") < turn))
-    cycle = evaluate_cycle(
-        rules, ticks, tiebreak=tiebreak, keys=keys, already=log, store=f"{out}/work/batch_id={turn}"
-    )
+        turn = max([folded, *ended]) + 1
+    log = fired_log(spark, out, rules, keys, after=folded, before=turn)
+    rejected = read_archive(spark, f"{out}/rejects", REJECT_ID).filter(F.col("batch_id") < turn)
+    work = f"{out}/work/batch_id={turn}"
+    cycle = evaluate_cycle(rules, ticks, tiebreak=tiebreak, keys=keys, already=log, rejected=rejected, store=work)
     append_archive(cycle.notifications, f"{out}/notifications", turn)
-    append_archive(cycle.fired.select(*keys, began.alias("fired_at")), f"{out}/fired", turn)
+    append_archive(cycle.rejects.drop("side", "profit_target", "loss_limit"), f"{out}/rejects", turn)
+    write_commit(_fired_keys(cycle.fired, keys, began, turn), f"{out}/fired", note=turn, batch_id=batch_id)
+    delete(spark, work)
     return turn
 
 
+def drop_turns(spark: SparkSession, out: str, upto: int) -> list[int]:
+    """Delete what turns up to ``upto`` left, apart from their rejects and marks; call it once they
+    are folded into the rules and their notifications are delivered."""
+    gone = []
+    for turn, commit in _turns(spark, out).items():
+        if turn <= upto:
+            delete(spark, f"{out}/fired/data/{commit.folder}")
+            gone.append(turn)
+    for entry in entries(spark, f"{out}/notifications/source=none"):
+        number = entry.name.removeprefix("batch_id=")
+        if number.isdigit() and int(number) <= upto:
+            delete(spark, f"{out}/notifications/source=none/{entry.name}")
+    return sorted(gone)
+
+
+# -- the rules table -------------------------------------------------------------------------
+
+
+class Rules(NamedTuple):
+    """The rules in force and the last turn folded into them."""
+
+    rows: DataFrame
+    folded: int
+
+
+def read_rules(spark: SparkSession, root: str, schema: T.StructType = RULE) -> Rules:
+    """The rules table: its newest full state and every batch stored since. Pass ``folded`` to ``run_turn``."""
+    known = commits(spark, root)
+    base, _ = in_force(known)
+    return Rules(read_commits(spark, root, schema, known), base.note if base else -1)
+
+
 def compact_rules(
     rules: DataFrame,
     log: DataFrame,
     root: str,
-    version: int,
     *,
+    upto: int | None = None,
+    turn: int = -1,
     keys: Sequence[str] = RULE_KEY,
     purge: bool = True,
-) -> None:
-    """Fold the fired log into the rules table as a new version, without the flagged rules if
-    ``purge``. Flag values get a folder each, so a pending scan never opens flagged rules. The
-    join's own partitions are written as they are; rules are not shuffled again."""
+) -> Commit:
+    """Commit ``rules`` with the fired log folded in as the table's full state, without the flagged
+    rules if ``purge``. Flag values get a folder each, so a pending scan never opens flagged rules.
+    The join's own partitions are written as they are; rules are not shuffled again."""
     marked = mark_alerted(rules, log, keys)
-    write_version(purge_flagged(marked) if purge else marked, root, version, ["is_alerted"])
+    return write_commit(purge_flagged(marked) if purge else marked, root, "full", upto=upto, note=turn, partition_by=["is_alerted"])
+
+
+def fold_rules(spark: SparkSession, root: str, out: str, schema: T.StructType = RULE, *, keys: Sequence[str] = RULE_KEY, purge: bool = True) -> Commit | None:
+    """Fold the turns under ``out`` into the rules table. Rules stored meanwhile are left as they are;
+    None while there is nothing to fold."""
+    known = commits(spark, root)
+    last = settled(spark, root, known)
+    base, _ = in_force([c for c in known if c.seq <= last])
+    folded = base.note if base else -1
+    turns = [t for t in _turns(spark, out) if t > folded]
+    if not known or not turns:
+        return None
+    rules = read_commits(spark, root, schema, [c for c in known if c.seq <= last])
+    log = fired_log(spark, out, rules, keys, after=folded, before=max(turns) + 1)
+    return compact_rules(rules, log, root, upto=last, turn=max(turns), keys=keys, purge=purge)

@@ -79,6 +79,8 @@ _WIRE_RULES = """
            CASE o_orderpriority WHEN '1-URGENT' THEN 'junk'
                WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
                WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.250000')
+               WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+                   || CASE o_orderstatus WHEN 'F' THEN '+02' WHEN 'O' THEN 'z' ELSE ' UTC' END
                ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END AS created_at,
            o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate
     FROM orders
@@ -91,6 +93,7 @@ _TYPED_RULES = f"""
                AS desired_profit_percentage,
            CASE WHEN o_orderpriority <> '5-LOW' THEN 5.0::DOUBLE END AS desired_loss_percentage,
            CASE o_orderpriority WHEN '1-URGENT' THEN NULL
+               WHEN '4-NOT SPECIFIED' THEN epoch_us(o_orderdate) - CASE o_orderstatus WHEN 'F' THEN 7200000000 ELSE 0 END
                WHEN '3-MEDIUM' THEN epoch_us(o_orderdate) + 250000 ELSE epoch_us(o_orderdate) END AS created_at,
            false AS is_alerted
     FROM ({_WIRE_RULES}) WHERE o_orderstatus <> 'P'
@@ -178,13 +181,11 @@ ORACLES: dict[str, str] = {
     "latest_by_part": _LATEST,
     "pending_rules": "SELECT *, false AS is_alerted FROM orders WHERE o_orderstatus = 'O'",
     "render_messages": f"""
-        SELECT md5('{{"chat_id":' || chat_id || ',"crypto_type":' || crypto_type
-                   || ',"purchase_price":' || purchase_price::VARCHAR
-                   || ',"desired_profit_percentage":' || desired_profit_percentage::VARCHAR
-                   || ',"desired_loss_percentage":' || desired_loss_percentage::VARCHAR
-                   || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S.000')
-                   || '","tick_id":' || tick_id || ',"side":"' || side || '"}}') AS notification_id,
+        SELECT md5(concat_ws(chr(31), '=' || chat_id, '=' || crypto_type, '=' || purchase_price::VARCHAR,
+                             '=' || desired_profit_percentage::VARCHAR, '=' || desired_loss_percentage::VARCHAR,
+                             '=' || strftime(created_at, '%Y-%m-%d %H:%M:%S'), '=' || tick_id, '=' || side)) AS notification_id,
                chat_id,
+               -- fixed values: the wording of a notification
                CASE side WHEN 'profit' THEN
                    '📈 ' || crypto_type || ' hit your profit target!' || chr(10)
                    || 'Current price: $' || printf('%.2f', current_price) || chr(10)
@@ -235,7 +236,26 @@ ORACLES: dict[str, str] = {
                      AND f.purchase_price = r.purchase_price) THEN true ELSE r.is_alerted END AS is_alerted)
         FROM ({_RULES}) r""",
     "cycle_turns": f"""
-        SELECT chat_id, crypto_type, purchase_price, 0::BIGINT AS batch_id FROM ({_FIRED})""",
+        SELECT DISTINCT chat_id, crypto_type, purchase_price, 0::BIGINT AS batch_id FROM ({_FIRED})""",
+    "alert_once": f"""
+        SELECT DISTINCT chat_id, crypto_type, purchase_price, 0::BIGINT AS batch_id FROM ({_FIRED}) WHERE chat_id % 7 <> 0""",
+    "rules_table": f"""
+        WITH fired AS (SELECT DISTINCT chat_id, crypto_type, purchase_price FROM ({_FIRED}))
+        SELECT r.* REPLACE (CASE WHEN r.chat_id % 2 = 1 AND f.chat_id IS NOT NULL THEN true ELSE r.is_alerted END AS is_alerted)
+        FROM ({_RULES}) r LEFT JOIN fired f
+          ON f.chat_id = r.chat_id AND f.crypto_type = r.crypto_type AND f.purchase_price = r.purchase_price
+        WHERE r.chat_id % 2 = 1 OR (r.is_alerted IS DISTINCT FROM true AND f.chat_id IS NULL)""",
+    "clean_rules": f"""
+        SELECT * REPLACE (crypto_type::VARCHAR AS crypto_type, epoch_us(created_at) AS created_at)
+        FROM ({_RULES}) WHERE is_alerted IS DISTINCT FROM true""",
+    "archive_tables": f"""
+        SELECT 'rules' AS name, chat_id, purchase_price, DATE '2024-01-15' AS date
+        FROM ({_RULES}) WHERE strftime(created_at, '%m-%d') = '06-15'
+        UNION ALL SELECT 'ticks', event_id, value, DATE '2024-01-15' FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",
+    "today_defaults": """
+        SELECT 'slice' AS name, event_id FROM events WHERE event_id % 3 = 0
+        UNION ALL SELECT 'expiry', event_id FROM events WHERE event_id % 3 <> 1""",
+    "landed_payloads": "SELECT event_id AS market_cap, (SELECT count(*) FROM events)::BIGINT AS records FROM events",
     "compact_rules": f"""
         SELECT r.* FROM ({_RULES}) r
         WHERE r.is_alerted IS DISTINCT FROM true AND NOT EXISTS (
@@ -243,13 +263,22 @@ ORACLES: dict[str, str] = {
             WHERE f.chat_id = r.chat_id AND f.crypto_type = r.crypto_type
               AND f.purchase_price = r.purchase_price)""",
     "stream_history": _EVENT_TICKS,
+    "stream_restart": f"""
+        SELECT * FROM ({_EVENT_TICKS}) WHERE batch_id < 2
+        UNION ALL SELECT * REPLACE (0::BIGINT AS batch_id) FROM ({_EVENT_TICKS})""",
+    "expire_beside_stream": f"""
+        SELECT t.* EXCLUDE (batch_id), epoch_us(ts) AS last_updated
+        FROM ({_EVENT_TICKS}) t JOIN events ON event_id = market_cap WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC) = 1""",
+    "arrival_stamp": f"SELECT market_cap, batch_id, true AS inside, 1::BIGINT AS stamps FROM ({_EVENT_TICKS})",
     "stream_snapshot": f"SELECT * EXCLUDE (batch_id) FROM ({_EVENT_TICKS}) WHERE batch_id = 2",
     "stream_upsert": f"""
         SELECT * EXCLUDE (batch_id) FROM ({_EVENT_TICKS})
         QUALIFY row_number() OVER (
             PARTITION BY id
             ORDER BY batch_id DESC, symbol DESC, name DESC, current_price DESC, market_cap DESC) = 1""",
-    "stream_rules": f"SELECT *, 0::BIGINT AS batch_id FROM ({_TYPED_RULES})",
+    "stream_rules": f"""
+        SELECT t.*, 0::BIGINT AS batch_id, sink FROM ({_TYPED_RULES}) t, (VALUES ('table'), ('history')) s(sink)""",
     "stream_rejects": f"""
         SELECT *, 0::BIGINT AS batch_id FROM ({_REJECTED_RULES})
         UNION ALL

@@ -1,4 +1,7 @@
-"""Scheduled upkeep of stored tables: cleanup, expiry and archives. One call is one run."""
+"""Scheduled upkeep of stored tables: cleanup, expiry and archives. One call is one run.
+
+Jobs may run beside the streams that fill the tables: what arrives after a job has read stays in force.
+"""
 
 from __future__ import annotations
 
@@ -6,28 +9,31 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickward.operators.latest import latest_per_key
 from tickward.operators.retention import TICK_TTL, purge_expired, purge_flagged
 from tickward.schemas import RULE, TICK
-from tickward.sources.files import archive_day, archive_snapshot, committed, read_version, write_version
+from tickward.sources.commits import Commit, read_commits, rewrite
+from tickward.sources.files import archive_day, archive_snapshot
 
 
-def _rewrite(spark: SparkSession, root: str, schema, change, partition_by=()) -> int | None:
-    """Apply ``change`` to the newest version and commit the result as the next one."""
-    done = committed(spark, root)
-    if not done:
-        return None
-    write_version(change(read_version(spark, root, schema)), root, done[-1] + 1, partition_by)
-    return done[-1] + 1
+def clean_rules(spark: SparkSession, root: str) -> Commit | None:
+    """Remove flagged rules; only the folders of the other flag values are read."""
+    return rewrite(spark, root, RULE, purge_flagged, partition_by=["is_alerted"])
 
 
-def clean_rules(spark: SparkSession, root: str) -> int | None:
-    """Remove flagged rules; only the folders of the other flag values are read."""
-    return _rewrite(spark, root, RULE, purge_flagged, ["is_alerted"])
+def read_ticks(spark: SparkSession, root: str) -> DataFrame:
+    """The tick snapshot: the latest tick per id of what the table holds."""
+    return latest_per_key(read_commits(spark, root, TICK), ["id"], "last_updated")
+
+
+def fold_ticks(spark: SparkSession, root: str) -> Commit | None:
+    """Make one full state of the snapshot and the batches added to it."""
+    return rewrite(spark, root, TICK, lambda df: latest_per_key(df, ["id"], "last_updated"))
 
 
-def expire_ticks(spark: SparkSession, root: str, ttl: str = TICK_TTL, as_of: dt.datetime | str | None = None) -> int | None:
+def expire_ticks(spark: SparkSession, root: str, ttl: str = TICK_TTL, as_of: dt.datetime | str | None = None) -> Commit | None:
     """Remove ticks older than ``ttl``."""
-    return _rewrite(spark, root, TICK, lambda df: purge_expired(df, "last_updated", ttl, as_of))
+    return rewrite(spark, root, TICK, lambda df: purge_expired(latest_per_key(df, ["id"], "last_updated"), "last_updated", ttl, as_of))
 
 
 def archive_tables(

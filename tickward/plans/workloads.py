@@ -7,14 +7,15 @@ rows. Every query reads its whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickward.operators.chat import parse_kv_messages
-from tickward.operators.decode import decode_messages, decode_ticks, encode_messages, explode_payload, type_rules
+from tickward.operators.decode import counted, decode_messages, decode_ticks, encode_messages, explode_payload, type_rules
 from tickward.operators.latest import latest_per_key
 from tickward.operators.retention import day_slice, purge_expired, purge_flagged
 from tickward.operators.rules import (
@@ -26,21 +27,17 @@ from tickward.operators.rules import (
     pending_rules,
     threshold_rejects,
 )
-from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, run_turn
+from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
 from tickward.plans.intake import rule_intake, tick_intake
+from tickward.plans.upkeep import archive_tables, clean_rules, expire_ticks, read_ticks
 from tickward.schemas import RULE, TICK
 from tickward.session import shared_dir
-from tickward.sources.files import (
-    archive_by_day,
-    archive_day,
-    archive_snapshot,
-    read_archive,
-    read_version,
-)
-from tickward.sources.streams import message_stream, publish_messages
+from tickward.sources.commits import BatchId, read_commits, write_commit
+from tickward.sources.files import archive_by_day, archive_day, archive_snapshot, read_archive, stored
+from tickward.sources.streams import landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
 from tickward.streaming.ingest import ingest_rules, ingest_ticks
-from tickward.streaming.sinks import Sink, archive_sink, snapshot_sink
+from tickward.streaming.sinks import Sink, archive_sink, snapshot_sink, table_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,6 +163,7 @@ def order_wire_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "1-URGENT", F.lit("junk"))
         .when(kind == "2-HIGH", F.concat(iso, F.lit("Z")))
         .when(kind == "3-MEDIUM", F.concat(iso, F.lit(".250000")))
+        .when(kind == "4-NOT SPECIFIED", F.concat(iso, F.when(status == "F", F.lit("+02")).when(status == "O", F.lit("z")).otherwise(F.lit(" UTC"))))
         .otherwise(iso)
         .alias("created_at"),
     )
@@ -348,8 +346,79 @@ def cycle_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, root = shared_dir(spark, "turns"), shared_dir(spark, "rules")
     rules = _two_turns(spark, sf_dir, out)
-    compact_rules(rules, fired_log(spark, out, rules), root, 1)
-    return read_version(spark, root, rules.schema)
+    compact_rules(rules, fired_log(spark, out, rules), root)
+    return read_commits(spark, root, rules.schema)
+
+
+def alert_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three turns over rules of which some were stamped long after now and some have no chat."""
+    lines, out = table(spark, sf_dir, "lineitem"), shared_dir(spark, "turns")
+    rules = line_rules(lines, flag=_three_valued_flag())
+    late = F.when(F.col("chat_id") % 3 == 0, F.col("created_at") + F.expr("INTERVAL 100 YEARS")).otherwise(F.col("created_at"))
+    rules = rules.withColumn("created_at", late).withColumn("chat_id", F.when(F.col("chat_id") % 7 != 0, F.col("chat_id")))
+    for _ in range(3):
+        run_turn(rules, line_ticks(lines), out, tiebreak=LINE_TIEBREAK)
+    return fired_log(spark, out, rules).drop("fired_at")
+
+
+def rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that arrive before and after a fold, with a turn after each arrival, as the table ends up."""
+    lines, out, root = table(spark, sf_dir, "lineitem"), shared_dir(spark, "turns"), shared_dir(spark, "rules")
+    rules, ticks, store = line_rules(lines, flag=_three_valued_flag()), line_ticks(lines), table_sink(root)
+    halves = [rules.filter(F.col("chat_id") % 2 == n) for n in (0, 1)]
+    for n, half in enumerate(halves):
+        for _ in range(2):  # the second is a replay
+            store(half, BatchId.of(n, "rules"))
+        now = read_rules(spark, root, rules.schema)
+        run_turn(now.rows, ticks, out, tiebreak=LINE_TIEBREAK, folded=now.folded)
+        fold_rules(spark, root, out, rules.schema, purge=n == 0)
+    return read_rules(spark, root, rules.schema).rows
+
+
+def _stored_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = line_rules(table(spark, sf_dir, "lineitem"), flag=_three_valued_flag())
+    return rules.select(*[F.col(f.name).cast(f.dataType) for f in RULE.fields])
+
+
+def cleaned_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "rules")
+    write_commit(_stored_rules(spark, sf_dir), root, "full", partition_by=["is_alerted"])
+    clean_rules(spark, root)
+    return read_rules(spark, root).rows.withColumn("created_at", F.unix_micros("created_at"))
+
+
+def archived_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables archived for one day, again after half of their rows have left, and a third time.
+
+    What was shipped on any 15 June counts as a rule of the day."""
+    root = shared_dir(spark, "archive")
+    day = F.when(F.date_format("created_at", "MM-dd") == "06-15", F.lit("2024-01-15 12:00:00").cast("timestamp"))
+    rules = _stored_rules(spark, sf_dir).select("chat_id", "purchase_price", day.alias("created_at"))
+    ticks = event_wire(spark, sf_dir).select(F.col("market_cap").alias("chat_id"), F.col("current_price").alias("purchase_price"), F.col("ts").alias("last_updated"))
+    for keep in (F.lit(True), F.col("chat_id") % 2 == 0, F.lit(True)):
+        archive_tables(rules.filter(keep), ticks.filter(keep), root, "2024-01-15")
+    both = [spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("name"), "chat_id", "purchase_price", "date") for name in ("rules", "ticks")]
+    return both[0].unionAll(both[1])
+
+
+def todays_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the events moved to now, a third to three days ago: what the defaults keep."""
+    now = dt.datetime.now(dt.timezone.utc)
+    part = F.col("event_id") % 3
+    moved = F.when(part == 0, F.lit(now)).when(part == 1, F.lit(now - dt.timedelta(days=3)))
+    events = table(spark, sf_dir, "events").select("event_id", moved.alias("at"))
+    kept = [("slice", day_slice(events, "at")), ("expiry", purge_expired(events, "at"))]
+    rows = [df.select(F.lit(name).alias("name"), "event_id") for name, df in kept]
+    return rows[0].unionAll(rows[1])
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload files of a thousand events each, read whole, with the number of records the run counted."""
+    root, schema = shared_dir(spark, "payloads"), T.StructType([T.StructField("market_cap", T.LongType())])
+    _event_payloads(spark, sf_dir, per_page=1000).repartition("page").write.partitionBy("page").text(f"{root}/landing")
+    seen = Observation("records")
+    rows = counted(explode_payload(landed_payloads(spark, f"{root}/landing"), schema), seen)
+    return stored(rows, f"{root}/rows").withColumn("records", F.lit(seen.get["records"]))
 
 
 # -- streams ---------------------------------------------------------------------------------
@@ -394,12 +463,47 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(spark, f"{root}/history", TICK).drop("last_updated")
 
 
+def arrival_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the stamp of every archived tick lies within the run, one stamp per batch."""
+    began = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=1)
+    root = _land_and_ingest(spark, _tick_slices(spark, sf_dir), "stamps", ingest_ticks, sinks=lambda root: [archive_sink(f"{root}/history")])
+    inside = F.col("last_updated").between(F.lit(began), F.lit(dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=1)))
+    rows = read_archive(spark, f"{root}/history", TICK)
+    stamps = rows.groupBy("batch_id").agg(F.count_distinct("last_updated").alias("stamps"))
+    return rows.join(stamps, "batch_id").select("market_cap", "batch_id", inside.alias("inside"), "stamps")
+
+
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive filled by a stream and then by another one that starts afresh on a new checkpoint."""
+    root = shared_dir(spark, "restart")
+    slices = _tick_slices(spark, sf_dir)
+    for part, checkpoint in zip(slices, ["first", "first", "second"]):
+        publish_messages(part, path=f"{root}/landing")
+        stream = message_stream(spark, path=f"{root}/landing")
+        ingest_ticks(stream, [archive_sink(f"{root}/history")], f"{root}/{checkpoint}", trigger=AVAILABLE).awaitTermination()
+    return read_archive(spark, f"{root}/history", TICK).drop("last_updated")
+
+
+def expire_beside_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot that batches, one of them replayed, and expiry runs change in turn."""
+    root = shared_dir(spark, "snapshot")
+    ticks = event_wire(spark, sf_dir).withColumn("last_updated", F.col("ts").cast("timestamp"))
+    sink = snapshot_sink(root, "upsert", fold_every=2)
+    for n, part in enumerate(_slices(ticks)):
+        for _ in range(2):
+            sink(part.select(*TICK.names), BatchId.of(n, "ticks"))
+        if n < 2:
+            expire_ticks(spark, root, as_of=SLICE_BOUNDS[n])
+    return read_ticks(spark, root).withColumn("last_updated", F.unix_micros("last_updated"))
+
+
 def _snapshot(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     def sinks(root: str) -> list[Sink]:
         return [snapshot_sink(f"{root}/snapshot", mode)]
 
     root = _land_and_ingest(spark, _tick_slices(spark, sf_dir), f"snapshot-{mode}", ingest_ticks, sinks=sinks)
-    return read_version(spark, f"{root}/snapshot", TICK).drop("last_updated")
+    rows = read_commits(spark, f"{root}/snapshot", TICK) if mode == "batch" else read_ticks(spark, f"{root}/snapshot")
+    return rows.drop("last_updated")
 
 
 def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,15 +523,17 @@ def _rule_stream(spark: SparkSession, sf_dir: str) -> str:
         [encoded, noise],
         "rules",
         ingest_rules,
-        sinks=lambda root: [archive_sink(f"{root}/table"), archive_sink(f"{root}/history")],
+        sinks=lambda root: [table_sink(f"{root}/table"), archive_sink(f"{root}/history")],
         rejects=lambda root: archive_sink(f"{root}/rejects"),
     )
 
 
 def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream stored in both of its sinks."""
     root = _rule_stream(spark, sf_dir)
-    stored = read_archive(spark, f"{root}/table", RULE)
-    return stored.withColumn("created_at", F.unix_micros("created_at"))
+    held = read_rules(spark, f"{root}/table").rows.withColumns({"sink": F.lit("table"), "batch_id": F.lit(0).cast("long")})
+    both = held.unionByName(read_archive(spark, f"{root}/history", RULE).withColumn("sink", F.lit("history")))
+    return both.withColumn("created_at", F.unix_micros("created_at"))
 
 
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,8 +570,8 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tick of the stream archive joined to its customer's standing rule."""
-    ticks = stream_history(spark, sf_dir)
+    """Every tick message of a stream joined, as it arrives, to its customer's standing rule."""
+    root = shared_dir(spark, "join")
     rules = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("chat_id"),
         F.concat(F.lit("asset "), F.col("c_custkey").cast("string")).alias("crypto_type"),
@@ -473,8 +579,13 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(10.0).alias("desired_profit_percentage"),
         F.lit(5.0).alias("desired_loss_percentage"),
     )
-    latest = ticks.select(F.col("market_cap").alias("tick_id"), F.col("name").alias("asset"), "current_price")
-    return match_rules(rules, latest)
+    for part in _tick_slices(spark, sf_dir):
+        publish_messages(part, path=f"{root}/landing")
+        ticks = decode_ticks(message_stream(spark, path=f"{root}/landing")).good
+        joined = match_rules(rules, ticks.select(F.col("market_cap").alias("tick_id"), F.col("name").alias("asset"), "current_price"))
+        writer = joined.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(**AVAILABLE)
+        writer.start(f"{root}/pairs").awaitTermination()
+    return spark.read.parquet(f"{root}/pairs")
 
 
 QUERIES: dict[str, Query] = {
@@ -506,7 +617,16 @@ QUERIES: dict[str, Query] = {
     "cycle_rules": cycle_rules,
     "cycle_turns": cycle_turns,
     "compact_rules": compacted_rules,
+    "alert_once": alert_once,
+    "rules_table": rules_table,
+    "clean_rules": cleaned_rules,
+    "archive_tables": archived_tables,
+    "today_defaults": todays_rows,
+    "landed_payloads": landed_pages,
     "stream_history": stream_history,
+    "stream_restart": stream_restart,
+    "expire_beside_stream": expire_beside_stream,
+    "arrival_stamp": arrival_stamp,
     "stream_snapshot": stream_snapshot,
     "stream_upsert": stream_upsert,
     "stream_rules": stream_rules,

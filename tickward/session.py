@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -33,19 +36,26 @@ def build_session(app: str = "tickward", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may run without the setting; it then gets a folder of its own.
+    Only a session whose driver and executors are one process may run without the setting; it
+    then gets a folder of its own, removed when the process ends.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tickward-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        made = tempfile.mkdtemp(prefix="tickward-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _LOCAL_ROOTS[context.applicationId] = made
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

@@ -1,27 +1,17 @@
-"""Parquet tables: batch archives, day archives, and snapshots replaced as a whole.
-
-Parquet has no row-level update, and overwriting a path while reading it loses data. A snapshot
-is therefore written to a new ``version=N`` folder; readers take the newest one whose write
-committed.
-"""
+"""Parquet archives: per batch, per day, and dated snapshots."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickward.functions.times import utc_date, utc_day
 from tickward.operators.retention import day_slice
-
-COMMIT_MARK = "_SUCCESS"
-
-
-def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """Empty table that the optimizer knows to be empty, so that joins with it fold away."""
-    return spark.createDataFrame([], schema).limit(0)
+from tickward.sources.commits import source_key
+from tickward.sources.storage import exists, no_rows
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -32,113 +22,57 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def append_archive(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch under ``batch_id=N``; writing the same batch again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Add one batch under its stream and number; the same batch of the same stream replaces
+    itself, another stream's batch of that number is left alone."""
+    source = source_key(getattr(batch_id, "source", "")) or "none"
+    df.write.mode("overwrite").parquet(f"{path}/source={source}/batch_id={int(batch_id)}")
 
 
 def read_archive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Every archived batch, with its ``batch_id``; empty before the first one."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).parquet(path) if _exists(spark, path) else no_rows(spark, full)
+    full = T.StructType([*schema.fields, T.StructField("source", T.StringType()), T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(full).parquet(path) if exists(spark, path) else no_rows(spark, full)
+    return rows.drop("source")
+
+
+def _add_missing(rows: DataFrame, path: str, column: str, days: list[dt.date | None]) -> None:
+    """Append those of ``rows`` that the archived ``days`` do not hold yet, as often as they are missing."""
+    spark = rows.sparkSession
+    if exists(spark, path):
+        held = spark.read.schema(rows.schema).parquet(path)
+        lowest, highest = min((d for d in days if d), default=None), max((d for d in days if d), default=None)
+        dated = F.col(column).between(F.lit(lowest), F.lit(highest)) if lowest else F.lit(False)
+        rows = rows.exceptAll(held.where(dated | F.col(column).isNull() if None in days else dated))
+    rows.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
 
 
 def archive_day(df: DataFrame, ts: str, path: str, day: dt.date | str | None = None, column: str = "date") -> str:
-    """Write the rows of one day (today by default) under ``<column>=YYYY-MM-DD``; returns the folder.
+    """Add the rows of one UTC day (today by default) under ``<column>=YYYY-MM-DD``; returns the folder.
 
-    A re-run replaces the day. The rebalance evens out files whatever share of the slice a
-    single input file holds.
+    Rows the day holds already are not added again, and rows that have left the table since an
+    earlier run stay. The rebalance evens out files whatever share of the slice a single input
+    file holds.
     """
-    day = _iso_day(day)
-    folder = f"{path}/{column}={day}"
-    day_slice(df, ts, day).hint("rebalance").write.mode("overwrite").parquet(folder)
-    return folder
+    day = utc_day(day)
+    rows = day_slice(df, ts, day).withColumn(column, F.lit(day))
+    _add_missing(rows, path, column, [day])
+    return f"{path}/{column}={day.isoformat()}"
 
 
 def archive_by_day(df: DataFrame, ts: str, path: str, column: str = "date") -> None:
-    """Write every dated row under its day; days present in ``df`` are replaced, others kept.
+    """Add every row under its UTC day, rows without a time under the NULL day; what is archived stays.
 
     Rows are rebalanced by day, so a day is a few files; a day far larger than the others is
     split over tasks by the adaptive planner.
     """
-    dated = df.filter(F.col(ts).isNotNull()).withColumn(column, F.to_date(ts))
-    (
-        dated.hint("rebalance", column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    rows = df.withColumn(column, utc_date(df, ts))
+    span = rows.agg(F.min(column), F.max(column), F.count(F.when(F.col(column).isNull(), 1))).first()
+    _add_missing(rows, path, column, [d for d in span[:2] if d] + [None] * bool(span[2]))
 
 
 def archive_snapshot(df: DataFrame, path: str, day: dt.date | str | None = None, column: str = "date") -> str:
     """Write the whole table under ``<column>=YYYY-MM-DD`` (today by default), replacing an
     earlier run of that day."""
-    folder = f"{path}/{column}={_iso_day(day)}"
+    folder = f"{path}/{column}={utc_day(day).isoformat()}"
     df.write.mode("overwrite").parquet(folder)
     return folder
-
-
-def write_version(df: DataFrame, root: str, version: int, partition_by: Sequence[str] = ()) -> None:
-    """Write a snapshot version; the same version written again replaces the earlier attempt."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/version={version}")
-
-
-def committed(spark: SparkSession, root: str, name: str = "version") -> list[int]:
-    """Numbers N of the ``<name>=N`` folders whose write finished, lowest first."""
-    fs, path = _fs(spark, root)
-    if not fs.exists(path):
-        return []
-    found = []
-    for status in fs.listStatus(path):
-        label, _, number = status.getPath().getName().partition("=")
-        if label == name and number.isdigit() and _exists(spark, f"{root}/{name}={number}/{COMMIT_MARK}"):
-            found.append(int(number))
-    return sorted(found)
-
-
-def read_version(
-    spark: SparkSession, root: str, schema: T.StructType, before: int | None = None
-) -> DataFrame:
-    """Newest committed version (older than ``before`` if given); empty when there is none.
-
-    ``schema`` is declared, so partition folders read back in their own type and no file is
-    opened to infer it.
-    """
-    usable = [v for v in committed(spark, root) if before is None or v < before]
-    if not usable:
-        return no_rows(spark, schema)
-    return spark.read.schema(schema).parquet(f"{root}/version={usable[-1]}")
-
-
-def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` committed versions; returns the deleted ones."""
-    if keep < 1:
-        raise ValueError("keep at least one version")
-    fs, _ = _fs(spark, root)
-    old = committed(spark, root)[:-keep]
-    for number in old:
-        fs.delete(_path(spark, f"{root}/version={number}"), True)
-    return old
-
-
-def _iso_day(day: dt.date | str | None) -> str:
-    if day is None:
-        return dt.datetime.now(dt.timezone.utc).date().isoformat()
-    return dt.date.fromisoformat(str(day)[:10]).isoformat()
-
-
-def _path(spark: SparkSession, name: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(name)
-
-
-def _fs(spark: SparkSession, name: str):
-    path = _path(spark, name)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def _exists(spark: SparkSession, name: str) -> bool:
-    fs, path = _fs(spark, name)
-    return fs.exists(path)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickward.sources.files import append_archive, read_archive
+from tickward.sources.storage import entries, exists, no_rows
 
 Send = Callable[[int, str], None]
 
@@ -22,21 +22,30 @@ RECEIPT = T.StructType(
 )
 
 
-def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str, turn: int) -> None:
-    """Send every notification and keep a receipt per row under ``path`` (``error`` NULL if sent).
+def read_receipts(spark: SparkSession, path: str) -> DataFrame:
+    """All receipts, with the turn and the attempt they belong to; empty before the first one."""
+    schema = T.StructType([*RECEIPT.fields, T.StructField("turn", T.LongType()), T.StructField("attempt", T.IntegerType())])
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else no_rows(spark, schema)
+
+
+def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str, turn: int, look_back: int = 100) -> None:
+    """Send every notification of a turn and keep a receipt per row under ``path`` (``error`` NULL if sent).
 
     ``make_send`` runs once per task, so a client or connection is opened per task and never
-    shipped. A failed send is a receipt, not a failed job. Notifications that an earlier turn
-    sent are skipped by id; a task that is retried sends its rows again (at least once).
+    shipped. A failed send is a receipt, not a failed job. Calling again for the same turn is the
+    retry: what has a receipt without an error, from this turn or from the ``look_back`` turns before,
+    is not sent again, what failed is. A task that dies before its receipts are committed sends
+    its rows again (at least once).
     """
     spark = notifications.sparkSession
-    receipts = read_archive(spark, path, RECEIPT)
-    sent = receipts.filter((F.col("batch_id") < turn) & F.col("error").isNull()).select("notification_id").distinct()
+    recent = read_receipts(spark, path).filter(F.col("turn").between(turn - look_back, turn))
+    sent = recent.filter(F.col("error").isNull()).select("notification_id").distinct()
+    attempt = len([e for e in entries(spark, f"{path}/turn={turn}") if e.name.startswith("attempt=")])
 
     def send_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         send = make_send()
 
-        def attempt(chat_id: int, text: str) -> str | None:
+        def try_once(chat_id: int, text: str) -> str | None:
             try:
                 send(chat_id, text)
             except Exception as error:  # the receipt carries it
@@ -44,8 +53,9 @@ def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str,
             return None
 
         for batch in batches:
-            errors = [attempt(int(c), t) for c, t in zip(batch["chat_id"], batch["text"])]
+            errors = [try_once(int(c), t) for c, t in zip(batch["chat_id"], batch["text"])]
             yield batch[["notification_id", "chat_id"]].assign(error=pd.Series(errors, index=batch.index, dtype="object"))
 
     fresh = notifications.join(sent, "notification_id", "left_anti").select("notification_id", "chat_id", "text")
-    append_archive(fresh.mapInPandas(send_all, RECEIPT), path, turn)
+    fresh = fresh.dropDuplicates(["notification_id"])
+    fresh.mapInPandas(send_all, RECEIPT).write.parquet(f"{path}/turn={turn}/attempt={attempt}")

@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickward.operators.decode import split_tagged, tag_rules, tag_ticks
+from tickward.sources.commits import BatchId
 from tickward.streaming.sinks import Sink
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id the engine gave the stream of a checkpoint; another checkpoint is another stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_batches(
     stream: DataFrame,
-    handle: Callable[[DataFrame, int], None],
+    handle: Callable[[DataFrame, BatchId], None],
     checkpoint: str,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Run ``handle`` per micro-batch. The checkpoint is required: without one, messages that
-    arrive while the query is down are never read."""
-    writer = stream.writeStream.foreachBatch(handle).outputMode("append").option("checkpointLocation", checkpoint)
+    """Run ``handle`` per micro-batch, with a batch number that knows its stream. The checkpoint is
+    required: without one, messages that arrive while the query is down are never read."""
+    named: list[str] = []
+
+    def numbered(batch: DataFrame, batch_id: int) -> None:
+        if not named:
+            named.append(stream_name(batch.sparkSession, checkpoint))
+        handle(batch, BatchId.of(batch_id, named[0]))
+
+    writer = stream.writeStream.foreachBatch(numbered).outputMode("append").option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
@@ -29,7 +43,7 @@ def _each_once(tag: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink], rej
     """Batch handler that reads and decodes once however many sinks there are, and leaves a sink
     untouched when the batch has nothing for it."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: BatchId) -> None:
         tagged = tag(batch)
         # keep the text of rejected messages only
         tagged = tagged.withColumn("_raw", F.when(F.col("_reject").isNotNull(), F.col("_raw")))

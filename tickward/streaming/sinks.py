@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tickward.operators.latest import latest_per_key
-from tickward.schemas import TICK
-from tickward.sources.files import append_archive, prune_versions, read_version, write_version
+from tickward.plans.upkeep import fold_ticks
+from tickward.sources.commits import commits, in_force, write_commit
+from tickward.sources.files import append_archive
 from tickward.sources.jdbc import write_jdbc
 
 Sink = Callable[[DataFrame, int], None]
 
 
 def archive_sink(path: str) -> Sink:
-    """Append-only Parquet, one folder per batch; a replayed batch replaces itself. The rebalance
-    keeps a small batch from becoming one file per source partition."""
+    """Append-only Parquet, one folder per batch of a stream; a replayed batch replaces itself. The
+    rebalance keeps a small batch from becoming one file per source partition."""
     return lambda batch, batch_id: append_archive(batch.hint("rebalance"), path, batch_id)
 
 
@@ -30,23 +31,31 @@ def jdbc_replace_sink(url: str, table: str, **options: object) -> Sink:
     return lambda batch, _: write_jdbc(batch, url, table, replace=True, **options)
 
 
-def snapshot_sink(root: str, mode: str = "batch", keep: int = 2) -> Sink:
-    """Keep a tick snapshot as versions numbered by batch.
+def table_sink(root: str) -> Sink:
+    """Add every batch to a table of commits; a replayed batch is recognised and not added again."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        write_commit(batch.hint("rebalance"), root, batch_id=batch_id)
+
+    return add
+
+
+def snapshot_sink(root: str, mode: str = "batch", fold_every: int = 50) -> Sink:
+    """Keep a tick snapshot, to be read by ``read_ticks``.
 
     ``batch``: the snapshot is the last non-empty batch. ``upsert``: it is the latest tick per id
-    seen so far, so a page split over two batches stays whole; the old rows come from the newest
-    version before this batch, hence a replay gives the same result.
+    seen so far, so a page split over two batches stays whole; a batch only adds its own latest
+    ticks, and every ``fold_every`` additions the table is folded into one state.
     """
     if mode not in ("batch", "upsert"):
         raise ValueError(f"unknown snapshot mode {mode!r}")
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch
-        if mode == "upsert":
-            old = read_version(spark, root, TICK, before=batch_id)
-            rows = latest_per_key(old.unionByName(batch), ["id"], "last_updated")
-        write_version(rows, root, batch_id)
-        prune_versions(spark, root, keep)
-
-    return replace
+        write_commit(batch, root, "full", batch_id=batch_id)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        write_commit(latest_per_key(batch, ["id"], "last_updated"), root, batch_id=batch_id)
+        if len(in_force(commits(batch.sparkSession, root))[1]) >= fold_every:
+            fold_ticks(batch.sparkSession, root)
+
+    return replace if mode == "batch" else add
