@@ -47,6 +47,14 @@ def test_fixed_text_inside_the_article_goes(spark):
     assert all("archive" in text for text in few)
 
 
+def test_headings_stay_where_every_page_has_one_paragraph(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(WORDS, k=60)) for _ in range(12)]
+    pages = [(i, "http://one.example.com/", f"<html><body><nav><a>m</a></nav><article><h1>Head {i}</h1><div><p>{t}</p></div></article></body></html>") for i, t in enumerate(texts)]
+    got = {r["page_id"]: r["text"] for r in extract(rows(spark, pages)).collect()}
+    assert got == {i: f"Head {i}\n\n{t}" for i, t in enumerate(texts)}
+
+
 def test_copies_keep_their_text(spark):
     pages = [(i, "http://c.example.com/", "<html><body><nav>menu</nav><article><h1>Title</h1><p>The same text.</p></article></body></html>") for i in range(50)]
     assert {r["text"] for r in extract(rows(spark, pages)).collect()} == {"Title\n\nThe same text."}

@@ -64,6 +64,7 @@ ASIDE_WORDS = frozenset(
     "replies share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 CONTENT_TAGS = ("article", "main")
+CONTAINERS = frozenset("html body center div section table tbody tr td".split()) | frozenset(CONTENT_TAGS)
 
 
 def host_of(url: Column) -> Column:
@@ -155,6 +156,10 @@ def blocks_of(runs: list[Run]) -> list[tuple[Run, str]]:
     return [(first, text) for first, text in joined if text]
 
 
+def tag_of(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
 def text_token(path: str, text: str) -> str:
     return f"{path}|{xxhash.xxh3_64_hexdigest(text)}"
 
@@ -223,8 +228,10 @@ def deduce_templates(tokens: DataFrame, support: int = 5, text_support: int = 20
         content = ""
         for node in sorted(skeleton["token"], key=lambda p: (p.count("/"), p)):
             inside = sum(n for path, n in chars.items() if path == node or path.startswith(node + "/"))
-            if total and inside >= share * total and node.startswith(content):
+            if total and inside >= share * total and node.startswith(content) and tag_of(node) in CONTAINERS:
                 content = node
+                if tag_of(node) in CONTENT_TAGS:  # what marks itself as the article is taken whole
+                    break
         fixed = rows[is_text & (rows["pages"] >= max(text_support, text_share * pages))]["token"].tolist()
         return pd.DataFrame([{"host": host, "content": content, "skeleton": skeleton["token"].tolist(), "fixed": fixed}])
 
