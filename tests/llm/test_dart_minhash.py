@@ -43,7 +43,13 @@ def test_coordinates_agree_as_often_as_the_weights_are_alike(a, b):
     x, y = (np.pad(w, (0, size - len(w))) for w in (a, b))
     wanted = np.minimum(x, y).sum() / np.maximum(x, y).sum()
     keys = dm.mix64(np.arange(1, size + 1, dtype=np.uint64))
-    same = [np.mean(dm.dart_minhash(keys[: len(a)], a, 256, s) == dm.dart_minhash(keys[: len(b)], b, 256, s)) for s in range(1, 21)]
+    both, weights, sizes = np.concatenate([keys[: len(a)], keys[: len(b)]]), np.concatenate([a, b]), np.array([len(a), len(b)])
+    same = []
+    for seed in range(1, 21):
+        x, y = dm.dart_minhash(both, weights, sizes, 256, seed)
+        alone = dm.dart_minhash(keys[: len(b)], b, sizes[1:], 256, seed)[0]
+        assert (alone == y).all()
+        same.append(np.mean(x == y))
     assert abs(np.mean(same) - wanted) < 0.03
 
 

@@ -34,6 +34,7 @@ from tickward.llm.components import components
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xD1B54A32D192ED03)
 THIRD = np.uint64(0x8CB92BA72F3D8DD7)
+MASK_WORDS = 1 << 19  # of 64 bits; bounds what is sent to all tasks to pick texts out where they are read
 FEW = 32  # members outside a bucket's largest component that are compared with all of it
 
 
@@ -42,44 +43,58 @@ def _unit(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
-def dart_minhash(elements: np.ndarray, weights: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
-    """``k`` coordinates of a non-empty weighted set: ``elements`` unsigned 64-bit hashes, ``weights`` positive, around 1 and up."""
+def dart_minhash(elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
+    """``k`` coordinates of each of several weighted sets, laid end to end, ``sizes`` elements each and none empty.
+
+    ``elements`` are unsigned 64-bit hashes, ``weights`` positive, around 1 and up. Sets in which a coordinate got no dart
+    are thrown at again up to twice the rank.
+    """
     levels = np.ceil(np.log2(weights + 1)).astype(np.int64)
     owner = np.repeat(np.arange(len(elements)), levels)
     level = np.arange(len(owner)) - np.repeat(np.cumsum(levels) - levels, levels)
     rate = np.exp2(level)
-    whole = weights[owner] >= 2 * rate - 1
+    height = weights[owner]
+    whole = height >= 2 * rate - 1
+    of = np.repeat(np.arange(len(sizes)), sizes)[owner]
     with np.errstate(over="ignore"):
         base = mix64(elements[owner] + np.uint64(seed) * SECOND + level.astype(np.uint64) * THIRD)
-    limit = k * (np.log(k) + 3) / weights.sum()
-    while True:
-        signature, filled = np.zeros(k, dtype=np.uint64), np.zeros(k, dtype=bool)
-        ranks, ids = [], []
-        live, reached, thrown = np.arange(len(base)), np.zeros(len(base)), 0
+    limits = k * (np.log(k) + 3) / np.add.reduceat(weights, np.cumsum(sizes) - sizes)
+    signature = np.zeros((len(sizes), k), dtype=np.uint64)
+    cells = np.arange(len(base))
+    while len(cells):
+        ranks, darts, sets = [], [], []
+        live, reached, thrown = cells, np.zeros(len(cells)), 0
         while len(live):
-            expected = limit * rate[live].max() - thrown
+            limit = limits[of[live]]
+            expected = float(np.quantile(limit * rate[live], 0.75)) - thrown
             width = max(1, int(expected + np.sqrt(max(expected, 0))) + 1)
-            width = min(width, max(1, 2_000_000 // len(live)))
+            width = min(width, max(1, 1_000_000 // len(live)))
             with np.errstate(over="ignore"):
-                darts = mix64(base[live, None] + (np.arange(thrown, thrown + width, dtype=np.uint64) + np.uint64(1)) * GOLDEN)
-            rank = reached[live, None] - np.cumsum(np.log(_unit(darts)), axis=1) / rate[live, None]
-            hit = rank <= limit
+                thrown_now = mix64(base[live, None] + (np.arange(thrown, thrown + width, dtype=np.uint64) + np.uint64(1)) * GOLDEN)
+            rank = reached[:, None] - np.cumsum(np.log(_unit(thrown_now)), axis=1) / rate[live, None]
+            hit = rank <= limit[:, None]
+            going = hit[:, -1]
             if not whole[live].all():
-                height = rate[live, None] * (1 + _unit(mix64(darts ^ SECOND))) - 1
-                hit &= height <= weights[owner[live], None]
+                at = rate[live, None] * (1 + _unit(mix64(thrown_now ^ SECOND))) - 1
+                hit = hit & (at <= height[live, None])
             ranks.append(rank[hit])
-            ids.append(darts[hit])
-            reached[live] = rank[:, -1]
-            live = live[rank[:, -1] <= limit]
+            darts.append(thrown_now[hit])
+            sets.append(np.repeat(of[live], hit.sum(axis=1)))
+            reached = rank[going, -1]
+            live = live[going]
             thrown += width
-        rank, dart = np.concatenate(ranks), mix64(np.concatenate(ids) ^ THIRD)
-        order = np.argsort(-rank, kind="stable")
-        coordinate = (dart[order] % np.uint64(k)).astype(np.int64)
-        signature[coordinate] = dart[order]  # the earliest dart is written last
-        filled[coordinate] = True
-        if filled.all():
-            return signature
-        limit *= 2
+        rank, dart, place = np.concatenate(ranks), mix64(np.concatenate(darts) ^ THIRD), np.concatenate(sets)
+        place = place * k + (dart % np.uint64(k)).astype(np.int64)
+        order = np.argsort(-rank)
+        filled = np.zeros(signature.size, dtype=bool)
+        signature.ravel()[place[order]] = dart[order]  # the earliest dart is written last
+        filled[place] = True
+        short = ~filled.reshape(signature.shape).all(axis=1)
+        limits = np.where(short, 2 * limits, limits)
+        cells = cells[short[of[cells]]]
+        if len(cells):  # only these are thrown at again
+            signature[short] = 0
+    return signature
 
 
 class _WordHashes(dict):
@@ -110,24 +125,38 @@ def _signatures(documents: DataFrame, bands: int, rows: int, width: int, counted
         hashes = _WordHashes()
         names = ["id", "a", "b", "n", "bands", "sketch"]
         types = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.binary()]
-        held: list[tuple] = []
+        ids: list[tuple] = []
+        sets: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def signed() -> pa.RecordBatch:
+            elements, weights = (np.concatenate(c) for c in zip(*sets, strict=True))
+            signature = dart_minhash(elements, weights, np.array([len(e) for e, _ in sets]), bands * rows)
+            keys = np.tile(np.arange(bands, dtype=np.uint64), (len(sets), 1))
+            with np.errstate(over="ignore"):
+                for k in range(rows):
+                    keys = mix64(keys * GOLDEN + signature[:, k::rows])
+            sketch = (signature >> np.uint64(32)).astype(np.uint8)
+            doc_ids, left, right = zip(*ids, strict=True)
+            columns = [doc_ids, left, right, [int(w.sum()) for _, w in sets], list(keys.view(np.int64)), [row.tobytes() for row in sketch]]
+            ids.clear()
+            sets.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+        size = 0
         for doc_id, text in rows_of(batches, "doc_id", "text"):
             words = words_of(text)
             if not words:
                 continue
             elements, weights = np.unique(shingles(words, hashes, width), return_counts=True)
-            weights = weights.astype(np.float64) if counted else np.ones(len(elements))
-            signature = dart_minhash(elements, weights, bands * rows)
-            keys = np.arange(bands, dtype=np.uint64)
-            with np.errstate(over="ignore"):
-                for k in range(rows):
-                    keys = mix64(keys * GOLDEN + signature[k::rows])
+            sets.append((elements, weights.astype(np.float64) if counted else np.ones(len(elements))))
             whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-            held.append((doc_id, (whole >> 64) - (1 << 63), (whole & (2**64 - 1)) - (1 << 63), int(weights.sum()), keys.view(np.int64), (signature >> np.uint64(32)).astype(np.uint8).tobytes()))
-            if len(held) >= 5000:
-                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], t) for k, t in enumerate(types)], names)
-                held = []
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in held], t) for k, t in enumerate(types)], names)
+            ids.append((doc_id, (whole >> 64) - (1 << 63), (whole & (2**64 - 1)) - (1 << 63)))
+            size += len(elements)
+            if size > 50_000:
+                yield signed()
+                size = 0
+        if sets:
+            yield signed()
 
     named = documents.where("doc_id is not null").select("doc_id", "text")
     return named.mapInArrow(sign, "id long, a long, b long, n long, bands array<long>, sketch binary")
@@ -166,6 +195,24 @@ def _alike_in_size(a: str, b: str, threshold: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * F.lit(threshold)
 
 
+def _texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """id and text of the ``wanted`` ids (doc_id, distinct).
+
+    A bit mask of fixed size over hashed ids drops nearly all other texts where they are read, so that few are shuffled
+    for the exact join. Where ids are many more than its bits it lets more through, and the result is the same.
+    """
+
+    def place(doc_id: str) -> tuple[Column, Column]:
+        h = F.xxhash64(doc_id)
+        return F.pmod(h, F.lit(MASK_WORDS)), F.expr(f"shiftleft(1L, cast(pmod(shiftright(xxhash64({doc_id}), 32), 64) as int))")
+
+    word, bit = place("doc_id")
+    mask = wanted.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    likely = texts.join(F.broadcast(mask), word == F.col("_word")).where(F.col("_bits").bitwiseAND(bit) != 0)
+    return likely.select(F.col("doc_id").alias("id"), "text").join(wanted.select(F.col("doc_id").alias("id")), "id", "left_semi")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, documents: DataFrame, threshold: float, width: int, counted: bool) -> DataFrame:
     """The candidate ``pairs`` (x, y) whose texts have ``threshold`` similarity.
 
@@ -186,14 +233,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, documents: DataFrame, threshol
     size = texts.select(F.length("sketch")).first()
     least = threshold - 5 * (threshold * (1 - threshold) / (size[0] if size else 1)) ** 0.5
     likely = stored(likely.where(F.col("_agree") >= least).select("x", "y").distinct(), "likely")
-    wanted = likely.select(F.col("x").alias("doc_id")).unionAll(likely.select("y")).distinct()
-    read = documents.select("doc_id", "text").where("text is not null").join(wanted, "doc_id", "left_semi")
-    sets = stored(_shingle_sets(read.select(F.col("doc_id").alias("id"), "text"), width), "shingles")
+    wanted = stored(likely.select(F.col("x").alias("doc_id")).unionAll(likely.select("y")).distinct(), "wanted")
+    sets = stored(_shingle_sets(_texts_of(wanted, documents), width), "shingles")
     sides = [sets.select(F.col("id").alias(c), F.col("set").alias(f"_{c}set"), F.col("counts").alias(f"_{c}n")) for c in ("x", "y")]
     both = likely.join(sides[0], "x").join(sides[1], "y").withColumn("_alike", similarity("_xset", "_xn", "_yset", "_yn"))
     return both.where(F.col("_alike") >= threshold).select("x", "y").distinct()
 
 
+def _first_labels(links: DataFrame) -> DataFrame:
+    """node and component, the smallest node found two links away: enough to tell most of a group of copies apart from
+    the few that its leaders do not reach. Too fine a label costs comparisons, never links."""
+    both = links.select("x", "y").unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    first = stored(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("y")), "labels")
+    then = first.select(F.col("x").alias("y"), F.col("y").alias("component"))
+    return first.join(then, "y").select(F.col("x").alias("node"), "component")
+
+
 def _stragglers(buckets: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float, levels: int) -> DataFrame:
     """Pairs (x, y) of different components that share a bucket (key, id, n); see the module for how."""
     named = labels.select(F.col("node").alias("id"), "component")
@@ -241,8 +296,7 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5
     pairs = buckets.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold)).select(F.col("id").alias("x"), "y").distinct()
     links = stored(_verified(pairs, texts, documents, threshold, width, counted), "links")
     again = signed.join(copies.select("a", "b", "first"), ["a", "b"]).where("id <> first").select(F.col("id").alias("x"), F.col("first").alias("y")).distinct()
-    labels = stored(components(links), "labels")
-    rest = _stragglers(buckets.select("key", "id", "n"), texts, labels, threshold, levels)
+    rest = _stragglers(buckets.select("key", "id", "n"), texts, stored(_first_labels(links), "labels"), threshold, levels)
     if rest is not None:
         more = _verified(rest.distinct(), texts, documents, threshold, width, counted)
         links = links.unionAll(more)
