@@ -68,7 +68,7 @@ class WordTokenizer:
     case and composed characters need more care, go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -100,7 +100,7 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < 150_000:
             self[word] = value
         return value
 

@@ -177,7 +177,7 @@ def _term_counts(texts: DataFrame, wanted: frozenset[str] | None = None) -> Data
         for (text,) in rows_of(batches, "text"):
             terms = terms_of(text)
             counts.update(terms if wanted is None else wanted.intersection(terms))
-            if len(counts) > 500_000:
+            if len(counts) > 150_000:
                 yield pa.RecordBatch.from_pydict({"term": list(counts), "n": list(counts.values())})
                 counts.clear()
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
