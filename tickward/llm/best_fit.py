@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tickward.llm.common import rows_of, stored
+from tickward.llm.common import released, rows_of, stored
 
 TOKENIZER = "word_bpe_49k.json"
 CLOSING_ID = 0
@@ -118,7 +118,7 @@ def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | N
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return documents.select("doc_id", "text").mapInArrow(cut, schema)
+    return documents.select("doc_id", "text").mapInArrow(released(cut), schema)
 
 
 class _Histogram:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickward.llm.common import mix64, rows_of, stored
+from tickward.llm.common import mix64, released, rows_of, stored
 from tickward.llm.components import components
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -68,7 +68,7 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k
             limit = limits[of[live]]
             expected = float(np.quantile(limit * rate[live], 0.75)) - thrown
             width = max(1, int(expected + np.sqrt(max(expected, 0))) + 1)
-            width = min(width, max(1, 1_000_000 // len(live)))
+            width = min(width, max(1, 300_000 // len(live)))
             with np.errstate(over="ignore"):
                 thrown_now = mix64(base[live, None] + (np.arange(thrown, thrown + width, dtype=np.uint64) + np.uint64(1)) * GOLDEN)
             rank = reached[:, None] - np.cumsum(np.log(_unit(thrown_now)), axis=1) / rate[live, None]
@@ -159,7 +159,7 @@ def _signatures(documents: DataFrame, bands: int, rows: int, width: int, counted
             yield signed()
 
     named = documents.where("doc_id is not null").select("doc_id", "text")
-    return named.mapInArrow(sign, "id long, a long, b long, n long, bands array<long>, sketch binary")
+    return named.mapInArrow(released(sign), "id long, a long, b long, n long, bands array<long>, sketch binary")
 
 
 def _shingle_sets(documents: DataFrame, width: int) -> DataFrame:
@@ -177,7 +177,7 @@ def _shingle_sets(documents: DataFrame, width: int) -> DataFrame:
                     counts.append(n.astype(np.uint32).tobytes() if (n > 1).any() else b"")
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary()), pa.array(counts, pa.binary())], ["id", "set", "counts"])
 
-    return documents.mapInArrow(collect, "id long, set binary, counts binary")
+    return documents.mapInArrow(released(collect), "id long, set binary, counts binary")
 
 
 def jaccard(first: tuple[bytes, bytes], second: tuple[bytes, bytes], counted: bool) -> float:

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickward.llm.common import mix64, rows_of, stored
+from tickward.llm.common import mix64, released, rows_of, stored
 
 HELD_OUT, TUNING, TRAINING = 0, 1, 2
 END = b"\n"
@@ -103,7 +103,7 @@ def read_chunks(documents: DataFrame, role: Column, chunk_tokens: int) -> DataFr
         if held:
             yield chunk()
 
-    return documents.select("doc_id", "text", role.cast("int").alias("role")).mapInArrow(read, CHUNK_SCHEMA)
+    return documents.select("doc_id", "text", role.cast("int").alias("role")).mapInArrow(released(read), CHUNK_SCHEMA)
 
 
 @dataclass

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tickward.llm.common import fold, log_odds_fit, rows_of, stored
+from tickward.llm.common import fold, log_odds_fit, released, rows_of, stored
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "oihtnr"
 
@@ -182,7 +182,7 @@ def _term_counts(texts: DataFrame, wanted: frozenset[str] | None = None) -> Data
                 counts.clear()
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
 
-    return texts.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(released(count), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def learn_lexicon(examples: DataFrame, support: float = 0.005, odds: float = 3.0, max_terms: int = 20_000) -> dict[str, float]:
