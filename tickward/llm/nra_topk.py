@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from tickward.llm.vector_blocks import prepared, search, top
 
 #: Shares of the lists after which the bounds are compared.
-STOPS = (0.05, 0.25, 0.5, 0.75)
+STOPS = (0.1, 0.75)
 
 
 class SortedLists:
@@ -57,7 +57,7 @@ class SortedLists:
         return rows
 
 
-def exact_top(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, block_rows: int = 8192) -> DataFrame:
+def exact_top(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, block_rows: int = 2048) -> DataFrame:
     """query_id, rank, vec_id and score (long) of the ``k`` highest integer inner products per query."""
 
     def best_of(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray) -> list:
