@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickward.llm.best_fit import cut_documents, pack
 from tickward.llm.common import fold, ship
+from tickward.llm.cuckoo_index import exact_duplicates
 from tickward.llm.dart_minhash import near_duplicates
 from tickward.llm.interpolation import HELD_OUT, TRAINING, TUNING, score_documents
 from tickward.llm.mixing import sized, take
@@ -165,6 +166,20 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", F.col("role") == HELD_OUT).drop("role")
 
 
+def op11_cuckoo_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH n AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents
+), g AS (
+  SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)
+"""
+
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_permutation_index": op2_permutation_index,
@@ -176,10 +191,12 @@ QUERIES = {
     "op8_pu_quality": op8_pu_quality,
     "op9_pattern_grammar": op9_pattern_grammar,
     "op10_deleted_interpolation": op10_deleted_interpolation,
+    "op11_cuckoo_index": op11_cuckoo_index,
 }
 
 ORACLES: dict[str, str] = {
     "op4_no_random_access": OP4_SQL,
     "op6_source_schedule": OP6_SQL,
     "op7_reply_trees": OP7_SQL,
+    "op11_cuckoo_index": OP11_SQL,
 }
