@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickward.llm.best_fit import cut_documents, pack
+from tickward.llm.collocations import collocations
 from tickward.llm.common import fold, ship
 from tickward.llm.cuckoo_index import exact_duplicates
 from tickward.llm.dart_minhash import near_duplicates
@@ -180,6 +181,48 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+def op12_suffix_quicksort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p
+), s AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w
+), g AS (
+  SELECT lang, unnest([ws[i:i], CASE WHEN i + 1 <= len(ws) THEN ws[i:i+1] END, CASE WHEN i + 2 <= len(ws) THEN ws[i:i+2] END,
+                       CASE WHEN i + 3 <= len(ws) THEN ws[i:i+3] END]) AS ph FROM s
+), f AS (
+  SELECT lang, ph, array_to_string(ph, ' ') AS phrase, count(*) AS n FROM g WHERE ph IS NOT NULL GROUP BY lang, ph HAVING count(*) >= 30
+), total AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), cuts AS (
+  SELECT lang, ph, phrase, n AS a, unnest(range(1, len(ph))) AS k FROM f WHERE len(ph) > 1
+), scored AS (
+  SELECT c.lang, c.ph, c.phrase, c.a, c.k, x.n AS l, y.n AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.n + y.n) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.ph = c.ph[1:c.k] JOIN f y ON y.lang = c.lang AND y.ph = c.ph[c.k + 1:]
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1
+), inner_spans AS (
+  SELECT lang, n, unnest(CASE len(ph) WHEN 3 THEN [ph[1:2], ph[2:3]] ELSE [ph[1:2], ph[2:3], ph[3:4], ph[1:3], ph[2:4]] END) AS ph
+  FROM f WHERE len(ph) > 2
+), absorbed AS (
+  SELECT lang, ph, max(n) AS n FROM inner_spans GROUP BY lang, ph
+), kept AS (
+  SELECT s.* FROM weakest s LEFT JOIN absorbed b ON b.lang = s.lang AND b.ph = s.ph
+  WHERE b.n IS NULL OR CAST(100 AS HUGEINT) * b.n < CAST(80 AS HUGEINT) * s.a
+)
+SELECT lang, rank, phrase, a, l, r, total.n AS n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_permutation_index": op2_permutation_index,
@@ -192,6 +235,7 @@ QUERIES = {
     "op9_pattern_grammar": op9_pattern_grammar,
     "op10_deleted_interpolation": op10_deleted_interpolation,
     "op11_cuckoo_index": op11_cuckoo_index,
+    "op12_suffix_quicksort": op12_suffix_quicksort,
 }
 
 ORACLES: dict[str, str] = {
@@ -199,4 +243,5 @@ ORACLES: dict[str, str] = {
     "op6_source_schedule": OP6_SQL,
     "op7_reply_trees": OP7_SQL,
     "op11_cuckoo_index": OP11_SQL,
+    "op12_suffix_quicksort": OP12_SQL,
 }
