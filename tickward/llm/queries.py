@@ -18,6 +18,7 @@ from tickward.llm.pu_quality import quality_model
 from tickward.llm.reply_trees import chosen_paths, format_paths, linear_replies, masked, parse
 from tickward.llm.template import extract
 from tickward.llm.toxicity import toxicity_model
+from tickward.llm.whitening import whitened
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -223,6 +224,10 @@ WHERE rank <= 2000
 """
 
 
+def op13_shifted_cholesky_qr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_permutation_index": op2_permutation_index,
@@ -236,6 +241,7 @@ QUERIES = {
     "op10_deleted_interpolation": op10_deleted_interpolation,
     "op11_cuckoo_index": op11_cuckoo_index,
     "op12_suffix_quicksort": op12_suffix_quicksort,
+    "op13_shifted_cholesky_qr": op13_shifted_cholesky_qr,
 }
 
 ORACLES: dict[str, str] = {
