@@ -3,7 +3,9 @@ import os
 import pytest
 
 from helpers import at, rows, rule, rules, tick, ticks
-from tickward.plans.cycle import compact_rules, drop_turns, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
+from tickward.plans import cycle as cycle_module
+from tickward.plans import upkeep
+from tickward.plans.cycle import compact_rules, drop_turns, evaluate_cycle, fired_log, fold_rejects, fold_rules, read_rules, run_turn, turn_notifications
 from tickward.schemas import RULE, TICK
 from tickward.sources.commits import commits, read_commits, write_commit
 
@@ -121,3 +123,75 @@ def test_no_ticks_nothing_fires(spark, out):
     cycle = evaluate_cycle(df, empty)
     assert cycle.fired.count() == cycle.notifications.count() == 0
     assert rows(cycle.rules, "chat_id", "is_alerted") == rows(df, "chat_id", "is_alerted")
+
+
+def test_two_turns_at_once_keep_both_logs_and_alert_once(spark, out, monkeypatch):
+    feed, commit = ticks(spark, tick(price=150.0)), cycle_module.write_commit
+
+    def interrupted(*args, **kwargs):
+        monkeypatch.setattr(cycle_module, "write_commit", commit)
+        assert run_turn(rules(spark, rule(2), rule(3)), feed, out) == 0
+        return commit(*args, **kwargs)
+
+    monkeypatch.setattr(cycle_module, "write_commit", interrupted)
+    assert run_turn(rules(spark, rule(1), rule(2)), feed, out) == 1
+    log = rows(fired_log(spark, out, rules(spark)), "chat_id", "batch_id")
+    assert log == [(1, 1), (2, 0), (3, 0)]
+    assert rows(turn_notifications(spark, out, 0), "chat_id") == [(2,), (3,)]
+    assert rows(turn_notifications(spark, out, 1), "chat_id") == [(1,)]
+    assert rows(spark.read.parquet(f"{out}/notifications"), "chat_id", "batch_id") == log and not os.listdir(f"{out}/work")
+
+
+def test_a_fold_during_a_cleanup_is_not_undone(spark, out, monkeypatch):
+    root, turns, feed = f"{out}/rules", f"{out}/turns", ticks(spark, tick(price=150.0))
+    write_commit(rules(spark, rule(1), rule(2, "Ether"), rule(3, flag=True)), root, "full", partition_by=["is_alerted"])
+    run_turn(read_rules(spark, root).rows, feed, turns)
+    purge = upkeep.purge_flagged
+
+    def slow(df):
+        monkeypatch.setattr(upkeep, "purge_flagged", purge)
+        fold_rules(spark, root, turns, purge=False)
+        drop_turns(spark, turns, 0)
+        return purge(df)
+
+    monkeypatch.setattr(upkeep, "purge_flagged", slow)
+    upkeep.clean_rules(spark, root)
+    now = read_rules(spark, root)
+    assert rows(now.rows, "chat_id", "is_alerted") == [(2, False)] and now.folded == 0
+    assert run_turn(now.rows, feed, turns, folded=now.folded) == 1
+    assert fired_log(spark, turns, now.rows).count() == 0
+
+
+def test_rules_read_before_their_turns_were_dropped_are_refused(spark, out):
+    df, feed = rules(spark, rule(1)), ticks(spark, tick(price=150.0))
+    run_turn(df, feed, out)
+    drop_turns(spark, out, 0)
+    with pytest.raises(ValueError, match="read them again"):
+        run_turn(df, feed, out)
+    assert run_turn(df, feed, out, folded=0) == 1
+
+
+def test_what_a_dead_turn_left_is_not_counted_and_goes(spark, out, monkeypatch):
+    df, feed, commit = rules(spark, rule(1), rule(5, profit=None)), ticks(spark, tick(price=150.0)), cycle_module.write_commit
+    monkeypatch.setattr(cycle_module, "write_commit", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_turn(df, feed, out)
+    monkeypatch.setattr(cycle_module, "write_commit", commit)
+    assert run_turn(df, feed, out) == 0
+    assert rows(turn_notifications(spark, out, 0), "chat_id") == [(1,)]
+    drop_turns(spark, out, 0)
+    assert os.listdir(f"{out}/notifications") == [] and os.listdir(f"{out}/work") == []
+    assert rows(spark.read.parquet(f"{out}/rejects"), "chat_id", "batch_id") == [(5, 0)]
+
+
+def test_rejects_stay_known_after_the_ledger_is_folded(spark, out):
+    feed = ticks(spark, tick(price=150.0))
+    bad = [rule(n, profit=None) for n in range(5, 9)]
+    run_turn(rules(spark, *bad[:2]), feed, out)
+    assert fold_rejects(spark, out).note == 0 and fold_rejects(spark, out) is None
+    run_turn(rules(spark, *bad), feed, out)
+    fold_rejects(spark, out)
+    run_turn(rules(spark, *bad), ticks(spark, tick(price=151.0)), out)  # another price: set aside anew
+    run_turn(rules(spark, *bad), ticks(spark, tick(price=151.0)), out)
+    found = rows(spark.read.parquet(f"{out}/rejects"), "batch_id", "chat_id")
+    assert found == sorted([(0, 5), (0, 6), (1, 7), (1, 8), *((2, n) for n in range(5, 9))])

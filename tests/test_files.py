@@ -1,13 +1,17 @@
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import at, rows, rule, rules, tick, ticks
 from tickward.operators.retention import day_slice, purge_expired
 from tickward.schemas import RULE, TICK
-from tickward.sources.commits import BatchId, Commit, commits, prune, read_commits, rewrite, settled, write_commit
+from tickward.sources import commits as log_module
+from tickward.sources import storage
+from tickward.sources.commits import BatchId, Commit, commits, prune, read_commits, rewrite, write_commit
 from tickward.sources.files import append_archive, archive_by_day, archive_day, archive_snapshot, read_archive
 
 
@@ -93,15 +97,69 @@ def test_commits(spark, out):
     assert rows(read_commits(spark, out, TICK), "id") == [("c",), ("d",)]
 
 
-def test_numbers_are_never_shared_and_a_dead_writer_holds_up_folding(spark, out):
+def test_a_writer_that_pauses_however_long_loses_nothing(spark, out, monkeypatch):
+    """Its data is written, a fold and a prune run, and only then it marks its commit."""
     write_commit(ticks(spark, tick("a")), out)
-    open(f"{out}/_claims/000000000001", "w").close()  # taken by a writer that has not marked it yet
-    assert write_commit(ticks(spark, tick("b")), out).seq == 2
-    assert settled(spark, out, commits(spark, out)) == 0
+    mark = log_module.create_new
+
+    def paused(*args):
+        monkeypatch.setattr(log_module, "create_new", mark)
+        rewrite(spark, out, TICK, lambda df: df)
+        write_commit(ticks(spark, tick("c")), out)
+        prune(spark, out)
+        return mark(*args)
+
+    monkeypatch.setattr(log_module, "create_new", paused)
+    write_commit(ticks(spark, tick("b")), out)
+    assert rows(read_commits(spark, out, TICK), "id") == [("a",), ("b",), ("c",)]
     rewrite(spark, out, TICK, lambda df: df)
-    assert rows(read_commits(spark, out, TICK), "id") == [("a",), ("b",)]
-    os.utime(f"{out}/_claims/000000000001", (0, 0))
-    assert settled(spark, out, commits(spark, out)) == 3
+    assert rows(read_commits(spark, out, TICK), "id") == [("a",), ("b",), ("c",)] and commits(spark, out).deltas == []
+
+
+def test_two_jobs_that_rewrite_the_same_state_both_count(spark, out):
+    """The second finds the next state made and starts again from it."""
+    write_commit(ticks(spark, *[tick(c) for c in "abcd"]), out, "full")
+    began = []
+
+    def without(df, id):
+        if not began:
+            began.append(1)
+            rewrite(spark, out, TICK, lambda df: df.filter("id <> 'a'"))
+            write_commit(ticks(spark, tick("e")), out)
+        return df.filter(F.col("id") != id)
+
+    rewrite(spark, out, TICK, lambda df: without(df, "b"))
+    assert rows(read_commits(spark, out, TICK), "id") == [("c",), ("d",), ("e",)]
+    assert len(commits(spark, out)) == 4 and len(os.listdir(f"{out}/data")) == 4
+
+
+def test_a_stale_writer_cannot_take_a_head_that_was_pruned(spark, out):
+    write_commit(ticks(spark, tick("a")), out, "full")
+    stale = commits(spark, out)
+    for name in "bc":
+        write_commit(ticks(spark, tick(name)), out, "full")
+    prune(spark, out, dt.timedelta(0))
+    late = Commit(9, "full", "", -1, -1, "x")
+    assert not log_module._follow(spark, out, stale, late, stale)
+    assert rows(read_commits(spark, out, TICK), "id") == [("c",)]
+
+
+def test_a_numbered_commit_whose_writer_died_before_the_mark_counts(spark, out):
+    mark = write_commit(ticks(spark, tick("a")), out, note=0, number=0).mark
+    assert write_commit(ticks(spark, tick("b")), out, note=0, number=0) is None
+    os.remove(f"{out}/_commits/{mark}")
+    assert [c.mark for c in commits(spark, out)] == [mark]
+    assert rows(read_commits(spark, out, TICK), "id") == [("a",)]
+
+
+def test_publishing_is_exclusive_and_object_stores_must_be_able_to(spark, out, monkeypatch):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: storage.publish(spark, f"{out}/x/0", str(n)), range(8)))
+    assert sum(won) == 1 and storage.read_text(spark, f"{out}/x/0") == str(won.index(True))
+    assert os.listdir(f"{out}/x") == ["0"]
+    monkeypatch.setattr(storage, "OBJECT_STORES", ("file",))
+    with pytest.raises(ValueError, match="conditional writes"):
+        storage.publish(spark, f"{out}/x/1", "")
 
 
 def test_replayed_batches_are_recognised_even_after_folding(spark, out):

@@ -40,7 +40,20 @@ def plain(c: Column) -> Column:
     ``cast`` gives the shortest digits but writes ``1.0E7`` from ten million on and ``1.0E-4`` below a
     thousandth; the point is moved by as many places as the exponent says.
     """
-    text = c.cast("string")
+    return plain_texts(c)[0]
+
+
+def plain_texts(*values: Column) -> Column:
+    """``plain`` of each value, as an array.
+
+    The long expression that moves a point stands here once, inside a function over the array, and runs only for rows with an exponent: written out
+    per value and wording it makes the generated code of a stage too large to be compiled.
+    """
+    texts = F.array(*[v.cast("string") for v in values])
+    return F.when(F.exists(texts, lambda t: t.contains("E")), F.transform(texts, _without_exponent)).otherwise(texts)
+
+
+def _without_exponent(text: Column) -> Column:
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     body = F.ltrim(text, F.lit("-"))
     mantissa, power = F.substring_index(body, "E", 1), F.substring_index(body, "E", -1).try_cast("int")
@@ -68,28 +81,15 @@ def fill(template: str, **parts: Column) -> Column:
     return F.concat(*pieces)
 
 
-def alert_text(
-    side: Column,
-    asset: Column,
-    price: Column,
-    purchase: Column,
-    target: Column,
-    limit: Column,
-    profit: Column,
-    loss: Column,
-) -> Column:
-    """Three-line notification text for a fired rule."""
-    price_line = fill(PRICE_LINE, price=money(price))
-    gain = F.concat_ws(
-        "\n",
-        fill(PROFIT_HEADLINE, asset=asset),
-        price_line,
-        fill(PROFIT_LINE, level=money(target), purchase=plain(purchase), percent=plain(profit)),
-    )
-    drop = F.concat_ws(
+def alert_text(side: Column, asset: Column, price: Column, target: Column, limit: Column, operands: Column) -> Column:
+    """Three-line notification text for a fired rule; ``operands`` are the plain texts of purchase, profit and loss."""
+    gain, loss = side == "profit", side == "loss"
+    profit_parts = fill(PROFIT_LINE, level=money(target), purchase=operands[0], percent=operands[1])
+    loss_parts = fill(LOSS_LINE, level=money(limit), purchase=operands[0], percent=operands[2])
+    lines = F.concat_ws(
         "\n",
-        fill(LOSS_HEADLINE, asset=asset),
-        price_line,
-        fill(LOSS_LINE, level=money(limit), purchase=plain(purchase), percent=plain(loss)),
+        F.when(gain, fill(PROFIT_HEADLINE, asset=asset)).when(loss, fill(LOSS_HEADLINE, asset=asset)),
+        fill(PRICE_LINE, price=money(price)),
+        F.when(gain, profit_parts).when(loss, loss_parts),
     )
-    return F.when(side == "profit", gain).when(side == "loss", drop)
+    return F.when(gain | loss, lines)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickward.functions.text import alert_text
+from tickward.functions.once import once
+from tickward.functions.text import alert_text, plain_texts
 from tickward.functions.thresholds import fired_side, loss_limit, profit_target, unusable
 from tickward.operators.latest import latest_per_key
 from tickward.schemas import RULE_KEY
@@ -94,20 +95,10 @@ def render_notifications(fired: DataFrame) -> DataFrame:
 
     The id is a digest of the rule, the tick and the side, so a replayed send can be recognised.
     """
-    return fired.filter(F.col("chat_id").isNotNull() & (F.col("chat_id") != 0)).select(
-        digest(fired, IDENTITY).alias("notification_id"),
-        "chat_id",
-        alert_text(
-            F.col("side"),
-            F.col("crypto_type").cast("string"),
-            F.col("current_price"),
-            F.col("purchase_price"),
-            F.col("profit_target"),
-            F.col("loss_limit"),
-            F.col("desired_profit_percentage"),
-            F.col("desired_loss_percentage"),
-        ).alias("text"),
-    )
+    sent = fired.filter(F.col("chat_id").isNotNull() & (F.col("chat_id") != 0))
+    sent = sent.select("*", once(plain_texts(*[F.col(c) for c in OPERANDS[:3]])).alias("_operands"))
+    text = alert_text(F.col("side"), F.col("crypto_type").cast("string"), F.col("current_price"), F.col("profit_target"), F.col("loss_limit"), F.col("_operands"))
+    return sent.select(digest(fired, IDENTITY).alias("notification_id"), "chat_id", text.alias("text"))
 
 
 def _hits(fired: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -248,6 +248,13 @@ ORACLES: dict[str, str] = {
     "clean_rules": f"""
         SELECT * REPLACE (crypto_type::VARCHAR AS crypto_type, epoch_us(created_at) AS created_at)
         FROM ({_RULES}) WHERE is_alerted IS DISTINCT FROM true""",
+    "jobs_at_once": f"""
+        WITH fired AS (SELECT DISTINCT chat_id, crypto_type, purchase_price FROM ({_FIRED}))
+        SELECT 'fired' AS name, chat_id, crypto_type::VARCHAR AS crypto_type, purchase_price FROM fired
+        UNION ALL
+        SELECT 'left', r.chat_id, r.crypto_type::VARCHAR, r.purchase_price FROM ({_RULES}) r
+        WHERE r.is_alerted IS DISTINCT FROM true AND NOT EXISTS (
+            SELECT 1 FROM fired f WHERE f.chat_id = r.chat_id AND f.crypto_type = r.crypto_type AND f.purchase_price = r.purchase_price)""",
     "archive_tables": f"""
         SELECT 'rules' AS name, chat_id, purchase_price, DATE '2024-01-15' AS date
         FROM ({_RULES}) WHERE strftime(created_at, '%m-%d') = '06-15'

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ from tickward.operators.rules import (
 from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
 from tickward.plans.intake import rule_intake, tick_intake
 from tickward.plans.upkeep import archive_tables, clean_rules, expire_ticks, read_ticks
-from tickward.schemas import RULE, TICK
+from tickward.schemas import RULE, RULE_KEY, TICK
 from tickward.session import shared_dir
 from tickward.sources.commits import BatchId, read_commits, write_commit
 from tickward.sources.files import archive_by_day, archive_day, archive_snapshot, read_archive, stored
@@ -375,6 +377,24 @@ def rules_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rules(spark, root, rules.schema).rows
 
 
+def jobs_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two turns at the same time over rules of which they share a third, then a fold and a cleanup at the same time, then another turn:
+    every key that fired, as often as it did, and the rules left."""
+    root, out = shared_dir(spark, "rules"), shared_dir(spark, "turns")
+    rules = _stored_rules(spark, sf_dir)
+    ticks = line_ticks(table(spark, sf_dir, "lineitem")).withColumn("name", F.col("name").cast("string"))
+    write_commit(rules, root, "full", partition_by=["is_alerted"])
+    now = read_rules(spark, root).rows
+    turn = partial(run_turn, ticks=ticks, out=out, tiebreak=LINE_TIEBREAK)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda n: turn(now.where(F.col("chat_id") % 3 != n)), (0, 1)))
+        list(pool.map(lambda job: job(), (lambda: fold_rules(spark, root, out), lambda: clean_rules(spark, root))))
+    left = read_rules(spark, root)
+    turn(left.rows, folded=left.folded)
+    both = [fired_log(spark, out, rules).withColumn("name", F.lit("fired")), left.rows.withColumn("name", F.lit("left"))]
+    return both[0].select("name", *RULE_KEY).unionAll(both[1].select("name", *RULE_KEY))
+
+
 def _stored_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = line_rules(table(spark, sf_dir, "lineitem"), flag=_three_valued_flag())
     return rules.select(*[F.col(f.name).cast(f.dataType) for f in RULE.fields])
@@ -620,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "alert_once": alert_once,
     "rules_table": rules_table,
     "clean_rules": cleaned_rules,
+    "jobs_at_once": jobs_at_once,
     "archive_tables": archived_tables,
     "today_defaults": todays_rows,
     "landed_payloads": landed_pages,
