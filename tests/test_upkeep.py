@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+from hashlib import md5
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -8,9 +9,9 @@ from helpers import at, rows, rule, rules, tick, ticks
 from tickward.operators.decode import counted, explode_payload
 from tickward.plans.upkeep import archive_rules, archive_tables, clean_rules, expire_ticks, read_ticks
 from tickward.schemas import RULE, TICK_WIRE
-from tickward.sources.commits import read_commits, write_commit
+from tickward.sources.commits import commits, read_commits, write_commit
 from tickward.sources.files import archive_by_day
-from tickward.streaming.delivery import deliver
+from tickward.streaming.delivery import deliver, fold_receipts, read_receipts, unsent
 
 
 def test_clean_rules(spark, out):
@@ -77,10 +78,46 @@ def test_delivery_keeps_receipts_and_skips_what_was_sent(spark, out, tmp_path):
         return open_client
 
     deliver(notes, make_send("fail"), out, 0)
-    receipts = {r["notification_id"]: r["error"] for r in spark.read.parquet(out).collect()}
+    receipts = {r["notification_id"]: r["error"] for r in read_receipts(spark, out).collect()}
     assert receipts == {"n1": None, "n2": "ValueError: refused", "n3": None}
     for turn in (0, 0, 1):
         deliver(notes, make_send("nothing"), out, turn)
     assert sorted(open(box).read().split("\n")) == ["", "1 hello", "2 fail", "3 bye"]
-    deliver(notes.limit(1), make_send("nothing"), out, 500, look_back=100)
-    assert open(box).read().count("1 hello") == 2  # so old a receipt is not looked at
+    for turn in (500, 100_000):
+        deliver(notes, make_send("nothing"), out, turn)
+    assert open(box).read().count("1 hello") == 1  # however old a receipt is, it counts
+    assert rows(read_receipts(spark, out), "notification_id", "turn", "attempt") == [("n1", 0, 0), ("n2", 0, 0), ("n2", 0, 1), ("n3", 0, 0)]
+
+
+def test_receipts_are_folded_and_only_touched_prefixes_are_read(spark, out, tmp_path):
+    box = str(tmp_path / "box")
+
+    def make_send():
+        def send(chat_id, text):
+            if chat_id % 10 == 3 and text != "again":
+                raise ValueError("refused")
+            with open(box, "a") as file:
+                file.write(f"{chat_id}\n")
+
+        return send
+
+    def notes(numbers, text="x"):
+        made = spark.createDataFrame([(n, text) for n in numbers], "chat_id long, text string")
+        return made.select(F.md5(F.col("chat_id").cast("string")).alias("notification_id"), "chat_id", "text")
+
+    for turn in range(5):
+        deliver(notes(range(turn * 20, turn * 20 + 30)), make_send, out, turn, fold_every=3)
+    sent = [int(n) for n in open(box).read().split()]
+    assert sorted(sent) == [n for n in range(110) if n % 10 != 3]
+    assert len(commits(spark, out).deltas) < 3
+    fold_receipts(spark, out)
+    held = read_receipts(spark, out)
+    assert held.count() == 110 and held.where("error is not null").count() == 11
+    few = unsent(notes([1, 2]), out)
+    few.collect()
+    scans = [n for n in few._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters: [prefix" in n and "data" in n]
+    prefixes = {md5(str(n).encode()).hexdigest()[:2] for n in (1, 2)}
+    assert scans and all(p in scans[0] for p in prefixes)
+    deliver(notes([13], "again"), make_send, out, 9)
+    fold_receipts(spark, out)
+    assert rows(read_receipts(spark, out).where("chat_id = 13"), "error", "turn") == [(None, 9)]

@@ -201,6 +201,16 @@ ORACLES: dict[str, str] = {
                              WHEN current_price <= loss_limit THEN 'loss' END AS side
               FROM ({_MONEY_LINES}))
         WHERE side IS NOT NULL AND chat_id <> 0""",
+    # one receipt for each notification sent: those that failed at first carry the second attempt
+    "deliver_once": f"""
+        SELECT md5(concat_ws(chr(31), '=' || chat_id, '=' || crypto_type, '=' || purchase_price::VARCHAR,
+                             '=' || desired_profit_percentage::VARCHAR, '=' || desired_loss_percentage::VARCHAR,
+                             '=' || strftime(created_at, '%Y-%m-%d %H:%M:%S'), '=' || tick_id, '=' || side)) AS notification_id,
+               chat_id, NULL::VARCHAR AS error, 0::BIGINT AS turn, (chat_id % 2)::INTEGER AS attempt
+        FROM (SELECT *, CASE WHEN current_price >= profit_target THEN 'profit'
+                             WHEN current_price <= loss_limit THEN 'loss' END AS side
+              FROM ({_MONEY_LINES}))
+        WHERE side IS NOT NULL AND chat_id <> 0""",
     "decode_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "decode_rejects": "SELECT text AS value, 'no declared field could be read' AS reason FROM documents",
     "decode_ticks": f"SELECT * EXCLUDE (batch_id) FROM ({_EVENT_TICKS})",

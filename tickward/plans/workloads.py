@@ -27,6 +27,7 @@ from tickward.operators.rules import (
     mark_alerted,
     match_rules,
     pending_rules,
+    render_notifications,
     threshold_rejects,
 )
 from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
@@ -38,6 +39,7 @@ from tickward.sources.commits import BatchId, read_commits, write_commit
 from tickward.sources.files import archive_by_day, archive_day, archive_snapshot, read_archive, stored
 from tickward.sources.streams import landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
+from tickward.streaming.delivery import Send, deliver, read_receipts
 from tickward.streaming.ingest import ingest_rules, ingest_ticks
 from tickward.streaming.sinks import Sink, archive_sink, snapshot_sink, table_sink
 
@@ -215,6 +217,29 @@ def rendered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate_cycle(rules, line_ticks(lines, price), tiebreak=LINE_TIEBREAK).notifications
 
 
+def delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notifications delivered a thousand turns apart, every other one failing at first: what the receipts say in the end."""
+    path, lines, price = shared_dir(spark, "receipts"), table(spark, sf_dir, "lineitem"), F.col("l_extendedprice")
+    rules = line_rules(lines, price=price, profit=F.col("l_quantity"), loss=F.col("l_quantity"))
+    fired = match_rules(pending_rules(rules), latest_ticks(line_ticks(lines, price), LINE_TIEBREAK))
+    fired = stored(fired_only(evaluate_thresholds(fired)), f"{path}/fired")
+    notifications = render_notifications(fired)
+
+    def failing() -> Send:
+        def send(chat_id: int, text: str) -> None:
+            if chat_id % 2:
+                raise ConnectionError("later")
+
+        return send
+
+    def working() -> Send:
+        return lambda chat_id, text: None
+
+    for turn, make_send in ((0, failing), (0, working), (1000, working)):
+        deliver(notifications, make_send, f"{path}/log", turn, fold_every=2)
+    return read_receipts(spark, f"{path}/log")
+
+
 # -- wire formats ----------------------------------------------------------------------------
 
 
@@ -616,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "latest_by_part": latest_by_part,
     "pending_rules": pending_orders,
     "render_messages": rendered_messages,
+    "deliver_once": delivered_once,
     "decode_props": decoded_props,
     "decode_rejects": rejected_messages,
     "decode_ticks": decoded_ticks,

@@ -1,15 +1,15 @@
-"""Hand notifications to a caller's send function, on the executors."""
+"""Hand notifications to a caller's send function, on the executors, and keep receipts."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickward.sources.storage import entries, exists, no_rows
+from tickward.sources.commits import Commit, commits, read_commits, rewrite, write_commit
 
 Send = Callable[[int, str], None]
 
@@ -20,27 +20,42 @@ RECEIPT = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+#: A receipt as it is stored, once folded in a folder for the first two digits of the notification's digest.
+STORED = T.StructType([*RECEIPT.fields, T.StructField("turn", T.LongType()), T.StructField("attempt", T.IntegerType()), T.StructField("prefix", T.StringType())])
+FOLD_EVERY = 50  # attempts whose receipts are read from files of their own
+
+
+def _prefix() -> Column:
+    return F.substring("notification_id", 1, 2)
 
 
 def read_receipts(spark: SparkSession, path: str) -> DataFrame:
     """All receipts, with the turn and the attempt they belong to; empty before the first one."""
-    schema = T.StructType([*RECEIPT.fields, T.StructField("turn", T.LongType()), T.StructField("attempt", T.IntegerType())])
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else no_rows(spark, schema)
+    return read_commits(spark, path, STORED).drop("prefix")
+
 
+def unsent(notifications: DataFrame, path: str) -> DataFrame:
+    """``notification_id, chat_id, text`` of the notifications that no receipt, however old, says were sent; each id once.
+
+    The digests of a turn's notifications begin with some of 256 prefixes; only the folders of these and the receipts not folded yet are read.
+    """
+    spark = notifications.sparkSession
+    named = notifications.select("notification_id", "chat_id", "text").dropDuplicates(["notification_id"])
+    touched = named.agg(F.collect_set(_prefix())).first()[0]
+    receipts = read_commits(spark, path, STORED).filter(F.col("prefix").isin(touched) & F.col("error").isNull())
+    return named.join(receipts.select("notification_id"), "notification_id", "left_anti")
 
-def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str, turn: int, look_back: int = 100) -> None:
+
+def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str, turn: int, fold_every: int = FOLD_EVERY) -> None:
     """Send every notification of a turn and keep a receipt per row under ``path`` (``error`` NULL if sent).
 
     ``make_send`` runs once per task, so a client or connection is opened per task and never
-    shipped. A failed send is a receipt, not a failed job. Calling again for the same turn is the
-    retry: what has a receipt without an error, from this turn or from the ``look_back`` turns before,
-    is not sent again, what failed is. A task that dies before its receipts are committed sends
-    its rows again (at least once).
+    shipped. A failed send is a receipt, not a failed job. Calling again is the
+    retry: what has a receipt without an error, of whatever turn, is not sent again, what failed is. A task that dies before its
+    receipts are committed sends its rows again (at least once). Receipts of every ``fold_every`` attempts are folded
+    into one state.
     """
     spark = notifications.sparkSession
-    recent = read_receipts(spark, path).filter(F.col("turn").between(turn - look_back, turn))
-    sent = recent.filter(F.col("error").isNull()).select("notification_id").distinct()
-    attempt = len([e for e in entries(spark, f"{path}/turn={turn}") if e.name.startswith("attempt=")])
 
     def send_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         send = make_send()
@@ -56,6 +71,21 @@ def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str,
             errors = [try_once(int(c), t) for c, t in zip(batch["chat_id"], batch["text"])]
             yield batch[["notification_id", "chat_id"]].assign(error=pd.Series(errors, index=batch.index, dtype="object"))
 
-    fresh = notifications.join(sent, "notification_id", "left_anti").select("notification_id", "chat_id", "text")
-    fresh = fresh.dropDuplicates(["notification_id"])
-    fresh.mapInPandas(send_all, RECEIPT).write.parquet(f"{path}/turn={turn}/attempt={attempt}")
+    attempt = sum(c.note == turn for c in commits(spark, path) if c.kind == "delta")
+    receipts = unsent(notifications, path).mapInPandas(send_all, RECEIPT)
+    receipts = receipts.select("*", F.lit(turn).cast("long").alias("turn"), F.lit(attempt).alias("attempt"), _prefix().alias("prefix"))
+    write_commit(receipts, path, note=turn)
+    if len(commits(spark, path).deltas) >= fold_every:
+        fold_receipts(spark, path)
+
+
+def fold_receipts(spark: SparkSession, path: str) -> Commit | None:
+    """Make one state of all receipts, a folder per prefix; of a notification sent, the receipts of failed attempts go."""
+
+    def settled(receipts: DataFrame) -> DataFrame:
+        rank = F.struct(F.col("error").isNull().alias("sent"), "turn", "attempt", "chat_id", "error")
+        last = receipts.groupBy("notification_id").agg(F.max(rank).alias("last"))
+        kept = last.select("notification_id", "last.chat_id", "last.error", "last.turn", "last.attempt", _prefix().alias("prefix"))
+        return kept.repartition("prefix")
+
+    return rewrite(spark, path, STORED, settled, partition_by=["prefix"])
