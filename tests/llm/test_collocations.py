@@ -73,7 +73,7 @@ def test_phrases_over_many_ranges(spark, per_task, monkeypatch):
 
 
 def test_a_full_mask_costs_but_never_changes_the_result(spark, monkeypatch):
-    monkeypatch.setattr(c, "_mask", lambda phrases, depth: b"\xff" * (c.MASK_BITS // 8))
+    monkeypatch.setattr(c, "_mask", lambda keys: b"\xff" * (c.MASK_BITS // 8))
     rows = prose(5, 40) + ODD
     assert mined(spark, rows, least=3) == brute(rows, 3, 50)
 

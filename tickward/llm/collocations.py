@@ -5,8 +5,8 @@ suffix, of which four words count. Depth by depth, infrequent leading words and
 are sent anywhere:
 
 1. words are counted per language,
-2. suffixes of two frequent words are sorted to depth two, which counts the pairs,
-3. suffixes whose leading pairs are frequent are sorted to depth four, which counts longer phrases.
+2. neighbours that are both frequent words are counted under a hash of the pair, which can only overstate a pair's count,
+3. suffixes whose leading pairs may be frequent are routed and sorted to depth four, which counts all phrases exactly.
 
 A task first merges the equal suffixes of a million words into one pointer with a weight. Pointers are then routed over the whole
 cluster by ranges of leading words: a range ends wherever it is full, within the suffixes of one frequent word or pair too, so a common
@@ -98,31 +98,35 @@ def _hashed(words: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
 
 
-def _spots(lang: str, *words: np.ndarray) -> np.ndarray:
-    """Where the phrases of hashed words stand in the bit mask."""
-    spot = np.full(len(words[0]), xxhash.xxh3_64_intdigest(lang.encode()), dtype=np.uint64)
+def _keys(lang: str, *words: np.ndarray) -> np.ndarray:
+    """A key of 64 bits for each phrase of hashed words."""
+    key = np.full(len(words[0]), xxhash.xxh3_64_intdigest(lang.encode()), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for word in words:
-            spot = mix64(spot * NEXT + word)
-    return (spot % np.uint64(MASK_BITS)).astype(np.int64)
+            key = mix64(key * NEXT + word)
+    return key.view(np.int64)
 
 
-def _told(mask: np.ndarray, spots: np.ndarray) -> np.ndarray:
+def _told(mask: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit mask may hold the keys; it holds all it was made of."""
+    spots = keys % MASK_BITS
     return (mask[spots >> 3] >> (spots & 7)) & 1 == 1
 
 
-def _mask(phrases: DataFrame, depth: int) -> bytes:
-    """One bit per phrase of ``depth`` words; ``MASK_BITS`` bits in all, however many phrases there are."""
-
-    def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_hashes(words: DataFrame) -> DataFrame:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
-            hashes = [_hashed([w.encode() for w in batch.column(c).to_pylist()]) for c in WORDS[:depth]]
+            hashes = _hashed([w.encode() for w in batch.column("w1").to_pylist()])
             for lang in sorted(set(langs)):
-                mine = langs == lang
-                yield pa.RecordBatch.from_arrays([pa.array(_spots(lang, *(h[mine] for h in hashes)) + 1)], names=["spot"])
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(lang, hashes[langs == lang]))], names=["key"])
+
+    return words.select("lang", "w1").mapInArrow(hashed, "key long")
+
 
-    found = phrases.select("lang", *WORDS[:depth]).mapInArrow(spots, "spot long")
+def _mask(keys: DataFrame) -> bytes:
+    """One bit per ``key``; ``MASK_BITS`` bits in all, however many keys there are."""
+    found = keys.select((F.pmod("key", F.lit(MASK_BITS)) + 1).alias("spot"))
     blocks = found.groupBy(F.bitmap_bucket_number("spot").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
     mask = bytearray(MASK_BITS // 8)
     for row in blocks.collect():  # at most MASK_BITS / 32768 of 4096 bytes
@@ -145,38 +149,48 @@ def _texts(words: list[bytes]) -> pa.Array:
     return pa.array(words, pa.binary()).cast(pa.string())
 
 
-def _pointers(documents: DataFrame, depth: int, mask: bytes) -> DataFrame:
-    """Equal suffixes of each chunk merged, with their weight: pairs of frequent words at depth 2; beyond that up to ``depth`` words
-    as far as neighbours are frequent pairs, three words at least."""
+def _pair_keys(documents: DataFrame, mask: bytes, least: int) -> DataFrame:
+    """Keys of all pairs of neighbours that stand ``least`` times, and of some that share their key with others."""
+    told = documents.sparkSession.sparkContext.broadcast(mask)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(told.value, np.uint8)
+        for lang, words, numbers in _chunks(batches, CHUNK):
+            hashes = _hashed(words)
+            good = _told(bits, _keys(lang, hashes))
+            good[0] = False
+            frequent = good[numbers]
+            starts = np.flatnonzero(frequent[:-1] & frequent[1:])
+            pairs, weights = np.unique(numbers[starts] << 32 | numbers[starts + 1], return_counts=True)
+            keys = _keys(lang, hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF])
+            yield from _in_batches(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(weights, pa.int64())], names=["key", "n"]))
+
+    counted = documents.mapInArrow(released(count), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least).select("key")
+
+
+def _pointers(documents: DataFrame, mask: bytes) -> DataFrame:
+    """Equal suffixes of each chunk merged, with their weight: as many of ``DEPTH`` words, two at least, as neighbours may be frequent pairs."""
     told = documents.sparkSession.sparkContext.broadcast(mask)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask_bits = np.frombuffer(told.value, np.uint8)
+        bits = np.frombuffer(told.value, np.uint8)
         for lang, words, numbers in _chunks(batches, CHUNK):
             hashes, texts = _hashed(words), _texts(words)
             numbers = np.concatenate([numbers, np.zeros(DEPTH, np.int64)])
-            if depth == 2:
-                frequent = _told(mask_bits, _spots(lang, hashes))
-                frequent[0] = False
-                good = frequent[numbers]
-                starts = np.flatnonzero(good[:-1] & good[1:])
-                pairs, weights = np.unique(numbers[starts] << 32 | numbers[starts + 1], return_counts=True)
-                columns = [pairs >> 32, pairs & 0xFFFFFFFF]
-            else:
-                pairs, of = np.unique(numbers[:-1] << 32 | numbers[1:], return_inverse=True)
-                first, second = pairs >> 32, pairs & 0xFFFFFFFF
-                good = (_told(mask_bits, _spots(lang, hashes[first], hashes[second])) & (first > 0) & (second > 0))[of]
-                starts = np.flatnonzero(good[:-2] & good[1:-1])
-                last = np.where(good[starts + 2], numbers[starts + 3], 0)
-                rest, then = np.unique(numbers[starts + 2] << 32 | last, return_inverse=True)
-                whole, weights = np.unique(of[starts] << 32 | then, return_counts=True)
-                lead, tail = pairs[whole >> 32], rest[whole & 0xFFFFFFFF]
-                columns = [lead >> 32, lead & 0xFFFFFFFF, tail >> 32, tail & 0xFFFFFFFF]
+            pairs, of = np.unique(numbers[:-1] << 32 | numbers[1:], return_inverse=True)
+            first, second = pairs >> 32, pairs & 0xFFFFFFFF
+            good = (_told(bits, _keys(lang, hashes[first], hashes[second])) & (first > 0) & (second > 0))[of]
+            starts = np.flatnonzero(good[:-2])
+            third = np.where(good[starts + 1], numbers[starts + 2], 0)
+            fourth = np.where((third > 0) & good[starts + 2], numbers[starts + 3], 0)
+            rest, then = np.unique(third << 32 | fourth, return_inverse=True)
+            whole, weights = np.unique(of[starts] << 32 | then, return_counts=True)
+            lead, tail = pairs[whole >> 32], rest[whole & 0xFFFFFFFF]
             if len(weights):
-                yield from _in_batches(_rows(lang, texts, columns, weights))
+                yield from _in_batches(_rows(lang, texts, [lead >> 32, lead & 0xFFFFFFFF, tail >> 32, tail & 0xFFFFFFFF], weights))
 
-    fields = ", ".join(f"{w} string" for w in WORDS[:depth])
-    return documents.mapInArrow(released(merged), f"lang string, {fields}, n long")
+    return documents.mapInArrow(released(merged), f"lang string, {', '.join(f'{w} string' for w in WORDS)}, n long")
 
 
 def quicksort(keys: list[np.ndarray], weights: np.ndarray, least: int, shallow: int, open_ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -210,14 +224,23 @@ def quicksort(keys: list[np.ndarray], weights: np.ndarray, least: int, shallow:
             work.append((equal, depth + 1))
 
 
-def _sorted_counts(pointers: DataFrame, depth: int, least: int, shallow: int, per_task: int) -> DataFrame:
-    """``lang``, the words and ``n`` of the phrases of ``shallow`` to ``depth`` words that stand at least ``least`` times."""
-    columns = WORDS[:depth]
+def _extreme(keys: list[np.ndarray], most: Callable[[np.ndarray], int]) -> int:
+    """A pointer to the first or last suffix in order."""
+    left = np.arange(len(keys[0]))
+    for key in keys:
+        left = left[key[left] == most(key[left])]
+    return int(left[0])
+
+
+def _sorted_counts(pointers: DataFrame, least: int, per_task: int) -> DataFrame:
+    """``lang``, the words and ``n`` of the phrases of two words and more that stand at least ``least`` times."""
+    columns = WORDS
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), schema=None) if (batches := list(batches)) else None
-        if table is None or not len(table):
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         keys = []
         for name in ("lang", *columns):
             coded = table[name].combine_chunks().dictionary_encode()
@@ -227,8 +250,8 @@ def _sorted_counts(pointers: DataFrame, depth: int, least: int, shallow: int, pe
             codes = coded.indices.fill_null(0).to_numpy()
             keys.append(np.where(none, -1, rank[codes] if len(rank) else -1))
         weights = table["n"].to_numpy()
-        first = table.num_rows and np.lexsort(keys[::-1])
-        found = list(quicksort(keys, weights, least, shallow + 1, first[[0, -1]]))
+        ends = np.array([_extreme(keys, np.min), _extreme(keys, np.max)])
+        found = list(quicksort(keys, weights, least, 3, ends))  # the language is the first key
         if not found:
             return
         at, deep, weight = (np.array(c) for c in zip(*found, strict=True))
@@ -250,9 +273,9 @@ def phrase_counts(documents: DataFrame, least: int = 30, per_task: int = POINTER
     words = stored(_counted_words(texts), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= least)
-    pairs = stored(_sorted_counts(_pointers(texts, 2, _mask(frequent, 1)), 2, least, 2, per_task), "pairs")
-    longer = stored(_sorted_counts(_pointers(texts, DEPTH, _mask(pairs, 2)), DEPTH, least, 3, per_task), "phrases")
-    every = frequent.unionByName(pairs, allowMissingColumns=True).unionByName(longer, allowMissingColumns=True)
+    pairs = _pair_keys(texts, _mask(_word_hashes(frequent)), least)
+    phrases = _sorted_counts(_pointers(texts, _mask(pairs)), least, per_task)
+    every = frequent.unionByName(phrases, allowMissingColumns=True)
     listed = F.array_compact(F.array(*WORDS))
     return every.select("lang", listed.alias("words"), F.array_join(listed, " ").alias("phrase"), "n"), totals
 
