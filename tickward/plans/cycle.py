@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from typing import NamedTuple
@@ -69,6 +69,7 @@ def evaluate_cycle(
     tiebreak: Sequence[str] = (),
     keys: Sequence[str] = RULE_KEY,
     already: DataFrame | None = None,
+    matched: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Cycle:
     """Evaluate pending rules against the latest tick of their asset, once.
 
@@ -79,12 +80,13 @@ def evaluate_cycle(
     Without ``store`` every output is one lazy plan that evaluates the match for itself.
 
     ``already`` holds keys that fired before and are not flagged in ``rules`` yet; they are
-    removed from the outcome, which is far smaller than the rules.
+    removed from the outcome, which is far smaller than the rules. ``matched`` takes the latest ticks and gives evaluated pairs in place
+    of matching all pending rules.
     """
     latest = latest_ticks(ticks, tiebreak)
     if store is not None:
         latest = stored(latest, f"{store}/latest")
-    pairs = evaluate_thresholds(match_rules(pending_rules(rules), latest))
+    pairs = matched(latest) if matched else evaluate_thresholds(match_rules(pending_rules(rules), latest))
     if store is None and already is None:
         return Cycle(fired_only(pairs), threshold_rejects(pairs), rules, keys)
     outcome = pairs.filter(F.col("side").isNotNull() | unusable(*[F.col(c) for c in OPERANDS]))
@@ -185,6 +187,7 @@ def run_turn(
     keys: Sequence[str] = RULE_KEY,
     folded: int = -1,
     batch_id: int | None = None,
+    matched: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Run one turn, store what it did under ``out`` and return its number.
 
@@ -217,7 +220,7 @@ def run_turn(
             raise ValueError("turns were folded into the rules and dropped after these rules were read; read them again")
         log = fired_log(spark, out, rules, keys, after=folded, before=turn)
         if cycle is None:
-            cycle = evaluate_cycle(rules, ticks, tiebreak=tiebreak, keys=keys, already=log, store=f"{out}/work/{run}")
+            cycle = evaluate_cycle(rules, ticks, tiebreak=tiebreak, keys=keys, already=log, matched=matched, store=f"{out}/work/{run}")
         else:
             cycle = replace(cycle, fired=without_alerted(cycle.fired, log, keys))
         cycle.notifications.write.mode("overwrite").parquet(f"{out}/notifications/source={run}/batch_id={number}")

@@ -265,6 +265,23 @@ ORACLES: dict[str, str] = {
         SELECT 'left', r.chat_id, r.crypto_type::VARCHAR, r.purchase_price FROM ({_RULES}) r
         WHERE r.is_alerted IS DISTINCT FROM true AND NOT EXISTS (
             SELECT 1 FROM fired f WHERE f.chat_id = r.chat_id AND f.crypto_type = r.crypto_type AND f.purchase_price = r.purchase_price)""",
+    "indexed_alerts": f"""
+        SELECT chat_id, crypto_type::VARCHAR AS crypto_type, purchase_price, desired_profit_percentage, desired_loss_percentage,
+               tick_id::VARCHAR AS tick_id, current_price, profit_target, loss_limit,
+               CASE WHEN current_price >= profit_target THEN 'profit' ELSE 'loss' END AS side
+        FROM ({_FIRED})""",
+    "changed_turns": f"""
+        WITH latest AS (
+            SELECT turn, l_partkey AS asset, l_extendedprice / l_quantity AS price
+            FROM lineitem, (VALUES (0), (1), (2)) t(turn) WHERE l_orderkey % 5 <= turn
+            QUALIFY row_number() OVER (
+                PARTITION BY turn, l_partkey
+                ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice / l_quantity DESC) = 1)
+        SELECT chat_id, crypto_type::VARCHAR AS crypto_type, purchase_price, min(turn)::BIGINT AS batch_id
+        FROM ({_RULES}) JOIN latest ON asset = crypto_type AND turn >= chat_id % 3
+        WHERE is_alerted = false
+          AND (price >= purchase_price * (1 + desired_profit_percentage / 100) OR price <= purchase_price * (1 - desired_loss_percentage / 100))
+        GROUP BY ALL""",
     "archive_tables": f"""
         SELECT 'rules' AS name, chat_id, purchase_price, DATE '2024-01-15' AS date
         FROM ({_RULES}) WHERE strftime(created_at, '%m-%d') = '06-15'

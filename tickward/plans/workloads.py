@@ -30,7 +30,8 @@ from tickward.operators.rules import (
     render_notifications,
     threshold_rejects,
 )
-from tickward.plans.cycle import compact_rules, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
+from tickward.plans.cycle import compact_rules, drop_turns, evaluate_cycle, fired_log, fold_rules, read_rules, run_turn
+from tickward.plans.index import build_index, crossed, indexed_turn
 from tickward.plans.intake import rule_intake, tick_intake
 from tickward.plans.upkeep import archive_tables, clean_rules, expire_ticks, read_ticks
 from tickward.schemas import RULE, RULE_KEY, TICK
@@ -407,7 +408,7 @@ def jobs_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     every key that fired, as often as it did, and the rules left."""
     root, out = shared_dir(spark, "rules"), shared_dir(spark, "turns")
     rules = _stored_rules(spark, sf_dir)
-    ticks = line_ticks(table(spark, sf_dir, "lineitem")).withColumn("name", F.col("name").cast("string"))
+    ticks = _named_ticks(table(spark, sf_dir, "lineitem"))
     write_commit(rules, root, "full", partition_by=["is_alerted"])
     now = read_rules(spark, root).rows
     turn = partial(run_turn, ticks=ticks, out=out, tiebreak=LINE_TIEBREAK)
@@ -420,6 +421,35 @@ def jobs_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].select("name", *RULE_KEY).unionAll(both[1].select("name", *RULE_KEY))
 
 
+def _named_ticks(lines: DataFrame) -> DataFrame:
+    return line_ticks(lines).withColumns({c: F.col(c).cast("string") for c in ("id", "name")})
+
+
+def indexed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules indexed at the prices of half of the lines, evaluated at those of all."""
+    root, lines = shared_dir(spark, "index"), table(spark, sf_dir, "lineitem")
+    rules, ticks = _stored_rules(spark, sf_dir), _named_ticks(lines)
+    build_index(rules, ticks.where(F.col("l_orderkey") % 2 == 0), root, tiebreak=LINE_TIEBREAK)
+    pairs = crossed(spark, root, stored(latest_ticks(ticks, LINE_TIEBREAK), f"{root}/latest"))
+    return fired_only(pairs).drop("created_at")
+
+
+def changed_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three turns over growing ticks, with rules arriving before each and a fold after the second; fired keys with their turn."""
+    root, out, index = (shared_dir(spark, name) for name in ("rules", "turns", "index"))
+    rules, ticks = _stored_rules(spark, sf_dir), _named_ticks(table(spark, sf_dir, "lineitem"))
+    fired = []
+    for turn in range(3):
+        write_commit(rules.where(F.col("chat_id") % 3 == turn), root)
+        indexed_turn(spark, root, ticks.where(F.col("l_orderkey") % 5 <= turn), out, index, tiebreak=LINE_TIEBREAK)
+        if turn == 1:
+            fired.append(stored(fired_log(spark, out, rules), f"{index}/log"))
+            fold_rules(spark, root, out)
+            drop_turns(spark, out, turn)
+    fired.append(fired_log(spark, out, rules, after=1))
+    return fired[0].unionAll(fired[1]).drop("fired_at")
+
+
 def _stored_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = line_rules(table(spark, sf_dir, "lineitem"), flag=_three_valued_flag())
     return rules.select(*[F.col(f.name).cast(f.dataType) for f in RULE.fields])
@@ -667,6 +697,8 @@ QUERIES: dict[str, Query] = {
     "rules_table": rules_table,
     "clean_rules": cleaned_rules,
     "jobs_at_once": jobs_at_once,
+    "indexed_alerts": indexed_alerts,
+    "changed_turns": changed_turns,
     "archive_tables": archived_tables,
     "today_defaults": todays_rows,
     "landed_payloads": landed_pages,
