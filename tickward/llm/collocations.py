@@ -8,7 +8,7 @@ are sent anywhere:
 2. neighbours that are both frequent words are counted under a hash of the pair, which can only overstate a pair's count,
 3. suffixes whose leading pairs may be frequent are routed and sorted to depth four, which counts all phrases exactly.
 
-A task first merges the equal suffixes of a million words into one pointer with a weight. Pointers are then routed over the whole
+A task first merges the equal suffixes of two million words into one pointer with a weight. Pointers are then routed over the whole
 cluster by ranges of leading words: a range ends wherever it is full, within the suffixes of one frequent word or pair too, so a common
 word is no task's burden. In a range, three-way partitions by the word at a depth give the counts: the weight of an equal part is
 the count of its phrase, and a part lighter than the least count is given up. Only the phrases at the two ends of a range can go on in
@@ -38,7 +38,7 @@ from tickward.llm.common import mix64, released, rows_of, stored
 
 DEPTH = 4  # words of the longest phrase
 MASK_BITS = 1 << 27
-CHUNK = 1_000_000  # words whose equal suffixes are merged before routing
+CHUNK = 2_000_000  # words whose equal suffixes are merged before routing
 POINTERS = 400_000  # to a task
 PART = re.compile(rb"[^ \n]+|\n")
 PIECES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 10)
@@ -58,7 +58,7 @@ class _Words:
         get = of.setdefault
         found = PART.findall(text.encode("utf-8", "surrogatepass").translate(PIECES))
         found.append(b"\n")
-        self.texts.append(np.array([get(word, len(of)) for word in found], dtype=np.int64))
+        self.texts.append(np.array([get(word, len(of)) for word in found], dtype=np.int32))
         return len(found)
 
 
@@ -69,8 +69,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
 
     def full() -> Iterator[tuple[str, list[bytes], np.ndarray]]:
         for lang in sorted(held):
-            yield lang, list(held[lang].number), np.concatenate(held[lang].texts)
-        held.clear()
+            words = held.pop(lang)
+            yield lang, list(words.number), np.concatenate(words.texts).astype(np.int64)
 
     for lang, text in rows_of(batches, "lang", "text"):
         if not text:
