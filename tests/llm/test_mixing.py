@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_data import SF, shipped  # noqa: F401
+from tickward.llm import mixing
 from tickward.llm.common import words_of
 from tickward.llm.mixing import mix, schedule, sized, source_targets, take
 
@@ -86,3 +87,30 @@ def test_words_are_runs_without_ascii_white_space(spark):
 def test_table_keeps_every_row(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     assert take(sized(table)).count() == table.count()
+
+
+@pytest.mark.parametrize("slots", [64, 200, 1 << 20])
+def test_small_sources_get_their_words_beside_large_ones(spark, slots):
+    rows = [(i, "w " * 600, "large") for i in range(1000)] + [(2000 + i, "w " * 40, "middle") for i in range(50)] + [(3000 + i, "w " * 3, "small") for i in range(4)] + [(4000, "w", None)]
+    sizes = {"large": 600_000, "middle": 2000, "small": 12, None: 1}
+    want, taken = reshared(sizes), defaultdict(int)
+    for r in take(sized(docs(spark, rows)), slots=slots).collect():
+        taken[r["source"]] += r["first_pass"] + r["second_pass"]
+        assert r["target"] == pytest.approx(want[r["source"]])
+    assert taken["small"] == 24 and taken[None] == 2 and taken["middle"] == 4000
+    assert abs(taken["large"] - want["large"]) <= want["large"] / 256
+
+
+def test_many_rows_of_one_id_or_none_are_dealt_out(spark):
+    lines = mixing.token_lines(spark.range(3000).select(
+        F.col("id").alias("_row"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("doc_id"), F.lit("a").alias("source"), F.lit(2).cast("long").alias("size")
+    ), rows_per_group=50)
+    places = sorted(r["_at"] for r in lines.collect())
+    assert places == list(range(0, 6000, 2))
+
+
+def test_columns_of_the_input_keep_their_names_and_values(spark):
+    table = docs(spark, [(i, "w " * 5, "a") for i in range(4)]).withColumns({"_row": F.lit(77), "_document": F.lit("d"), "_group": F.lit(1)})
+    mixed = mix(table)
+    assert mixed.columns == table.columns and mixed.count() > 4
+    assert mixed.select("_row", "_document", "_group").distinct().collect() == [(77, "d", 1)]
