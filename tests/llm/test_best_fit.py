@@ -104,3 +104,14 @@ def test_odd_texts(spark):
     docs = spark.createDataFrame([(d, t, 0, 0) for d, t in texts], "doc_id long, text string, length long, sequence_id long")
     check(pack(cut_documents(docs, capacity=512), capacity=512).collect(), texts, 512)
     assert pack(cut_documents(docs.where("false"))).collect() == []
+
+
+def test_special_tokens_in_any_case(spark):
+    rnd = random.Random(4)
+    bits = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|", "|>", "<", "|", "a", "B's", " ", "  ", "é", "\u0130", "endoftext", "END"]
+    texts = [(i, "".join(rnd.choice(bits) for _ in range(rnd.randrange(12)))) for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in texts}
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in cut_documents(docs, with_ids=True).collect()}
+    assert got == want

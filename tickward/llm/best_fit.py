@@ -65,7 +65,8 @@ class WordTokenizer:
     """Ids of whole texts as little-endian bytes, for vocabularies of lower-case words that never cross white space.
 
     Spellings are remembered in two generations of at most ``remembered`` entries each. Texts beyond Latin-1, where lower
-    case and composed characters need more care, go to the tokenizer whole.
+    case and composed characters need more care, go to the tokenizer whole, and so do texts that hold a token which is looked for before
+    lower-casing, in whatever case.
     """
 
     def __init__(self, path: str, remembered: int = 200_000):
@@ -74,12 +75,14 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = _Spellings(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
-            simple = not any(c in text for c in ODD_SPACE)
+            lower = text.lower()
+            simple = not any(c in text for c in ODD_SPACE) and not any(token in lower for token in self.added)
         except UnicodeEncodeError:
             simple = False
         if not simple:
@@ -89,7 +92,7 @@ class WordTokenizer:
             old.before = {}
             self.known.before = old
         known = self.known
-        return b"".join([known[w] for w in text.lower().split()])
+        return b"".join([known[w] for w in lower.split()])
 
 
 def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
