@@ -1,9 +1,12 @@
 """Both vector searches against brute force."""
 
+from itertools import groupby
+
 import numpy as np
 import pytest
 
 from llm_data import shipped  # noqa: F401
+from tickward.llm import perm_index
 from tickward.llm.nra_topk import exact_top
 from tickward.llm.perm_index import nearest
 
@@ -75,3 +78,29 @@ def test_sequential_lists_on_few_rows_and_bad_vectors(spark):
     assert got == [(0, 1, 1, 0), (0, 2, 100, 0), (100, 1, 1, 512 * 512), (100, 2, 0, 0)]
     empty = rows.where("false")
     assert exact_top(empty, empty).collect() == []
+
+
+@pytest.mark.parametrize("block_rows", [8192, 100])
+def test_equal_vectors_tie_to_the_smaller_id_wherever_they_stand(spark, monkeypatch, block_rows):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1200, 61)).astype(np.float32)
+    x[1001:1020] = x[1001]
+    rows = table(spark, [(i, v.tolist()) for i, v in enumerate(x)]).repartition(5)
+    search = perm_index.search
+    monkeypatch.setattr(perm_index, "search", lambda *a: search(*a, block_rows=block_rows))
+    for q, found in groupby(sorted((r.query_id, r.rank, r.vec_id, r.score) for r in nearest(rows, rows.where("vec_id % 20 = 0"), shortlist=1.0).collect()), lambda r: r[0]):
+        copies = [(v, s) for _, _, v, s in found if 1001 <= v < 1020]
+        assert len({s for _, s in copies}) <= 1 and [v for v, _ in copies] == list(range(1001, 1020))[: len(copies)] or q in range(1001, 1020), q
+
+
+@pytest.mark.parametrize("find", [lambda r: nearest(r, r.where("vec_id % 20 = 0"), k=3), lambda r: exact_top(r, r.where("vec_id % 20 = 0"), k=3, scale=1)])
+def test_repeated_rows_crowd_nobody_out(spark, find):
+    good = [(0, [2.0, 1.0]), (1, [3.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0])]
+    want = [(0, 1, 1, 6), (0, 2, 2, 4), (0, 3, 3, 2)]
+    assert sorted(map(tuple, find(table(spark, good)).collect())) == want
+    repeated = good + [(0, [2.0, 1.0])] * 3 + [(1, [3.0, 0.0])] * 4
+    assert sorted(map(tuple, find(table(spark, repeated)).collect())) == want
+    # another vector of the query's id is no candidate, another of a candidate's id is one more
+    several = good + [(0, [9.0, 9.0]), (2, [2.5, 0.0])]
+    got = sorted((r.rank, r.vec_id) for r in find(table(spark, several)).collect())
+    assert got == [(1, 1), (2, 2), (3, 2)]

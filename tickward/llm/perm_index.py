@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickward.llm.vector_blocks import matrix, prepared, search, top
+from tickward.llm.vector_blocks import matrix, prepared, product, search, top
 
 
 class PermutationIndex:
@@ -76,11 +76,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, pivots: int = 2
         for query_id, vector, pivot_order in zip(query_ids, q, index.orders(q), strict=True):
             distance = index.footrule(pivot_order)
             short = np.argpartition(distance, few - 1)[:few] if few < len(distinct) else np.arange(len(distinct))
-            scores = distinct[short] @ vector
-            least_good = np.partition(scores, max(0, few - k - 1))[max(0, few - k - 1)]
-            own = np.concatenate([order[starts[b] : min(starts[b + 1], starts[b] + k + 1)] for b in short[scores >= least_good]])
+            scores = product(distinct[short], vector)
+            enough = k + int((ids == query_id).sum())  # rows of the query's own id go afterwards
+            least_good = np.partition(scores, max(0, few - enough))[max(0, few - enough)]
+            own = np.concatenate([order[starts[b] : min(starts[b + 1], starts[b] + enough)] for b in short[scores >= least_good]])
             own = own[ids[own] != query_id]
-            found.append(top(ids[own], x[own] @ vector, k))
+            found.append(top(ids[own], product(x[own], vector), k))
         return found
 
     return search(rows, asked, best_of, k, "double")

@@ -2,7 +2,8 @@
 
 Vectors and queries are dealt out by row into blocks of bounded size. Each pair of a query block and a vector block is one
 task's work and returns the best few rows of that block per query; the blocks' bests are then ranked per query. Rows with
-the query's own id are never its candidates.
+the query's own id are never its candidates. Rows that agree in id and vector count once; of a query id with several vectors the
+first in order is asked; a candidate id with several vectors is one candidate for each.
 """
 
 from __future__ import annotations
@@ -36,8 +37,26 @@ def matrix(column: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def product(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of ``x`` with ``q``, summed in the order of the components: equal rows get equal scores
+    wherever they stand, and zeros at the end change nothing."""
+    total = np.zeros(len(x), dtype=np.result_type(x, q))
+    for column, value in zip(x.T, q, strict=True):
+        total += column * value
+    return total
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` (vec_id, x) without those that repeat another; only where ids repeat are vectors compared."""
+    repeated = rows.groupBy("vec_id").count().where("count > 1").select("vec_id")
+    if repeated.isEmpty():
+        return rows
+    single = rows.join(repeated, "vec_id", "left_anti").select("vec_id", "x")
+    return single.unionAll(rows.join(repeated, "vec_id", "left_semi").select("vec_id", "x").distinct())
+
+
 def _dealt(rows: DataFrame, block: str, blocks: int) -> DataFrame:
-    return rows.withColumn(block, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    return rows.withColumn(block, F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)).cast("int"))
 
 
 def _copied(rows: DataFrame, block: str, blocks: int) -> DataFrame:
@@ -57,6 +76,7 @@ def search(
 
     ``best_of(ids, x, query_ids, q)`` gives, for each query, ids and scores of the best rows of one block.
     """
+    vectors, queries = _once(vectors), queries.groupBy("vec_id").agg(F.min("x").alias("x"))
     blocks = max(1, -(-vectors.count() // block_rows))
     query_blocks = max(1, -(-queries.count() // query_rows))
     left = _copied(_dealt(vectors, "_block", blocks), "_queries", query_blocks)
