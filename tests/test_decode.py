@@ -2,9 +2,10 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import at, rows, rule, rules
-from tickward.operators.decode import decode_messages, decode_ticks, encode_messages, explode_payload, type_rules
+from tickward.operators.decode import decode_messages, decode_ticks, encode_messages, explode_payload, field_rejects, type_rules
 from tickward.schemas import RULE_WIRE, TICK_WIRE
 
 
@@ -124,3 +125,12 @@ def test_stored_rule_survives_the_wire(spark):
     df = rules(spark, rule(5, "Ether", 1.5, 2.0, 3.0, at("2025-01-01 10:00:00")))
     text = df.select(*[F.col(c).cast("string") for c in RULE_WIRE.names])
     assert rows(type_rules(text).good, *df.columns) == rows(df, *df.columns)
+
+
+def test_fields_of_the_wrong_type_are_named(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b.c", T.DoubleType()), T.StructField("s", T.StringType())])
+    texts = ['{"a": 1, "b.c": 2.5, "s": "x"}', '{"a": "1", "b.c": "y", "s": 3}', '{"a": 1.5, "b.c": null}', '{"a": {"z": 1}, "b.c": [2]}', '{"b.c": true}', "{}", "junk", None, '{"a": 99999999999999999999}']
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, value string")
+    got = sorted((r.n, r.field, r.wanted, r.found) for r in field_rejects(frame, schema, carry=["n"]).collect())
+    assert [g[:3] for g in got] == [(1, "a", "bigint"), (1, "b.c", "double"), (2, "a", "bigint"), (3, "a", "bigint"), (3, "b.c", "double"), (4, "b.c", "double"), (8, "a", "bigint")]
+    assert [g[3].split("(")[0].split("<")[0] for g in got] == ["STRING", "STRING", "DECIMAL", "OBJECT", "ARRAY", "BOOLEAN", "DECIMAL"]

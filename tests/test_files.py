@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import shutil
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -10,7 +11,7 @@ from helpers import at, rows, rule, rules, tick, ticks
 from tickward.operators.retention import day_slice, purge_expired
 from tickward.schemas import RULE, TICK
 from tickward.sources import commits as log_module
-from tickward.sources import storage
+from tickward.sources import files, storage
 from tickward.sources.commits import BatchId, Commit, commits, prune, read_commits, rewrite, write_commit
 from tickward.sources.files import append_archive, archive_by_day, archive_day, archive_snapshot, read_archive
 
@@ -212,3 +213,54 @@ def test_flag_folders_read_back_typed_and_prune(spark, out):
     assert rows(back, "chat_id", "is_alerted") == [(1, True), (2, False), (3, None), (4, False)]
     plan = back.filter("is_alerted = false")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(is_alerted" in plan
+
+
+def scanned_days(monkeypatch):
+    """Days of the archive that a comparison asks for."""
+    asked = []
+    compare = files._missing_from
+    monkeypatch.setattr(files, "_missing_from", lambda rows, held: asked.append(sorted(str(r[0]) for r in held.select("date").distinct().collect())) or compare(rows, held))
+    return asked
+
+
+def test_days_that_agree_are_not_read_again(spark, out, monkeypatch):
+    month = ticks(spark, *[tick(f"t{n}", ts=at(f"2025-01-{n % 30 + 1:02d} 10:00:00")) for n in range(90)], tick("none", ts=None), tick("none", ts=None))
+    archive_by_day(month, "last_updated", out)
+    asked = scanned_days(monkeypatch)
+    archive_by_day(month, "last_updated", out)
+    assert asked == [] and spark.read.parquet(out).count() == 92
+    later = month.unionByName(ticks(spark, tick("t0", ts=at("2025-01-01 10:00:00")), tick("far", ts=at("1970-01-01 00:00:00")), tick("new", ts=at("2025-03-01 00:00:00"))))
+    archive_by_day(later, "last_updated", out)
+    assert asked == [["2025-01-01"]] and spark.read.parquet(out).count() == 95
+    archive_by_day(later, "last_updated", out)
+    assert len(asked) == 1
+    # rows that left the table stay, and the day is compared, not written
+    archive_by_day(later.where("id <> 't5'"), "last_updated", out)
+    assert asked[1:] == [["2025-01-06"]] and spark.read.parquet(out).count() == 95
+
+
+def test_an_archive_whose_digests_are_lost_is_compared(spark, out):
+    archive_by_day(days(spark), "last_updated", out)
+    want = spark.read.parquet(out).count()
+    shutil.rmtree(f"{out}/_digests")
+    for _ in range(2):
+        archive_by_day(days(spark), "last_updated", out)
+    assert spark.read.parquet(out).count() == want
+
+
+def test_maps_are_archived_once(spark, out):
+    made = spark.sql("SELECT * FROM VALUES (1, map('a', 1, 'b', 2), TIMESTAMP '2025-01-01 00:00:00'), (1, map('b', 2, 'a', 1), TIMESTAMP '2025-01-01 01:00:00'), (2, NULL, NULL) t(id, m, ts)")
+    archive_by_day(made, "ts", out)
+    more = made.unionByName(spark.sql("SELECT 3 AS id, map('c', 3) AS m, TIMESTAMP '2025-01-01 00:00:00' AS ts"))
+    for _ in range(2):
+        archive_by_day(more, "ts", out)
+    assert sorted((r.id, r.m) for r in spark.read.parquet(out).collect() if r.m) == [(1, {"a": 1, "b": 2}), (1, {"a": 1, "b": 2}), (3, {"c": 3})]
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_digests_are_folded(spark, out, monkeypatch):
+    monkeypatch.setattr(files, "FOLD_DIGESTS", 2)
+    for n in range(5):
+        archive_by_day(ticks(spark, *[tick(f"t{k}", ts=at("2025-01-01")) for k in range(n + 1)]), "last_updated", out)
+    assert len(commits(spark, f"{out}/_digests").deltas) <= 2
+    assert spark.read.parquet(out).count() == 5

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows, rule, rules
 from tickward.operators.decode import encode_messages
@@ -10,6 +11,8 @@ from tickward.sources.files import read_archive
 from tickward.sources.streams import kafka_options, landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
 from tickward.streaming.ingest import ingest_rules, ingest_ticks
+from tickward.streaming.pages import PAGED_TICK, page_sink, paged_messages, read_page
+from tickward.streaming.replays import encode_identified, first_messages
 from tickward.streaming.sinks import archive_sink, snapshot_sink, table_sink
 
 NOW = {"availableNow": True}
@@ -233,3 +236,45 @@ def test_topic_source_and_sink():
     }
     with pytest.raises(ValueError):
         publish_messages(sink, topic="prices")
+
+
+def test_messages_published_again_are_taken_once(spark, out):
+    def send(*records):
+        made = spark.createDataFrame(list(records), TICK_WIRE)
+        publish_messages(encode_identified(made, ["id", "current_price"]), path=f"{out}/in")
+        run(spark, out, lambda stream, **kw: ingest_ticks(first_messages(stream), **kw), sinks=[archive_sink(f"{out}/hist")])
+
+    send(wire("a", 1.0), wire("b", 2.0))
+    send(wire("b", 2.0), wire("c", 3.0), wire("c", 3.0), wire("a", 5.0))
+    publish(spark, out, wire("x", 1.0), wire("x", 1.0))  # without an identity
+    send(wire("a", 1.0), wire("a", 5.0))
+    found = rows(read_archive(spark, f"{out}/hist", TICK), "id", "current_price")
+    assert found == [("a", 1.0), ("a", 5.0), ("b", 2.0), ("c", 3.0), ("x", 1.0), ("x", 1.0)]
+
+
+def test_a_page_shows_whole_or_not_at_all(spark, out):
+    def page(number, *names):
+        items = ", ".join(f'{{"id": "{n}", "current_price": {number}.0}}' for n in names)
+        made = spark.createDataFrame([(number, f"[{items}]")], "page long, value string")
+        return [r[0] for r in paged_messages(made, F.col("page")).collect()]
+
+    sink = page_sink(f"{out}/page")
+    batches = iter(range(100))
+
+    def send(*values, again=1):
+        number = next(batches)
+        for _ in range(again):
+            batch = spark.createDataFrame([(v,) for v in values], "value string").withColumn("last_updated", F.current_timestamp())
+            sink(batch, BatchId.of(number, "s"))
+        return rows(read_page(spark, f"{out}/page"), "page", "id")
+
+    one, two, three = page(1, "a", "b", "c"), page(2, "a", "b"), page(3, "x")
+    assert read_page(spark, f"{out}/page").count() == 0
+    assert send(*one[:2], "junk") == []
+    assert send(one[1], one[0], again=2) == []
+    assert send(one[2], two[0]) == [(1, "a"), (1, "b"), (1, "c")]
+    assert send(*three) == [(3, "x")]
+    assert send(two[1]) == [(3, "x")]  # whole, but older than what is shown
+    assert send(*page(4)) == [(3, "x")]
+    parts = read_commits(spark, f"{out}/page/parts", PAGED_TICK)
+    assert parts.where("page <= 1").count() == 0

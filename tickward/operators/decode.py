@@ -55,6 +55,26 @@ def decode_messages(
     return split_tagged(tag_messages(messages, schema, value, carry))
 
 
+def field_rejects(messages: DataFrame, schema: T.StructType, value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+    """Fields that a message holds but whose value is not of the declared type, one row each: ``value, field, wanted, found``, then the ``carry``
+    columns.
+
+    Such a field is NULL in the decoded row. ``found`` is the type the value has in the message. Fields that are absent or null are as they
+    should be, undeclared ones are not looked at, and a text that is no JSON is rejected whole by ``decode_messages``.
+    """
+    raw = messages.select(F.col(value).cast("string").alias("value"), *carry)
+    parsed = raw.select("*", once(F.struct(F.from_json("value", schema).alias("data"), F.try_parse_json("value").alias("whole"))).alias("_read"))
+    whole = F.col("_read.whole")
+
+    def wrong(field: T.StructField) -> Column:
+        found = F.try_variant_get(whole, f"$['{field.name}']", "variant")
+        row = F.struct(F.lit(field.name).alias("field"), F.lit(field.dataType.simpleString()).alias("wanted"), F.schema_of_variant(found).alias("found"))
+        return F.when(F.col(f"_read.data.`{field.name}`").isNull() & found.isNotNull() & ~F.is_variant_null(found), row)
+
+    each = parsed.select("value", *carry, F.explode(F.array_compact(F.array(*[wrong(f) for f in schema.fields]))).alias("_wrong"))
+    return each.select("value", "_wrong.field", "_wrong.wanted", "_wrong.found", *carry)
+
+
 def tag_ticks(messages: DataFrame, value: str = "value") -> DataFrame:
     if "last_updated" not in messages.columns:
         messages = messages.withColumn("last_updated", F.current_timestamp())

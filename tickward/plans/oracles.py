@@ -214,6 +214,10 @@ ORACLES: dict[str, str] = {
     "decode_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "decode_rejects": "SELECT text AS value, 'no declared field could be read' AS reason FROM documents",
     "decode_ticks": f"SELECT * EXCLUDE (batch_id) FROM ({_EVENT_TICKS})",
+    "decode_field_rejects": """
+        SELECT o_orderkey, field, wanted, found FROM orders JOIN (VALUES
+            ('1-URGENT', 'current_price', 'double', 'STRING'), ('1-URGENT', 'total_volume', 'bigint', 'ARRAY'),
+            ('2-HIGH', 'market_cap', 'bigint', 'DECIMAL')) w(priority, field, wanted, found) ON o_orderpriority = priority""",
     "type_rules": _TYPED_RULES,
     "type_rejects": _REJECTED_RULES,
     "kv_rules": _KV_RULES,
@@ -300,6 +304,15 @@ ORACLES: dict[str, str] = {
     "stream_restart": f"""
         SELECT * FROM ({_EVENT_TICKS}) WHERE batch_id < 2
         UNION ALL SELECT * REPLACE (0::BIGINT AS batch_id) FROM ({_EVENT_TICKS})""",
+    "stream_replays": f"SELECT * EXCLUDE (batch_id) FROM ({_EVENT_TICKS})",
+    "stream_pages": """
+        WITH total AS (SELECT count(*) AS n FROM events),
+        steps AS (SELECT step, CAST(floor(n * share) AS BIGINT) AS cut FROM total, (VALUES (0, 0.3::DOUBLE), (1, 0.71::DOUBLE), (2, 1.0::DOUBLE)) s(step, share)),
+        whole AS (
+            SELECT step, event_id // 1000 AS page FROM events, steps
+            GROUP BY step, page HAVING count(*) = count(CASE WHEN event_id < cut THEN 1 END))
+        SELECT step, page, event_id AS market_cap, value AS current_price
+        FROM (SELECT step, max(page) AS page FROM whole GROUP BY step) JOIN events ON event_id // 1000 = page""",
     "expire_beside_stream": f"""
         SELECT t.* EXCLUDE (batch_id), epoch_us(ts) AS last_updated
         FROM ({_EVENT_TICKS}) t JOIN events ON event_id = market_cap WHERE ts >= TIMESTAMP '2024-01-20 00:00:00'

@@ -10,14 +10,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tickward.operators.chat import parse_kv_messages
-from tickward.operators.decode import counted, decode_messages, decode_ticks, encode_messages, explode_payload, type_rules
+from tickward.operators.decode import counted, decode_messages, decode_ticks, encode_messages, explode_payload, field_rejects, type_rules
 from tickward.operators.latest import latest_per_key
 from tickward.operators.retention import day_slice, purge_expired, purge_flagged
 from tickward.operators.rules import (
@@ -34,14 +35,16 @@ from tickward.plans.cycle import compact_rules, drop_turns, evaluate_cycle, fire
 from tickward.plans.index import build_index, crossed, indexed_turn
 from tickward.plans.intake import rule_intake, tick_intake
 from tickward.plans.upkeep import archive_tables, clean_rules, expire_ticks, read_ticks
-from tickward.schemas import RULE, RULE_KEY, TICK
+from tickward.schemas import RULE, RULE_KEY, TICK, TICK_WIRE
 from tickward.session import shared_dir
 from tickward.sources.commits import BatchId, read_commits, write_commit
 from tickward.sources.files import archive_by_day, archive_day, archive_snapshot, read_archive, stored
 from tickward.sources.streams import landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
 from tickward.streaming.delivery import Send, deliver, read_receipts
-from tickward.streaming.ingest import ingest_rules, ingest_ticks
+from tickward.streaming.ingest import ingest_rules, ingest_ticks, start_batches
+from tickward.streaming.pages import page_sink, paged_messages, read_page
+from tickward.streaming.replays import encode_identified, first_messages
 from tickward.streaming.sinks import Sink, archive_sink, snapshot_sink, table_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,6 +307,17 @@ def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tick_intake(_event_payloads(spark, sf_dir))
 
 
+def mistyped_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tick messages whose price is a text, whose market cap has decimals, or which lack a volume."""
+    kind = F.col("o_orderpriority")
+    price = F.when(kind == "1-URGENT", F.concat(F.lit('"'), F.col("o_totalprice").cast("string"), F.lit('"'))).otherwise(F.col("o_totalprice").cast("string"))
+    cap = F.when(kind == "2-HIGH", F.concat(F.col("o_orderkey").cast("string"), F.lit(".5"))).otherwise(F.col("o_orderkey").cast("string"))
+    volume = F.when(kind == "3-MEDIUM", F.lit("null")).when(kind == "1-URGENT", F.lit("[1]")).otherwise(F.lit("7"))
+    value = F.concat(F.lit('{"name": 5, "current_price": '), price, F.lit(', "market_cap": '), cap, F.lit(', "total_volume": '), volume, F.lit(', "other": {}}'))
+    found = field_rejects(table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value")), TICK_WIRE, carry=["o_orderkey"])
+    return found.drop("value").withColumn("found", F.regexp_extract("found", "^[A-Z]+", 0))
+
+
 # -- flags, retention, archives --------------------------------------------------------------
 
 
@@ -572,6 +586,41 @@ def expire_beside_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ticks(spark, root).withColumn("last_updated", F.unix_micros("last_updated"))
 
 
+def stream_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slice published twice, the stream restarted in between: the archive holds each message once."""
+    slices = [encode_identified(part.drop("ts"), ["market_cap"]) for part in _slices(event_wire(spark, sf_dir))]
+
+    def ingest(stream: DataFrame, **kwargs) -> StreamingQuery:
+        return ingest_ticks(first_messages(stream), **kwargs)
+
+    def sinks(root: str) -> list[Sink]:
+        return [archive_sink(f"{root}/history")]
+
+    root = _land_and_ingest(spark, [part for part in slices for _ in range(2)], "replays", ingest, sinks=sinks)
+    return read_archive(spark, f"{root}/history", TICK).drop("last_updated", "batch_id")
+
+
+PAGE_ROWS = 1000
+PAGE_CUTS = (0.3, 0.71, 1.0)
+
+
+def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a thousand events, cut wherever a batch ends: the page that the snapshot shows after each batch."""
+    root = shared_dir(spark, "pages")
+    messages = stored(paged_messages(_event_payloads(spark, sf_dir, per_page=PAGE_ROWS), F.col("page")), f"{root}/messages")
+    place = F.get_json_object("value", "$.market_cap").cast("long")
+    total, shown, before = table(spark, sf_dir, "events").count(), [], 0
+    for step, share in enumerate(PAGE_CUTS):
+        cut = int(total * share)
+        publish_messages(messages.where((place >= before) & (place < cut)), path=f"{root}/landing")
+        stream = message_stream(spark, path=f"{root}/landing").select("value", F.current_timestamp().alias("last_updated"))
+        start_batches(stream, page_sink(f"{root}/page"), f"{root}/checkpoint", AVAILABLE).awaitTermination()
+        page = read_page(spark, f"{root}/page").select(F.lit(step).alias("step"), "page", "market_cap", "current_price")
+        shown.append(stored(page, f"{root}/shown-{step}"))
+        before = cut
+    return reduce(DataFrame.unionAll, shown)
+
+
 def _snapshot(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     def sinks(root: str) -> list[Sink]:
         return [snapshot_sink(f"{root}/snapshot", mode)]
@@ -675,6 +724,7 @@ QUERIES: dict[str, Query] = {
     "decode_props": decoded_props,
     "decode_rejects": rejected_messages,
     "decode_ticks": decoded_ticks,
+    "decode_field_rejects": mistyped_fields,
     "type_rules": typed_rules,
     "type_rejects": untyped_rules,
     "kv_rules": kv_rules,
@@ -704,6 +754,8 @@ QUERIES: dict[str, Query] = {
     "landed_payloads": landed_pages,
     "stream_history": stream_history,
     "stream_restart": stream_restart,
+    "stream_replays": stream_replays,
+    "stream_pages": stream_pages,
     "expire_beside_stream": expire_beside_stream,
     "arrival_stamp": arrival_stamp,
     "stream_snapshot": stream_snapshot,
