@@ -1,6 +1,7 @@
 """Signatures, candidate search and classes against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,16 +12,21 @@ from tickward.llm import dart_minhash as dm
 SCHEMA = "doc_id long, text string, id long, n long, bands string, key string"
 
 
-def brute_force(rows, threshold=0.8):
+def alike(s, t, threshold):
+    return sum((s & t).values()) >= threshold * sum((s | t).values())
+
+
+def brute_force(rows, threshold=0.8, counted=False):
     """Class per id: smallest id of the connected component of texts alike."""
     sets = {}
     for doc_id, text in rows:
         words = (text or "").lower().split()
         if doc_id is not None and words:
-            sets.setdefault(doc_id, []).append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+            found = Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+            sets.setdefault(doc_id, []).append(found if counted else Counter(set(found)))
     label = {doc_id: doc_id for doc_id, _ in rows}
     changed = True
-    pairs = [(a, b) for a in sets for b in sets if a < b and any(len(s & t) >= threshold * len(s | t) for s in sets[a] for t in sets[b])]
+    pairs = [(a, b) for a in sets for b in sets if a < b and any(alike(s, t, threshold) for s in sets[a] for t in sets[b])]
     while changed:
         changed = False
         for a, b in pairs:
@@ -53,11 +59,12 @@ def test_coordinates_agree_as_often_as_the_weights_are_alike(a, b):
     assert abs(np.mean(same) - wanted) < 0.03
 
 
-def test_table_equals_brute_force(spark):
+@pytest.mark.parametrize("counted", [False, True])
+def test_table_equals_brute_force(spark, counted):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
-    want = brute_force(rows)
-    assert {r["doc_id"]: r["class_id"] for r in dm.near_duplicates(docs).collect()} == want
+    want = brute_force(rows, counted=counted)
+    assert {r["doc_id"]: r["class_id"] for r in dm.near_duplicates(docs, counted=counted).collect()} == want
     assert len(set(want.values())) < len(want)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import tickward
 from tickward.session import shared_dir
+from tickward.sources.storage import delete
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -25,7 +26,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the folder all executors share and read back, which also cuts its lineage."""
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._stored_path = path
+    return back
+
+
+def spent(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        delete(table.sparkSession, table._stored_path)
+
+
+def gathered(df: DataFrame, rows: int, per_task: int = 100_000, least: int = 16) -> DataFrame:
+    """``df``, the result of an exchange, in no more tasks than its ``rows`` are worth.
+
+    Each task of an exchange leaves files for the next, however little it has; many small steps of a small table would fill the disk with them.
+    """
+    return df.coalesce(max(least, -(-rows // per_task)))
 
 
 def ship(spark: SparkSession) -> None:

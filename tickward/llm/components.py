@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickward.llm.common import stored
+from tickward.llm.common import gathered, spent, stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     """Edges (u > v) with neighbours moved to the smallest one: of all neighbours of a node, or of the smaller ones."""
     both = edges.select("u", "v")
     if large:
         both = both.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # A column of its own keeps the join from reusing the aggregate's partitioning, so that a hub can be split.
     least = both.groupBy(F.struct("u").alias("_k")).agg(F.min("v").alias("m")).select(F.col("_k.u").alias("_u"), F.least("m", "_k.u").alias("m"))
-    joined = both.join(least, both["u"] == least["_u"])
+    least = gathered(least, rows)
+    joined = gathered(both.join(least, both["u"] == least["_u"]), rows)
     if large:
         moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select(F.col("_u").alias("u"), F.col("m").alias("v")))
-    return moved.where("u <> v").distinct()
+    return gathered(moved.where("u <> v").distinct(), rows)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,5 +38,6 @@ def components(edges: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if (state["n"], state["x"]) == before or not state["n"]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = (state["n"], state["x"])
-        edges = stored(_star(_star(edges, large=True), large=False), "edges")
+        before, old = (state["n"], state["x"]), edges
+        edges = stored(_star(_star(edges, True, state["n"]), False, state["n"]), "edges")
+        spent(old)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickward.llm.common import mix64, released, rows_of, stored
+from tickward.llm.common import gathered, mix64, released, rows_of, spent, stored
 from tickward.llm.components import components
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -213,8 +213,8 @@ def _texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
     return likely.select(F.col("doc_id").alias("id"), "text").join(wanted.select(F.col("doc_id").alias("id")), "id", "left_semi")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, documents: DataFrame, threshold: float, width: int, counted: bool) -> DataFrame:
-    """The candidate ``pairs`` (x, y) whose texts have ``threshold`` similarity.
+def _verified(pairs: DataFrame, rows: int, texts: DataFrame, documents: DataFrame, threshold: float, width: int, counted: bool) -> DataFrame:
+    """The candidate ``pairs`` (x, y), some multiple of ``rows``, whose texts have ``threshold`` similarity.
 
     Signatures come first: a pair stays if its agreement is not five standard deviations below the threshold.
     """
@@ -229,52 +229,61 @@ def _verified(pairs: DataFrame, texts: DataFrame, documents: DataFrame, threshol
         return pd.Series([jaccard((p, q), (r, s), counted) for p, q, r, s in zip(a, m, b, n, strict=True)])
 
     first, second = (texts.select(F.col("id").alias(c), F.col("sketch").alias(s)) for c, s in (("x", "_s"), ("y", "_t")))
-    likely = pairs.join(first, "x").join(second, "y").withColumn("_agree", agreement("_s", "_t"))
+    likely = gathered(pairs.join(first, "x"), rows, 20_000).join(second, "y").withColumn("_agree", agreement("_s", "_t"))
     size = texts.select(F.length("sketch")).first()
     least = threshold - 5 * (threshold * (1 - threshold) / (size[0] if size else 1)) ** 0.5
-    likely = stored(likely.where(F.col("_agree") >= least).select("x", "y").distinct(), "likely")
-    wanted = stored(likely.select(F.col("x").alias("doc_id")).unionAll(likely.select("y")).distinct(), "wanted")
-    sets = stored(_shingle_sets(_texts_of(wanted, documents), width), "shingles")
+    likely = stored(gathered(likely.where(F.col("_agree") >= least).select("x", "y").distinct(), rows), "likely")
+    pairs = likely.count()
+    wanted = stored(gathered(likely.select(F.col("x").alias("doc_id")).unionAll(likely.select("y")).distinct(), pairs), "wanted")
+    sets = stored(_shingle_sets(gathered(_texts_of(wanted, documents), 2 * pairs, 5_000), width), "shingles")
     sides = [sets.select(F.col("id").alias(c), F.col("set").alias(f"_{c}set"), F.col("counts").alias(f"_{c}n")) for c in ("x", "y")]
-    both = likely.join(sides[0], "x").join(sides[1], "y").withColumn("_alike", similarity("_xset", "_xn", "_yset", "_yn"))
-    return both.where(F.col("_alike") >= threshold).select("x", "y").distinct()
+    both = gathered(likely.join(sides[0], "x"), pairs, 5_000).join(sides[1], "y").withColumn("_alike", similarity("_xset", "_xn", "_yset", "_yn"))
+    found = stored(gathered(both.where(F.col("_alike") >= threshold).select("x", "y").distinct(), pairs), "links")
+    spent(likely, wanted, sets)
+    return found
 
 
-def _first_labels(links: DataFrame) -> DataFrame:
+def _first_labels(links: DataFrame, rows: int) -> DataFrame:
     """node and component, the smallest node found two links away: enough to tell most of a group of copies apart from
-    the few that its leaders do not reach. Too fine a label costs comparisons, never links."""
+    the few that its leaders do not reach. A label that is too fine makes more of a bucket others."""
     both = links.select("x", "y").unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    first = stored(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("y")), "labels")
+    first = stored(gathered(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("y")), rows), "labels")
     then = first.select(F.col("x").alias("y"), F.col("y").alias("component"))
-    return first.join(then, "y").select(F.col("x").alias("node"), "component")
+    return gathered(first.join(then, "y").select(F.col("x").alias("node"), "component"), rows)
 
 
-def _stragglers(buckets: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float, levels: int) -> DataFrame:
-    """Pairs (x, y) of different components that share a bucket (key, id, n); see the module for how."""
+def _stragglers(buckets: DataFrame, rows: int, texts: DataFrame, labels: DataFrame, threshold: float, levels: int) -> DataFrame | None:
+    """Pairs (x, y) of different components that share a bucket (key, id, n), of ``rows`` rows; see the module for how."""
     named = labels.select(F.col("node").alias("id"), "component")
-    members = buckets.join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    found = None
+    members = gathered(buckets.join(named, "id", "left"), rows).withColumn("component", F.coalesce("component", "id"))
+    found, used = None, []
     for level in range(levels):
-        parts = members.groupBy("key", "component").agg(F.count("*").alias("c"))
+        parts = gathered(members.groupBy("key", "component").agg(F.count("*").alias("c")), rows)
         sizes = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("all"))
         mixed = sizes.where("parts > 1").select("key", F.col("most.component").alias("main"), (F.col("all") - F.col("most.c")).alias("others"))
-        mixed = stored(mixed, "mixed")
+        mixed = stored(gathered(mixed, rows), "mixed")
+        used.append(mixed)
         if mixed.isEmpty():
             break
-        inside = stored(members.join(mixed, "key"), "members")
+        inside = stored(gathered(members.join(mixed, "key"), rows), "members")
+        used.append(inside)
         last = level == levels - 1
         light = inside if last else inside.where(F.col("others") <= FEW)
         outer = light.where("component <> main").select("key", F.col("id").alias("x"), F.col("n").alias("_n"), F.col("component").alias("_c"))
         close = light.select("key", F.col("id").alias("y"), "n", "component").join(outer, "key")
         close = close.where((F.col("component") != F.col("_c")) & _alike_in_size("n", "_n", threshold))
-        close = close.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        close = stored(gathered(close.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), rows), "close")
         found = close if found is None else found.unionAll(close)
         heavy = inside.where(F.col("others") > FEW)
         if last or heavy.isEmpty():
             break
-        split = heavy.join(texts.select("id", "bands"), "id")
+        split = gathered(heavy.join(texts.select("id", "bands"), "id"), rows)
         members = split.select(F.explode(F.transform("bands", lambda b: F.xxhash64(F.col("key"), b))).alias("key"), "id", "n", "component")
-        members = stored(members.join(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "key"), "split")
+        shared = gathered(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), rows)
+        members = stored(gathered(members.join(shared, "key"), rows), "split")
+        used.append(members)
+        rows = members.count()
+    spent(*used)
     return found
 
 
@@ -283,23 +292,29 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5
 
     Two texts are linked if the Jaccard similarity of their shingles of ``width`` words is at least ``threshold``; with
     ``counted`` a shingle weighs as often as it stands in a text. A link of exactly 0.8 shares none of 32 bands of 5 with
-    a probability of 0.000003.
+    a probability of 0.000003. Where all bands that two texts share are in buckets with more than ``FEW`` members outside the largest component, the
+    texts are compared if they share two of them, or three in buckets that stay so large: then it is missed with 0.00005 or 0.0004.
     """
     signed = stored(_signatures(documents, bands, rows, width, counted), "signatures")
+    n = signed.count()
     copies = signed.groupBy("a", "b").agg(F.min("id").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    copies = stored(copies, "copies")
+    copies = stored(gathered(copies, n, 20_000), "copies")
+    again = signed.select("a", "b", "id").join(copies.select("a", "b", "first"), ["a", "b"]).where("id <> first")
+    again = stored(gathered(again.select(F.col("id").alias("x"), F.col("first").alias("y")).distinct(), n), "again")
+    spent(signed)
     texts = copies.select(F.col("first").alias("id"), "n", "bands", "sketch")
     buckets = texts.select(F.explode("bands").alias("key"), "id", "n")
     shared = buckets.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("lead")).where("c > 1")
-    shared = stored(shared.select("key", F.col("lead.id").alias("y"), F.col("lead.n").alias("_n")), "buckets")
-    buckets = stored(buckets.join(shared, "key"), "members")
-    pairs = buckets.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold)).select(F.col("id").alias("x"), "y").distinct()
-    links = stored(_verified(pairs, texts, documents, threshold, width, counted), "links")
-    again = signed.join(copies.select("a", "b", "first"), ["a", "b"]).where("id <> first").select(F.col("id").alias("x"), F.col("first").alias("y")).distinct()
-    rest = _stragglers(buckets.select("key", "id", "n"), texts, stored(_first_labels(links), "labels"), threshold, levels)
+    shared = gathered(shared.select("key", F.col("lead.id").alias("y"), F.col("lead.n").alias("_n")), n * bands)
+    members = stored(gathered(buckets.join(shared, "key"), n * bands), "members")
+    pairs = members.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold)).select(F.col("id").alias("x"), "y").distinct()
+    links = _verified(gathered(pairs, n * 4), n * 4, texts, documents, threshold, width, counted)
+    names = stored(_first_labels(links, n), "labels")
+    rest = _stragglers(members.select("key", "id", "n"), members.count(), texts, names, threshold, levels)
+    spent(members, names)
     if rest is not None:
-        more = _verified(rest.distinct(), texts, documents, threshold, width, counted)
-        links = links.unionAll(more)
+        links = links.unionAll(_verified(gathered(rest.distinct(), n * 4), n * 4, texts, documents, threshold, width, counted))
+    spent(copies)
     labels = stored(components(links.unionAll(again)), "labels")
     named = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
     return documents.select("doc_id").join(named, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

@@ -27,7 +27,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents"), counted=True)
 
 
 def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
