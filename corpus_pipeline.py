@@ -2,8 +2,9 @@
 
 Five stages, each over all that the stage before it kept: quality, toxicity, near duplicates, mixing to target weights,
 packing. A stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the
-next one's docs; all but the last return the columns of ``documents``. Rows without an id are judged by their text alone and
-are nobody's duplicate.
+next one's docs; all but the last return the columns of ``documents``. Rows without an id are judged by their text alone. Repeated rows are
+judged one by one and are near duplicates of each other; rows of one id with different texts are different documents. Of equally good rows of a
+class the one with the smallest id stays. Empty tables go through every stage, and further columns are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -41,17 +42,19 @@ def civil_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of near duplicates the document with the smallest id, once."""
+    """Of every class of near duplicates one row, that of the smallest id; a row without an id stays only if no other of its class has one.
+
+    Rows are told apart by a number of their own, so rows that share an id are duplicates of each other only if their texts are.
+    """
     ship(spark)
-    classes = near_duplicates(docs)
-    dropped = stored(classes.where("doc_id <> class_id").select("doc_id").distinct(), "dropped")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = stored(repeated, "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionAll(once)
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("document")), "rows")
+    classes = near_duplicates(rows.select(F.col("row").alias("doc_id"), "document.text"))
+    named = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("row"), "class_id")
+    named = stored(named.unionAll(named.select(F.col("class_id").alias("row"), "class_id").distinct()), "classes")
+    ids = named.join(rows.select("row", "document.doc_id"), "row")
+    first = ids.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
+    dropped = named.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select("row")
+    return rows.join(dropped, "row", "left_anti").select("document.*")
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

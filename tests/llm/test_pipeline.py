@@ -57,4 +57,14 @@ def test_odd_rows_go_through_every_stage(spark):
             assert stage(spark, table, SF).columns == docs.columns
         cp.packed_documents(spark, table, SF).collect()
     kept = cp.distinct_documents(spark, docs, SF).select("doc_id", F.coalesce("text", F.lit("-"))).collect()
-    assert Counter(r[0] for r in kept) == {1: 1, 2: 1, 3: 1, None: 1}
+    assert Counter(r[0] for r in kept) == {1: 1, 2: 1, 3: 1}
+
+
+def test_rows_of_one_id_with_different_texts_both_stay(spark):
+    texts = [" ".join(f"{k}{n}" for n in range(40)) for k in "abcd"]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (9, texts[2] + " end"), (None, texts[3]), (None, texts[3]), (2, texts[1])]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, row int, document string")
+    kept = cp.distinct_documents(spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text[:2]) for r in kept.collect()), key=str)
+    assert found == sorted([(1, "a0"), (1, "b0"), (9, "c0"), (None, "d0")], key=str)
