@@ -1,4 +1,8 @@
+import os
+import shutil
+
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from helpers import rows, rule, rules
@@ -10,7 +14,8 @@ from tickward.sources.commits import BatchId, commits, in_force, read_commits
 from tickward.sources.files import read_archive
 from tickward.sources.streams import kafka_options, landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
-from tickward.streaming.ingest import ingest_rules, ingest_ticks
+from tickward.streaming.ingest import ingest_rules, ingest_ticks, read_metrics
+from tickward.streaming.notify import notification_sink, sent_receipts
 from tickward.streaming.pages import PAGED_TICK, page_sink, paged_messages, read_page
 from tickward.streaming.replays import encode_identified, first_messages
 from tickward.streaming.sinks import archive_sink, snapshot_sink, table_sink
@@ -278,3 +283,51 @@ def test_a_page_shows_whole_or_not_at_all(spark, out):
     assert send(*page(4)) == [(3, "x")]
     parts = read_commits(spark, f"{out}/page/parts", PAGED_TICK)
     assert parts.where("page <= 1").count() == 0
+
+
+def test_a_sink_whose_task_dies_leaves_one_receipt_each(spark, out, tmp_path):
+    box, died = str(tmp_path / "box"), str(tmp_path / "died")
+    notes = spark.createDataFrame([(f"n{n}", n, "bad" if n == 7 else "good") for n in range(20)], "notification_id string, chat_id long, text string")
+    notes.repartition(4).write.parquet(f"{out}/in")
+
+    def make_send():
+        def send(chat_id, text):
+            with open(box, "a") as file:
+                file.write(f"{chat_id}\n")
+            if chat_id == 13 and not os.path.exists(died):
+                open(died, "w").close()
+                raise SystemExit(1)  # not an error of the send: the task dies
+            if text == "bad":
+                raise ValueError("refused")
+
+        return send
+
+    sink = notification_sink(spark, make_send)
+
+    def send_all():
+        stream = spark.readStream.schema(notes.schema).parquet(f"{out}/in")
+        stream.writeStream.format(sink).option("path", f"{out}/receipts").option("checkpointLocation", f"{out}/cp").trigger(**NOW).start().awaitTermination()
+
+    assert sent_receipts(spark, f"{out}/receipts").count() == 0
+    with pytest.raises(StreamingQueryException):
+        send_all()
+    assert sent_receipts(spark, f"{out}/receipts").count() == 0
+    send_all()
+    send_all()
+    want = sorted((f"n{n}", n, "ValueError: refused" if n == 7 else None, 0) for n in range(20))
+    assert sorted(map(tuple, sent_receipts(spark, f"{out}/receipts").collect())) == want
+    assert open(box).read().split().count("13") == 2
+
+
+def test_metrics_count_a_batch_once(spark, out):
+    publish(spark, out, wire("a", 1.0), wire("b", 2.0))
+    spark.createDataFrame([("junk",)], "value string").write.mode("append").text(f"{out}/in")
+    for _ in range(2):
+        run(spark, out, sinks=[archive_sink(f"{out}/hist")], metrics=f"{out}/metrics")
+    publish(spark, out, wire("a", 1.0))
+    run(spark, out, sinks=[archive_sink(f"{out}/hist")], metrics=f"{out}/metrics")
+    shutil.rmtree(f"{out}/cp/commits")  # the engine replays its last batch
+    os.makedirs(f"{out}/cp/commits")
+    run(spark, out, sinks=[archive_sink(f"{out}/hist")], metrics=f"{out}/metrics")
+    found = rows(read_metrics(spark, f"{out}/metrics"), "batch_id", "messages", "rejected")
+    assert found == [(0, 3, 1), (1, 1, 0)]

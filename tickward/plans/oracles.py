@@ -211,6 +211,15 @@ ORACLES: dict[str, str] = {
                              WHEN current_price <= loss_limit THEN 'loss' END AS side
               FROM ({_MONEY_LINES}))
         WHERE side IS NOT NULL AND chat_id <> 0""",
+    "notify_stream": f"""
+        SELECT md5(concat_ws(chr(31), '=' || chat_id, '=' || crypto_type, '=' || purchase_price::VARCHAR,
+                             '=' || desired_profit_percentage::VARCHAR, '=' || desired_loss_percentage::VARCHAR,
+                             '=' || strftime(created_at, '%Y-%m-%d %H:%M:%S'), '=' || tick_id, '=' || side)) AS notification_id,
+               chat_id, NULL::VARCHAR AS error, (chat_id % 2)::BIGINT AS batch
+        FROM (SELECT *, CASE WHEN current_price >= profit_target THEN 'profit'
+                             WHEN current_price <= loss_limit THEN 'loss' END AS side
+              FROM ({_MONEY_LINES}))
+        WHERE side IS NOT NULL AND chat_id <> 0""",
     "decode_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "decode_rejects": "SELECT text AS value, 'no declared field could be read' AS reason FROM documents",
     "decode_ticks": f"SELECT * EXCLUDE (batch_id) FROM ({_EVENT_TICKS})",
@@ -331,6 +340,10 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT translate(text, chr(13) || chr(10), '  '), 'no declared field could be read', 1::BIGINT
         FROM conversations""",
+    "stream_metrics": f"""
+        WITH noise AS (SELECT count(*)::BIGINT AS n FROM conversations)
+        SELECT batch_id, (count(*) + CASE batch_id WHEN 1 THEN n ELSE 0 END)::BIGINT AS messages, (CASE batch_id WHEN 1 THEN n ELSE 0 END)::BIGINT AS rejected
+        FROM ({_EVENT_TICKS}), noise GROUP BY batch_id, n""",
     "alert_stream": f"""
         WITH sliced AS (
             SELECT e.*, t.batch_id FROM events e JOIN ({_EVENT_TICKS}) t ON e.event_id = t.market_cap),

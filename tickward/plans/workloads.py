@@ -42,7 +42,8 @@ from tickward.sources.files import archive_by_day, archive_day, archive_snapshot
 from tickward.sources.streams import landed_payloads, message_stream, publish_messages
 from tickward.streaming.alerts import alert_stream
 from tickward.streaming.delivery import Send, deliver, read_receipts
-from tickward.streaming.ingest import ingest_rules, ingest_ticks, start_batches
+from tickward.streaming.ingest import ingest_rules, ingest_ticks, read_metrics, start_batches
+from tickward.streaming.notify import notification_sink, sent_receipts
 from tickward.streaming.pages import page_sink, paged_messages, read_page
 from tickward.streaming.replays import encode_identified, first_messages
 from tickward.streaming.sinks import Sink, archive_sink, snapshot_sink, table_sink
@@ -244,6 +245,21 @@ def delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_receipts(spark, f"{path}/log")
 
 
+def notified_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notifications sent by the sink of a stream that is stopped and restarted between its files: the receipts of its batches."""
+    root, lines, price = shared_dir(spark, "notified"), table(spark, sf_dir, "lineitem"), F.col("l_extendedprice")
+    rules = line_rules(lines, price=price, profit=F.col("l_quantity"), loss=F.col("l_quantity"))
+    fired = match_rules(pending_rules(rules), latest_ticks(line_ticks(lines, price), LINE_TIEBREAK))
+    notes = stored(render_notifications(fired_only(evaluate_thresholds(fired))), f"{root}/notes")
+    sink = notification_sink(spark, lambda: lambda chat_id, text: None)
+    for odd in (0, 1):
+        notes.where(F.col("chat_id") % 2 == odd).write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(notes.schema).parquet(f"{root}/landing")
+        writer = stream.writeStream.format(sink).option("path", f"{root}/receipts").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(**AVAILABLE).start().awaitTermination()
+    return sent_receipts(spark, f"{root}/receipts")
+
+
 # -- wire formats ----------------------------------------------------------------------------
 
 
@@ -660,6 +676,15 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.withColumn("created_at", F.unix_micros("created_at"))
 
 
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many messages each batch of a stream took in and how many it set aside."""
+    slices = [part.select("value") for part in _tick_slices(spark, sf_dir)]
+    noise = table(spark, sf_dir, "conversations").select(F.translate("text", "\r\n", "  ").alias("value"))
+    slices[1] = slices[1].unionAll(noise)
+    root = _land_and_ingest(spark, slices, "metrics", ingest_ticks, sinks=lambda root: [archive_sink(f"{root}/history")], metrics=lambda root: f"{root}/metrics")
+    return read_metrics(spark, f"{root}/metrics").drop("stream")
+
+
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _rule_stream(spark, sf_dir)
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("reason", T.StringType())])
@@ -721,6 +746,7 @@ QUERIES: dict[str, Query] = {
     "pending_rules": pending_orders,
     "render_messages": rendered_messages,
     "deliver_once": delivered_once,
+    "notify_stream": notified_stream,
     "decode_props": decoded_props,
     "decode_rejects": rejected_messages,
     "decode_ticks": decoded_ticks,
@@ -762,6 +788,7 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": stream_upsert,
     "stream_rules": stream_rules,
     "stream_rejects": stream_rejects,
+    "stream_metrics": stream_metrics,
     "alert_stream": stream_alerts,
     "stream_static_join": stream_static_join,
 }

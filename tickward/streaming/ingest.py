@@ -8,12 +8,15 @@ from collections.abc import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickward.operators.decode import split_tagged, tag_rules, tag_ticks
-from tickward.sources.commits import BatchId
+from tickward.sources.commits import BatchId, commits, read_commits, rewrite, write_commit
 from tickward.streaming.sinks import Sink
 
+FOLD_METRICS = 100  # batches whose numbers are files of their own
+
 
 def stream_name(spark: SparkSession, checkpoint: str) -> str:
     """The id the engine gave the stream of a checkpoint; another checkpoint is another stream."""
@@ -39,7 +42,15 @@ def start_batches(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def _each_once(tag: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink], rejects: Sink | None):
+METRICS = T.StructType([T.StructField(n, T.LongType()) for n in ("batch_id", "messages", "rejected")] + [T.StructField("stream", T.StringType())])
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """``batch_id, messages, rejected, stream`` of every batch taken in, a batch that was replayed once."""
+    return read_commits(spark, path, METRICS)
+
+
+def _each_once(tag: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink], rejects: Sink | None, metrics: str | None):
     """Batch handler that reads and decodes once however many sinks there are, and leaves a sink
     untouched when the batch has nothing for it."""
 
@@ -49,14 +60,21 @@ def _each_once(tag: Callable[[DataFrame], DataFrame], sinks: Sequence[Sink], rej
         tagged = tagged.withColumn("_raw", F.when(F.col("_reject").isNotNull(), F.col("_raw")))
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            messages, rejected = tagged.agg(F.count(F.lit(1)), F.count("_reject")).first()
             good, bad = split_tagged(tagged)
-            if not good.isEmpty():
+            if messages > rejected:
                 for sink in sinks:
                     sink(good, batch_id)
-            if rejects is not None and not bad.isEmpty():
+            if rejects is not None and rejected:
                 rejects(bad, batch_id)
         finally:
             tagged.unpersist()
+        if metrics is not None and messages:
+            spark = batch.sparkSession
+            counts = spark.createDataFrame([(int(batch_id), messages, rejected, batch_id.source)], METRICS).coalesce(1)
+            write_commit(counts, metrics, batch_id=batch_id)
+            if len(commits(spark, metrics).deltas) > FOLD_METRICS:
+                rewrite(spark, metrics, METRICS, lambda rows: rows.coalesce(1))
 
     return handle
 
@@ -67,10 +85,12 @@ def ingest_rules(
     checkpoint: str,
     *,
     rejects: Sink | None = None,
+    metrics: str | None = None,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Rule messages to every sink (table, archive) as stored rules; unreadable ones to ``rejects``."""
-    return start_batches(messages.select("value"), _each_once(tag_rules, sinks, rejects), checkpoint, trigger)
+    """Rule messages to every sink (table, archive) as stored rules; unreadable ones to ``rejects``, the numbers of both to the table
+    under ``metrics``."""
+    return start_batches(messages.select("value"), _each_once(tag_rules, sinks, rejects, metrics), checkpoint, trigger)
 
 
 def ingest_ticks(
@@ -79,12 +99,14 @@ def ingest_ticks(
     checkpoint: str,
     *,
     rejects: Sink | None = None,
+    metrics: str | None = None,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Tick messages to every sink (snapshot, archive) as stored ticks; unreadable ones to ``rejects``.
+    """Tick messages to every sink (snapshot, archive) as stored ticks; unreadable ones to ``rejects``, the numbers of both to the table
+    under ``metrics``.
 
     The arrival stamp belongs to the stream, not to the batch handler: the engine records one
     instant per micro-batch and uses it again if the batch is replayed.
     """
     stamped = messages.select("value", F.current_timestamp().alias("last_updated"))
-    return start_batches(stamped, _each_once(tag_ticks, sinks, rejects), checkpoint, trigger)
+    return start_batches(stamped, _each_once(tag_ticks, sinks, rejects, metrics), checkpoint, trigger)
