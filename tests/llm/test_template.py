@@ -3,6 +3,8 @@
 import html
 import random
 
+import pytest
+
 from llm_data import shipped  # noqa: F401
 from tickward.llm.template import extract, host_of, main_text
 
@@ -90,3 +92,9 @@ def test_hosts(spark):
 
 def test_deep_nesting_does_not_matter():
     assert main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
+
+
+@pytest.mark.parametrize("depth", [10, 199, 200, 450])
+def test_what_is_set_aside_is_so_at_any_depth(depth):
+    page = "<html><body>" + "<div>" * depth + "<p>Kept.</p><nav><a>Menu</a></nav><div class='advert'><p>Buy</p></div><p>Kept too.</p>" + "</div>" * depth + "<footer>Foot</footer><p>Last.</p></body></html>"
+    assert main_text(page) == "Kept.\n\nKept too.\n\nLast."

@@ -56,7 +56,7 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
     "head": frozenset(["body"]),
 }
-MAX_DEPTH = 200  # deeper elements count as part of the one above
+MAX_DEPTH = 200  # deeper elements have the path of the one above, so that paths stay short; what sets them aside counts all the same
 SET_ASIDE = frozenset("head nav header footer aside form button select dialog menu".split()) | RAW
 ASIDE_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie cookies disclaimer discussion "
@@ -135,12 +135,13 @@ def read_page(page: str | None) -> tuple[list[str], list[Run]]:
         attributes = found.group(3) or ""
         _, path, link, aside = stack[-1]
         names = sorted({n for f in NAME.findall(attributes) for n in " ".join(f).split() if not n[-1:].isdigit()})
-        path = f"{path}/{'.'.join([tag, *names])}"
-        tags.append(path)
+        if len(stack) < MAX_DEPTH:
+            path = f"{path}/{'.'.join([tag, *names])}"
+            tags.append(path)
         if tag in RAW:
             end = re.compile(f"</{tag}\\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
-        elif tag not in VOID and not attributes.rstrip().endswith("/") and len(stack) < MAX_DEPTH:
+        elif tag not in VOID and not attributes.rstrip().endswith("/"):
             stack.append((tag, path, link or tag == "a", aside or set_aside(tag, attributes, path)))
     return tags, runs
 
