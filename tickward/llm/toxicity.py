@@ -185,19 +185,20 @@ def _term_counts(texts: DataFrame, wanted: frozenset[str] | None = None) -> Data
     return texts.select("text").mapInArrow(released(count), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def learn_lexicon(examples: DataFrame, support: float = 0.005, odds: float = 3.0, max_terms: int = 20_000) -> dict[str, float]:
+def learn_lexicon(examples: DataFrame, support: float = 0.005, odds: float = 3.0) -> dict[str, float]:
     """Terms of labelled texts (text, toxic) with their log odds of standing in a toxic text.
 
-    A term needs ``support`` of the toxic texts, three at least, and log odds of ``odds``; ``max_terms`` bounds the
-    lexicon, best supported first. Only terms with that support in toxic texts are counted in clean ones.
+    A term needs ``support`` of the toxic texts, three at least, and log odds of ``odds``. There are at most as many as a toxic text has
+    on average, divided by the support, and the labelled texts are a bounded number. Only terms with that support in toxic texts are
+    counted in clean ones.
     """
     n = examples.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     toxic, clean = n["toxic"] or 0, n["n"] - (n["toxic"] or 0)
     common = _term_counts(examples.where("toxic = 1")).where(F.col("n") >= max(3.0, support * toxic))
-    in_toxic = {r["term"]: r["n"] for r in common.orderBy(F.desc("n"), "term").limit(10 * max_terms).collect()}
+    in_toxic = {r["term"]: r["n"] for r in common.orderBy(F.desc("n"), "term").collect()}
     in_clean = {r["term"]: r["n"] for r in _term_counts(examples.where("toxic = 0"), frozenset(in_toxic)).collect()}
     weights = {t: float(np.log((k + 0.5) / (toxic + 1)) - np.log((in_clean.get(t, 0) + 0.5) / (clean + 1))) for t, k in in_toxic.items()}
-    return dict([(t, w) for t, w in weights.items() if w >= odds][:max_terms])
+    return {t: w for t, w in weights.items() if w >= odds}
 
 
 def fit_toxicity(documents: DataFrame, known: DataFrame, max_examples: int = 200_000) -> Grammar:
