@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickward.functions.text import INVALID_FORMAT
-from tickward.operators.chat import parse_kv_messages
+from tickward.operators.chat import chat_replies, parse_kv_messages
 from tickward.operators.decode import decode_messages
 from tickward.plans.intake import rule_intake
 from tickward.schemas import RULE_WIRE
@@ -136,3 +136,10 @@ def test_default_stamp_is_utc_in_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs(now - stamp) < dt.timedelta(minutes=5)
+
+
+def test_senders_are_told_what_became_of_their_message(spark):
+    chats = spark.createDataFrame([(1, "nonsense"), (1, "nonsense"), (2, "crypto_type=Bitcoin,purchase_price=5"), (3, "chat_id=x,crypto_type=a"), (None, "junk"), (0, "junk"), (4, "/start")], "chat_id long, text string")
+    told = chat_replies(parse_kv_messages(chats, now=F.lit("2025-01-01 10:00:00").cast("timestamp"))).collect()
+    assert sorted((r.chat_id, r.text[:9]) for r in told) == [(1, "❌ Invalid"), (1, "❌ Invalid"), (2, '{"chat_id')]
+    assert len({r.notification_id for r in told}) == 2

@@ -10,6 +10,7 @@ from tickward.functions.once import once
 from tickward.functions.text import INVALID_FORMAT
 from tickward.functions.times import utc_iso
 from tickward.operators.decode import Split
+from tickward.operators.rules import digest
 from tickward.schemas import RULE_WIRE
 
 
@@ -36,3 +37,17 @@ def parse_kv_messages(
     good = accepted.select(*[c.alias(name) for name, c in fields.items()], "created_at")
     rejects = heard.filter(~is_well_formed(pairs)).select("chat_id", "text", F.lit(INVALID_FORMAT).alias("reason"))
     return Split(good, rejects)
+
+
+def chat_replies(parsed: Split) -> DataFrame:
+    """What the senders are told, as notifications to be delivered: ``notification_id, chat_id, text``.
+
+    A malformed message is answered with the reason, a rule with itself as it was read. The id is a digest of the chat and of what is
+    answered, so a reply is sent once however often its batch is replayed, and a malformed message that is repeated word for word gets one answer.
+    Nobody is told where the chat is NULL, 0 or no whole number.
+    """
+    refused = parsed.rejects.select(F.col("chat_id").cast("long").alias("chat_id"), F.col("text").alias("said"), F.col("reason").alias("text"))
+    read = F.to_json(F.struct(*parsed.good.columns), {"ignoreNullFields": "false"})
+    taken = parsed.good.select(F.col("chat_id").try_cast("long").alias("chat_id"), read.alias("said"), read.alias("text"))
+    both = refused.unionByName(taken).filter(F.col("chat_id").isNotNull() & (F.col("chat_id") != 0))
+    return both.select(digest(both, ["chat_id", "said"]).alias("notification_id"), "chat_id", "text")

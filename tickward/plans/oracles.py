@@ -235,6 +235,15 @@ ORACLES: dict[str, str] = {
                '❌ Invalid format. Please use:' || chr(10)
                || 'crypto_type=..., purchase_price=..., profit=..., loss=...' AS reason
         FROM ({_KV}) WHERE NOT well_formed""",
+    "chat_replies": f"""
+        SELECT md5(concat_ws(chr(31), '=' || chat_id, '=' || said)) AS notification_id, chat_id, text FROM (
+            SELECT sender AS chat_id, text AS said,
+                   '❌ Invalid format. Please use:' || chr(10)
+                   || 'crypto_type=..., purchase_price=..., profit=..., loss=...' AS text
+            FROM ({_KV}) WHERE NOT well_formed
+            UNION ALL
+            SELECT TRY_CAST(chat_id AS BIGINT), {_json_text(*_WIRE_NAMES)} AS said, said FROM ({_KV_RULES}))
+        WHERE chat_id <> 0""",
     "encode_events": """
         SELECT event_id::VARCHAR AS key,
                json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type)::VARCHAR AS value

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickward.operators.chat import parse_kv_messages
+from tickward.operators.chat import chat_replies, parse_kv_messages
 from tickward.operators.decode import counted, decode_messages, decode_ticks, encode_messages, explode_payload, field_rejects, type_rules
 from tickward.operators.latest import latest_per_key
 from tickward.operators.retention import day_slice, purge_expired, purge_flagged
@@ -299,6 +299,10 @@ def kv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_kv_messages(order_chats(spark, sf_dir), now=F.col("o_orderdate")).rejects
 
 
+def replied_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_replies(parse_kv_messages(order_chats(spark, sf_dir), now=F.col("o_orderdate")))
+
+
 def encoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_messages(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), key="event_id")
 
@@ -755,6 +759,7 @@ QUERIES: dict[str, Query] = {
     "type_rejects": untyped_rules,
     "kv_rules": kv_rules,
     "kv_rejects": kv_rejects,
+    "chat_replies": replied_chats,
     "encode_events": encoded_events,
     "explode_payload": exploded_payload,
     "rule_intake": rule_messages,
