@@ -5,6 +5,11 @@ Trusted positives are documents known to be good; everything else counts as unla
 
     prior * E_pos[l(g)] + max(0, E_all[l(-g)] - prior * E_pos[l(-g)])        l(z) = log(1 + exp(-z))
 
+The prior is estimated from the same two samples. Among the best-scored documents there are hardly any bad ones, so the share of all documents above a
+score, divided by the share of the positives above it, comes down to the share of good ones. Its least value over all scores that half of the
+positives reach is taken (the very best scores favour the positives that the scorer was fitted on), with a scorer fitted at an even prior; then the scorer is
+fitted again.
+
 Every step is one Spark pass over all documents' statistics that returns sums of fixed size; the positives may be
 bounded (``max_positives``). A NULL text counts as empty, an empty text has all statistics 0 and gets a score like any
 other. Repeated rows are scored alike; rows without an id are scored but never carry a label.
@@ -109,11 +114,23 @@ def _summed(statistics: DataFrame, body, size: int) -> np.ndarray:
     return out
 
 
-def fit_quality(documents: DataFrame, positives: DataFrame, prior: float, max_positives: int = 200_000, steps: int = 12, ridge: float = 3e-3) -> QualityModel:
+EDGES = np.linspace(-30, 30, 2401)  # of scores, as log odds
+ENOUGH = 0.5  # of the positives
+
+
+def least_ratio(every: np.ndarray, positive: np.ndarray) -> float:
+    """The prior from how many of all documents and of the positives have a score in each of several ascending intervals."""
+    above, positive_above = (np.cumsum(h[::-1])[::-1] for h in (every, positive))
+    enough = positive_above >= max(1, ENOUGH * positive.sum())
+    ratios = above[enough] / every.sum() / (positive_above[enough] / positive.sum())
+    return float(np.clip(ratios.min(), 0.01, 0.99))
+
+
+def fit_quality(documents: DataFrame, positives: DataFrame, prior: float | None = None, max_positives: int = 200_000, steps: int = 12, ridge: float = 3e-3) -> QualityModel:
     """Fit on ``documents`` (doc_id, text), all of them unlabelled, and the trusted ``positives`` (doc_id).
 
-    ``max_positives`` bounds the trusted ids, which are sent to all executors, by the order of a hash; ``prior`` is the share of good text.
-    Without documents or positives the model scores everything with ``prior``.
+    ``max_positives`` bounds the trusted ids, which are sent to all executors, by the order of a hash; ``prior`` is the share of good text, estimated
+    if not given. Without documents or positives the model scores everything with ``prior``, or with a half.
     """
     trusted = positives.where("doc_id is not null").select("doc_id").distinct()
     trusted = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_positives).withColumn("positive", F.lit(True))
@@ -126,11 +143,17 @@ def fit_quality(documents: DataFrame, positives: DataFrame, prior: float, max_po
 
     sums = _summed(table, moments, 2 + 3 * width)
     n, n_pos = sums[0], sums[1]
-    prior = float(np.clip(prior, 1e-3, 1 - 1e-3))
+    given = prior is not None
+    prior = float(np.clip(prior, 1e-3, 1 - 1e-3)) if given else 0.5
     center, scale = np.zeros(width), np.ones(width)
-    weights = np.zeros(width)
     bias = N_STATISTICS - 1
-    weights[bias] = np.log(prior / (1 - prior))
+
+    def flat(prior: float) -> np.ndarray:
+        weights = np.zeros(width)
+        weights[bias] = np.log(prior / (1 - prior))
+        return weights
+
+    weights = flat(prior)
     if not n or not n_pos:
         return QualityModel(center, scale, weights, prior)
     center = sums[2 : 2 + width] / n
@@ -152,28 +175,37 @@ def fit_quality(documents: DataFrame, positives: DataFrame, prior: float, max_po
 
         return _summed(table, body, 2 + width + width * width)
 
-    best = weights
-    for _ in range(steps):
-        out = terms(weights)
-        if out[0] / n - prior * out[1] / n_pos < 0:  # the risk of negatives may not fall below zero: go half way back
-            weights = (best + weights) / 2
-            continue
+    def fitted(weights: np.ndarray, prior: float) -> np.ndarray:
         best = weights
-        gradient = out[2 : 2 + width] / n - prior * mean_pos + penalty * weights
-        hessian = out[2 + width :].reshape(width, width) / n + np.diag(penalty + 1e-9)
-        step = np.linalg.solve(hessian, gradient)
-        step *= min(1.0, 4.0 / max(1e-12, np.abs(step).max()))
-        weights = weights - step
-        if np.abs(step).max() < 1e-4:
+        for _ in range(steps):
+            out = terms(weights)
+            if out[0] / n - prior * out[1] / n_pos < 0:  # the risk of negatives may not fall below zero: go half way back
+                weights = (best + weights) / 2
+                continue
             best = weights
-            break
-    return QualityModel(center, scale, best, prior)
+            gradient = out[2 : 2 + width] / n - prior * mean_pos + penalty * weights
+            hessian = out[2 + width :].reshape(width, width) / n + np.diag(penalty + 1e-9)
+            step = np.linalg.solve(hessian, gradient)
+            step *= min(1.0, 4.0 / max(1e-12, np.abs(step).max()))
+            weights = weights - step
+            if np.abs(step).max() < 1e-4:
+                return weights
+        return best
+
+    def spread(w: np.ndarray):
+        def body(x: np.ndarray, pos: np.ndarray) -> np.ndarray:
+            g = np.clip((x - center) / scale @ w, EDGES[0], EDGES[-1])
+            return np.concatenate([np.histogram(part, EDGES)[0] for part in (g, g[pos])])
+
+        return _summed(table, body, 2 * (len(EDGES) - 1))
+
+    if not given:
+        weights = fitted(weights, prior)
+        prior = least_ratio(*np.split(spread(weights), 2))
+    return QualityModel(center, scale, fitted(weights if given else flat(prior), prior), prior)
 
 
 def quality_model(documents: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3, **options) -> QualityModel:
-    """Model from the labels of the ids outside fold ``held_out``; the class prior is their share of good labels."""
-    known = labels.where("doc_id is not null and quality is not null").where(fold(F.col("doc_id"), folds) != held_out)
-    known = known.select("doc_id", "quality")
-    row = known.agg(F.count("*").alias("n"), F.sum((F.col("quality") == 1).cast("long")).alias("good")).first()
-    prior = (row["good"] + 1) / (row["n"] + 2) if row["n"] else 0.5
-    return fit_quality(documents, known.where("quality = 1"), prior, **options)
+    """Model from the good labels of the ids outside fold ``held_out``; bad labels are not looked at."""
+    known = labels.where("doc_id is not null and quality = 1").where(fold(F.col("doc_id"), folds) != held_out)
+    return fit_quality(documents, known.select("doc_id"), **options)
