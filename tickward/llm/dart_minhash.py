@@ -243,19 +243,9 @@ def _verified(pairs: DataFrame, rows: int, texts: DataFrame, documents: DataFram
     return found
 
 
-def _first_labels(links: DataFrame, rows: int) -> DataFrame:
-    """node and component, the smallest node found two links away: enough to tell most of a group of copies apart from
-    the few that its leaders do not reach. A label that is too fine makes more of a bucket others."""
-    both = links.select("x", "y").unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    first = stored(gathered(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("y")), rows), "labels")
-    then = first.select(F.col("x").alias("y"), F.col("y").alias("component"))
-    return gathered(first.join(then, "y").select(F.col("x").alias("node"), "component"), rows)
-
-
 def _stragglers(buckets: DataFrame, rows: int, texts: DataFrame, labels: DataFrame, threshold: float, levels: int) -> DataFrame | None:
     """Pairs (x, y) of different components that share a bucket (key, id, n), of ``rows`` rows; see the module for how."""
-    named = labels.select(F.col("node").alias("id"), "component")
-    members = gathered(buckets.join(named, "id", "left"), rows).withColumn("component", F.coalesce("component", "id"))
+    members = gathered(buckets.join(labels, "id", "left"), rows).withColumn("component", F.coalesce("component", "id"))
     found, used = None, []
     for level in range(levels):
         parts = gathered(members.groupBy("key", "component").agg(F.count("*").alias("c")), rows)
@@ -309,7 +299,7 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5
     members = stored(gathered(buckets.join(shared, "key"), n * bands), "members")
     pairs = members.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold)).select(F.col("id").alias("x"), "y").distinct()
     links = _verified(gathered(pairs, n * 4), n * 4, texts, documents, threshold, width, counted)
-    names = stored(_first_labels(links, n), "labels")
+    names = stored(components(links).withColumnRenamed("node", "id"), "labels")
     rest = _stragglers(members.select("key", "id", "n"), members.count(), texts, names, threshold, levels)
     spent(members, names)
     if rest is not None:
