@@ -1,6 +1,8 @@
 """The threshold index and turns over what has changed."""
 
+import datetime as dt
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from helpers import at, rows, rule, rules, tick, ticks
 from tickward.operators.rules import OPERANDS, evaluate_thresholds, fired_only, latest_ticks, match_rules, pending_rules, threshold_rejects
 from tickward.plans import index as index_module
 from tickward.plans.cycle import fired_log, fold_rules
-from tickward.plans.index import build_index, crossed, indexed_turn
+from tickward.plans.index import build_index, crossed, indexed_turn, prune_index
 from tickward.sources.commits import write_commit
 
 COLUMNS = ["chat_id", "crypto_type", *OPERANDS, "side"]
@@ -89,7 +91,7 @@ def test_turns_over_what_changed_equal_full_turns(spark, out, monkeypatch):
     root, index = f"{out}/rules", f"{out}/index"
     looked = []
     cross = index_module.crossed
-    monkeypatch.setattr(index_module, "crossed", lambda s, i, latest, r: looked.append(rows(latest, "asset")) or cross(s, i, latest, r))
+    monkeypatch.setattr(index_module, "crossed", lambda s, i, latest, r, w: looked.append(rows(latest, "asset")) or cross(s, i, latest, r, w))
 
     def turn(**prices):
         return indexed_turn(spark, root, ticks(spark, *[tick(n, n, p) for n, p in prices.items()]), f"{out}/turns", index)
@@ -125,4 +127,9 @@ def test_rules_stamped_after_the_index_are_matched_beside_it(spark, out):
         assert indexed_turn(spark, root, feed, f"{out}/turns", f"{out}/index") == n - 2
         write_commit(rules(spark, rule(n)), root)
     indexed_turn(spark, root, feed, f"{out}/turns", f"{out}/index")
+    build_index(rules(spark, rule(9)), feed, f"{out}/index")
+    prune_index(spark, f"{out}/index", f"{out}/turns/seen", older_than=dt.timedelta(0))
+    assert [len(os.listdir(f"{out}/index/{part}")) for part in ("data", "prices", "cells", "of")] == [1, 1, 1, 1]
+    assert len(os.listdir(f"{out}/turns/seen/data")) == 1 and os.listdir(f"{out}/turns/seen/work") == []
+    assert crossed(spark, f"{out}/index", latest_ticks(feed)).count() == 1
     assert rows(fired_log(spark, f"{out}/turns", rules(spark)), "chat_id", "batch_id") == [(1, 0), (2, 1), (3, 2), (4, 3)]

@@ -13,7 +13,9 @@ the next fold makes it anew.
 
 from __future__ import annotations
 
+import datetime as dt
 import operator
+import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -26,9 +28,9 @@ from tickward.functions.thresholds import loss_limit, profit_target, unusable
 from tickward.operators.rules import OPERANDS, evaluate_thresholds, latest_ticks, match_rules, pending_rules
 from tickward.plans.cycle import read_rules, run_turn
 from tickward.schemas import RULE, RULE_KEY
-from tickward.sources.commits import Commit, Log, commits, read_commits, read_folders, write_commit
+from tickward.sources.commits import Commit, Log, commits, prune, read_commits, read_folders, write_commit
 from tickward.sources.files import stored
-from tickward.sources.storage import delete, publish, read_text
+from tickward.sources.storage import delete, entries, publish, read_text
 
 BANDS = 16  # of ratios on a side, with about the same number of rules each
 CELL_ROWS = 500_000  # in a folder, on which the number of asset buckets depends
@@ -109,14 +111,17 @@ def _reach(latest: DataFrame, prices: DataFrame, buckets: int) -> DataFrame:
     return moved.groupBy("bucket").agg(F.max(move).alias("top"), F.min(move).alias("low"), F.bool_or(F.col("now").isNull()).alias("lost"))
 
 
-def crossed(spark: SparkSession, root: str, latest: DataFrame, rules: T.StructType = RULE) -> DataFrame:
-    """Indexed rules that fire at the ``latest`` prices (``tick_id, asset, current_price``) or cannot be evaluated, as ``evaluate_thresholds`` gives them."""
+def crossed(spark: SparkSession, root: str, latest: DataFrame, rules: T.StructType = RULE, work: str | None = None) -> DataFrame:
+    """Indexed rules that fire at the ``latest`` prices (``tick_id, asset, current_price``) or cannot be evaluated, as ``evaluate_thresholds`` gives them.
+
+    What the prices reach, a row per bucket, is stored under ``work``, which may go once the result has been used.
+    """
     base = commits(spark, root).base
     if base is None:
         raise ValueError(f"{root} holds no index")
     buckets = int(read_text(spark, f"{root}/of/{base.folder}").split("\n")[0])
     prices = spark.read.parquet(f"{root}/prices/{base.folder}")
-    reach = stored(_reach(latest, prices, buckets), f"{root}/work/{uuid.uuid4().hex}")
+    reach = stored(_reach(latest, prices, buckets), work or f"{root}/work/{uuid.uuid4().hex}")
     far = reach.agg(F.max("top").alias("top"), F.min("low").alias("low"), F.coalesce(F.bool_or("lost"), F.lit(False)).alias("lost")).first()
     cells = spark.read.schema(CELLS).parquet(f"{root}/cells/{base.folder}").join(reach, "bucket")
     index = read_commits(spark, root, _schema(rules))
@@ -142,6 +147,18 @@ def crossed(spark: SparkSession, root: str, latest: DataFrame, rules: T.StructTy
     return reduce(DataFrame.unionByName, found)
 
 
+def prune_index(spark: SparkSession, *roots: str, older_than: dt.timedelta = dt.timedelta(days=1)) -> None:
+    """Delete what indexes, or what turns have seen (``seen`` beside their log), left that newer ones replaced more than ``older_than`` ago."""
+    limit = time.time() - older_than.total_seconds()
+    for root in roots:
+        base = commits(spark, root).base
+        for part in ("prices", "cells", "of", "work"):
+            for entry in entries(spark, f"{root}/{part}"):
+                if (base is None or entry.name != base.folder) and entry.modified < limit:
+                    delete(spark, f"{root}/{part}/{entry.name}")
+        prune(spark, root, older_than)
+
+
 # -- turns -----------------------------------------------------------------------------------
 
 SEEN = T.StructType([T.StructField("tick_id", T.StringType()), T.StructField("asset", T.StringType()), T.StructField("current_price", T.DoubleType())])
@@ -189,7 +206,7 @@ def indexed_turn(
             same = [latest[c].eqNullSafe(before[c]) for c in latest.columns]
             changed = stored(latest.join(before, same, "left_anti"), f"{out}/seen/work/{run}-changed")
         indexed = changed if _known(log, seen) and held - {c.mark for c in log if c.kind == "full"} <= seen else latest
-        pairs = [crossed(spark, index, indexed, schema)]
+        pairs = [crossed(spark, index, indexed, schema, f"{out}/seen/work/{run}-reach")]
         pairs += [evaluate_thresholds(match_rules(pending_rules(read_folders(spark, root, schema, some)), ticks)) for some, ticks in ((old, changed), (new, latest)) if some]
         return reduce(DataFrame.unionByName, pairs)
 
@@ -197,6 +214,6 @@ def indexed_turn(
     turn = run_turn(rules.rows, ticks, out, tiebreak=tiebreak, keys=keys, folded=log.base.note if log.base else -1, matched=matched)
     publish(spark, f"{out}/seen/of/{run}", "\n".join(sorted({c.mark for c in log} | log.named)))
     write_commit(spark.read.parquet(f"{out}/seen/work/{run}"), f"{out}/seen", "full", note=turn, folder=run)
-    for name in (run, f"{run}-changed"):
+    for name in (run, f"{run}-changed", f"{run}-reach"):
         delete(spark, f"{out}/seen/work/{name}")
     return turn
