@@ -195,21 +195,22 @@ def _alike_in_size(a: str, b: str, threshold: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * F.lit(threshold)
 
 
-def _texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
-    """id and text of the ``wanted`` ids (doc_id, distinct).
+def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` may be among those of ``wanted``.
 
-    A bit mask of fixed size over hashed ids drops nearly all other texts where they are read, so that few are shuffled
-    for the exact join. Where ids are many more than its bits it lets more through, and the result is the same.
+    A bit mask of fixed size over hashed keys drops nearly all others where they are read, so that few are shuffled for the exact join that follows.
+    Where keys are many more than its bits it lets more through, and the result is the same.
     """
+    word = F.pmod(F.xxhash64(key), F.lit(MASK_WORDS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(shiftright(xxhash64({key}), 32), 64) as int))")
+    mask = wanted.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    return rows.join(F.broadcast(mask), word == F.col("_word")).where(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
 
-    def place(doc_id: str) -> tuple[Column, Column]:
-        h = F.xxhash64(doc_id)
-        return F.pmod(h, F.lit(MASK_WORDS)), F.expr(f"shiftleft(1L, cast(pmod(shiftright(xxhash64({doc_id}), 32), 64) as int))")
 
-    word, bit = place("doc_id")
-    mask = wanted.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+def _texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """id and text of the ``wanted`` ids (doc_id, distinct)."""
     texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    likely = texts.join(F.broadcast(mask), word == F.col("_word")).where(F.col("_bits").bitwiseAND(bit) != 0)
+    likely = _likely(texts, "doc_id", wanted)
     return likely.select(F.col("doc_id").alias("id"), "text").join(wanted.select(F.col("doc_id").alias("id")), "id", "left_semi")
 
 
@@ -243,8 +244,18 @@ def _verified(pairs: DataFrame, rows: int, texts: DataFrame, documents: DataFram
     return found
 
 
+def _split(held: str, bands: str) -> Column:
+    """The buckets (key, band) that the ``held`` ones of a text are split into by its later ``bands``."""
+
+    def later(bucket: Column) -> Column:
+        rest = F.slice(bands, bucket["band"] + 2, F.size(bands))
+        return F.transform(rest, lambda b, k: F.struct(F.xxhash64(bucket["key"], b).alias("key"), (bucket["band"] + 1 + k).alias("band")))
+
+    return F.flatten(F.transform(held, later))
+
+
 def _stragglers(buckets: DataFrame, rows: int, texts: DataFrame, labels: DataFrame, threshold: float, levels: int) -> DataFrame | None:
-    """Pairs (x, y) of different components that share a bucket (key, id, n), of ``rows`` rows; see the module for how."""
+    """Pairs (x, y) of different components that share a bucket (key, band, id, n), of ``rows`` rows; see the module for how."""
     members = gathered(buckets.join(labels, "id", "left"), rows).withColumn("component", F.coalesce("component", "id"))
     found, used = None, []
     for level in range(levels):
@@ -267,11 +278,14 @@ def _stragglers(buckets: DataFrame, rows: int, texts: DataFrame, labels: DataFra
         heavy = inside.where(F.col("others") > FEW)
         if last or heavy.isEmpty():
             break
-        split = gathered(heavy.join(texts.select("id", "bands"), "id"), rows)
-        members = split.select(F.explode(F.transform("bands", lambda b: F.xxhash64(F.col("key"), b))).alias("key"), "id", "n", "component")
-        shared = gathered(members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), rows)
-        members = stored(gathered(members.join(shared, "key"), rows), "split")
-        used.append(members)
+        # bands after the one that made the bucket: two texts that share two heavy buckets meet where the first is split by the second
+        held = heavy.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_list(F.struct("key", "band")).alias("held"))
+        held = stored(gathered(held.join(texts.select("id", "bands"), "id"), rows, 5_000), "heavy")
+        split = held.select(F.explode(_split("held", "bands")).alias("part"), "id", "n", "component").select("part.*", "id", "n", "component")
+        apart = split.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+        apart = stored(gathered(apart, rows), "apart")
+        members = stored(gathered(_likely(split, "key", apart).join(apart, "key"), rows), "split")
+        used += [held, apart, members]
         rows = members.count()
     spent(*used)
     return found
@@ -293,14 +307,14 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5
     again = stored(gathered(again.select(F.col("id").alias("x"), F.col("first").alias("y")).distinct(), n), "again")
     spent(signed)
     texts = copies.select(F.col("first").alias("id"), "n", "bands", "sketch")
-    buckets = texts.select(F.explode("bands").alias("key"), "id", "n")
+    buckets = texts.select(F.posexplode("bands").alias("band", "key"), "id", "n")
     shared = buckets.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("lead")).where("c > 1")
     shared = gathered(shared.select("key", F.col("lead.id").alias("y"), F.col("lead.n").alias("_n")), n * bands)
     members = stored(gathered(buckets.join(shared, "key"), n * bands), "members")
     pairs = members.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold)).select(F.col("id").alias("x"), "y").distinct()
     links = _verified(gathered(pairs, n * 4), n * 4, texts, documents, threshold, width, counted)
     names = stored(components(links).withColumnRenamed("node", "id"), "labels")
-    rest = _stragglers(members.select("key", "id", "n"), members.count(), texts, names, threshold, levels)
+    rest = _stragglers(members.select("key", "band", "id", "n"), members.count(), texts, names, threshold, levels)
     spent(members, names)
     if rest is not None:
         links = links.unionAll(_verified(gathered(rest.distinct(), n * 4), n * 4, texts, documents, threshold, width, counted))
