@@ -46,8 +46,8 @@ def plain(c: Column) -> Column:
 def plain_texts(*values: Column) -> Column:
     """``plain`` of each value, as an array.
 
-    The long expression that moves a point stands here once, inside a function over the array, and runs only for rows with an exponent: written out
-    per value and wording it makes the generated code of a stage too large to be compiled.
+    The long expression that moves a point stands here once, inside a function over the array, and runs only for rows with an exponent, instead of being
+    written out for each value and wording.
     """
     texts = F.array(*[v.cast("string") for v in values])
     return F.when(F.exists(texts, lambda t: t.contains("E")), F.transform(texts, _without_exponent)).otherwise(texts)
