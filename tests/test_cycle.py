@@ -1,5 +1,7 @@
 import os
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from helpers import at, rows, rule, rules, tick, ticks
@@ -195,3 +197,16 @@ def test_rejects_stay_known_after_the_ledger_is_folded(spark, out):
     run_turn(rules(spark, *bad), ticks(spark, tick(price=151.0)), out)
     found = rows(spark.read.parquet(f"{out}/rejects"), "batch_id", "chat_id")
     assert found == sorted([(0, 5), (0, 6), (1, 7), (1, 8), *((2, n) for n in range(5, 9))])
+
+
+def test_what_follows_from_an_outcome_is_not_stored_and_files_are_small(spark, out):
+    df, feed = sample(spark)
+    cycle = evaluate_cycle(df, feed, store=f"{out}/work")
+    held = pq.ParquetFile(next(Path(f"{out}/work/outcome").glob("*.parquet")))
+    assert not {"side", "profit_target", "loss_limit"} & set(held.schema.names)
+    assert held.metadata.row_group(0).column(0).compression == "ZSTD"
+    lazy = evaluate_cycle(df, feed)
+    assert cycle.fired.columns == lazy.fired.columns and rows(cycle.fired, "*") == rows(lazy.fired, "*")
+    run_turn(df, feed, f"{out}/turns")
+    files = [f for name in ("notifications", "fired") for f in Path(f"{out}/turns/{name}").rglob("*.parquet")]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}

@@ -32,7 +32,7 @@ from tickward.operators.rules import (
 from tickward.schemas import RULE, RULE_KEY
 from tickward.sources.commits import Commit, Log, commits, read_commits, read_folders, source_key, succeed, write_commit
 from tickward.sources.files import stored
-from tickward.sources.storage import delete, entries, no_rows
+from tickward.sources.storage import CODEC, delete, entries, no_rows
 
 
 @dataclass(frozen=True)
@@ -93,8 +93,9 @@ def evaluate_cycle(
     if already is not None:
         outcome = without_alerted(outcome, already, keys)
     if store is not None:
-        # few rules fire in most turns: without the rebalance, one small file per task of the scan
-        outcome = stored(outcome.hint("rebalance"), f"{store}/outcome")
+        # Written by the tasks that match, without another exchange: the files may be small, but a scan reads many in one task and they go with the turn.
+        # The levels and the side follow from what is stored.
+        outcome = evaluate_thresholds(stored(outcome.drop("profit_target", "loss_limit", "side"), f"{store}/outcome"))
     return Cycle(fired_only(outcome), outcome.filter(F.col("side").isNull()), rules, keys, already)
 
 
@@ -223,9 +224,9 @@ def run_turn(
             cycle = evaluate_cycle(rules, ticks, tiebreak=tiebreak, keys=keys, already=log, matched=matched, store=f"{out}/work/{run}")
         else:
             cycle = replace(cycle, fired=without_alerted(cycle.fired, log, keys))
-        cycle.notifications.write.mode("overwrite").parquet(f"{out}/notifications/source={run}/batch_id={number}")
+        cycle.notifications.write.mode("overwrite").parquet(f"{out}/notifications/source={run}/batch_id={number}", compression=CODEC)
         rejects = _not_yet_rejected(spark, out, cycle.rejects.drop("side", "profit_target", "loss_limit"), number)
-        rejects.write.mode("overwrite").parquet(f"{out}/rejects/source={run}/batch_id={number}")
+        rejects.write.mode("overwrite").parquet(f"{out}/rejects/source={run}/batch_id={number}", compression=CODEC)
         fired = _fired_keys(cycle.fired, keys, began, number)
         if write_commit(fired, f"{out}/fired", note=number, batch_id=batch_id, number=number, again=turn is not None, folder=run):
             break

@@ -12,13 +12,13 @@ from pyspark.sql import types as T
 from tickward.functions.times import utc_date, utc_day
 from tickward.operators.retention import day_slice
 from tickward.sources.commits import commits, read_commits, rewrite, source_key, write_commit
-from tickward.sources.storage import exists, no_rows
+from tickward.sources.storage import CODEC, exists, no_rows
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and continue from the files: evaluated once, of known size, and safe against
     a lost executor."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
