@@ -4,7 +4,7 @@ from pathlib import Path
 import pyarrow.parquet as pq
 import pytest
 
-from helpers import at, rows, rule, rules, tick, ticks
+from helpers import at, final_plan, rows, rule, rules, tick, ticks
 from tickward.plans import cycle as cycle_module
 from tickward.plans import upkeep
 from tickward.plans.cycle import compact_rules, drop_turns, evaluate_cycle, fired_log, fold_rejects, fold_rules, read_rules, run_turn, turn_notifications
@@ -210,3 +210,15 @@ def test_what_follows_from_an_outcome_is_not_stored_and_files_are_small(spark, o
     run_turn(df, feed, f"{out}/turns")
     files = [f for name in ("notifications", "fired") for f in Path(f"{out}/turns/{name}").rglob("*.parquet")]
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
+
+
+def test_a_fold_that_purges_does_not_read_flagged_rules(spark, out):
+    df, feed = sample(spark)
+    df = df.filter("chat_id is not null")
+    write_commit(df, f"{out}/rules", "full", partition_by=["is_alerted"])
+    run_turn(df, feed, f"{out}/turns")
+    held, log = read_rules(spark, f"{out}/rules").rows, fired_log(spark, f"{out}/turns", df)
+    folded = cycle_module._folded(held, log, ["chat_id", "crypto_type", "purchase_price"], True)
+    scan = next(n for n in final_plan(folded).split("\n") if "/rules/" in n)
+    assert "PartitionFilters: [" in scan and "is_alerted" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(folded, "chat_id", "is_alerted") == [(2, False), (4, None), (5, False), (6, False)]

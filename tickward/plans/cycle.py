@@ -287,8 +287,8 @@ def read_rules(spark: SparkSession, root: str, schema: T.StructType = RULE) -> R
 
 
 def _folded(rules: DataFrame, log: DataFrame, keys: Sequence[str], purge: bool) -> DataFrame:
-    marked = mark_alerted(rules, log, keys)
-    return purge_flagged(marked) if purge else marked
+    # flagged rules that go anyway are not read, let alone shuffled
+    return without_alerted(purge_flagged(rules), log, keys) if purge else mark_alerted(rules, log, keys)
 
 
 def compact_rules(
