@@ -133,3 +133,20 @@ def test_rules_stamped_after_the_index_are_matched_beside_it(spark, out):
     assert len(os.listdir(f"{out}/turns/seen/data")) == 1 and os.listdir(f"{out}/turns/seen/work") == []
     assert crossed(spark, f"{out}/index", latest_ticks(feed)).count() == 1
     assert rows(fired_log(spark, f"{out}/turns", rules(spark)), "chat_id", "batch_id") == [(1, 0), (2, 1), (3, 2), (4, 3)]
+
+
+def test_a_turn_that_makes_the_index_looks_for_the_latest_ticks_once(spark, out, tmp_path):
+    box = str(tmp_path / "seen")
+
+    @F.udf("double")
+    def seen(price):
+        with open(box, "a") as file:
+            file.write("x")
+        return price
+
+    root, index = f"{out}/rules", f"{out}/index"
+    write_commit(rules(spark, rule(1), rule(2, purchase=1.0)), root)
+    feed = ticks(spark, tick(price=50.0, ts=at("2025-01-01 09:00:00")), tick(price=111.0)).withColumn("current_price", seen("current_price"))
+    indexed_turn(spark, root, feed, f"{out}/turns", index)
+    assert len(open(box).read()) == 2
+    assert rows(fired_log(spark, f"{out}/turns", rules(spark)), "chat_id") == [(1,), (2,)]

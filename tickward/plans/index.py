@@ -82,9 +82,14 @@ def build_index(rules: DataFrame, ticks: DataFrame, root: str, *, marks: Sequenc
 
     Without ``buckets`` there are as many as keep a folder at ``CELL_ROWS`` rows.
     """
+    return index_at(rules, latest_ticks(ticks, tiebreak), root, marks=marks, buckets=buckets, bands=bands)
+
+
+def index_at(rules: DataFrame, latest: DataFrame, root: str, *, marks: Sequence[str] = (), buckets: int | None = None, bands: int = BANDS) -> Commit:
+    """``build_index`` at latest ticks that are known already."""
     spark, folder = rules.sparkSession, uuid.uuid4().hex
     price = _finite(F.col("current_price").cast("double"))
-    prices = latest_ticks(ticks, tiebreak).where(price > 0).groupBy("asset").agg(F.max(price).alias("price"))
+    prices = latest.where(price > 0).groupBy("asset").agg(F.max(price).alias("price"))
     prices = stored(prices, f"{root}/prices/{folder}")
     rows = stored(_levels(rules, prices), f"{root}/work/{folder}")
     buckets = buckets or max(1, rows.count() // (2 * bands * CELL_ROWS))
@@ -187,18 +192,18 @@ def indexed_turn(
     all. Nothing else can fire that did not before. What a turn has seen is committed after it, so a turn that died is looked at again.
     """
     log = commits(spark, root)
-    base = commits(spark, index).base
-    held = set(read_text(spark, f"{index}/of/{base.folder}").split("\n")[1:]) if base else set()
-    if base is None or (log.base and log.base.mark not in held):
-        rules, held = read_commits(spark, root, schema, log), {c.mark for c in log}
-        build_index(rules, ticks, index, marks=sorted(held), tiebreak=tiebreak)
     last = commits(spark, f"{out}/seen").base
     seen = set(read_text(spark, f"{out}/seen/of/{last.folder}").split("\n")) if last else set()
-    beside = [c for c in log.deltas if c.mark not in held]
-    old, new = [c for c in beside if c.mark in seen], [c for c in beside if c.mark not in seen]
     run = uuid.uuid4().hex
 
     def matched(latest: DataFrame) -> DataFrame:
+        base = commits(spark, index).base
+        held = set(read_text(spark, f"{index}/of/{base.folder}").split("\n")[1:]) if base else set()
+        if base is None or (log.base and log.base.mark not in held):
+            held = {c.mark for c in log}
+            index_at(read_commits(spark, root, schema, log), latest, index, marks=sorted(held))
+        beside = [c for c in log.deltas if c.mark not in held]
+        old, new = [c for c in beside if c.mark in seen], [c for c in beside if c.mark not in seen]
         latest.write.parquet(f"{out}/seen/work/{run}")
         changed = latest
         if changed_only and last:
