@@ -121,3 +121,19 @@ def test_receipts_are_folded_and_only_touched_prefixes_are_read(spark, out, tmp_
     deliver(notes([13], "again"), make_send, out, 9)
     fold_receipts(spark, out)
     assert rows(read_receipts(spark, out).where("chat_id = 13"), "error", "turn") == [(None, 9)]
+
+
+def test_delivery_goes_over_notifications_once_before_a_fold(spark, out, tmp_path):
+    box = str(tmp_path / "made")
+
+    @F.udf("string")
+    def made(n):
+        with open(box, "a") as file:
+            file.write("x")
+        return f"n{n}"
+
+    notes = spark.range(40).select(made("id").alias("notification_id"), F.col("id").alias("chat_id"), F.lit("t").alias("text"))
+    deliver(notes, lambda: lambda chat_id, text: None, out, 0)
+    assert len(open(box).read()) == 40 and read_receipts(spark, out).count() == 40
+    again = spark.createDataFrame([("n1", 1, "t"), ("z", 2, "t"), ("z", 2, "t")], "notification_id string, chat_id long, text string")
+    assert rows(unsent(again, out), "notification_id") == [("z",)]

@@ -227,8 +227,7 @@ def delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, lines, price = shared_dir(spark, "receipts"), table(spark, sf_dir, "lineitem"), F.col("l_extendedprice")
     rules = line_rules(lines, price=price, profit=F.col("l_quantity"), loss=F.col("l_quantity"))
     fired = match_rules(pending_rules(rules), latest_ticks(line_ticks(lines, price), LINE_TIEBREAK))
-    fired = stored(fired_only(evaluate_thresholds(fired)), f"{path}/fired")
-    notifications = render_notifications(fired)
+    notifications = stored(render_notifications(fired_only(evaluate_thresholds(fired))), f"{path}/notifications")
 
     def failing() -> Send:
         def send(chat_id: int, text: str) -> None:

@@ -37,18 +37,22 @@ def read_receipts(spark: SparkSession, path: str) -> DataFrame:
 def unsent(notifications: DataFrame, path: str) -> DataFrame:
     """``notification_id, chat_id, text`` of the notifications that no receipt, however old, says were sent; each id once.
 
-    The digests of a turn's notifications begin with some of 256 prefixes; only the folders of these and the receipts not folded yet are read.
+    The digests of a turn's notifications begin with some of 256 prefixes; only the folders of these and the receipts not folded yet are read. Before the
+    first fold there are no folders to choose from, and the notifications are not looked at beforehand.
     """
-    spark = notifications.sparkSession
-    named = notifications.select("notification_id", "chat_id", "text").dropDuplicates(["notification_id"])
-    touched = named.agg(F.collect_set(_prefix())).first()[0]
-    receipts = read_commits(spark, path, STORED).filter(F.col("prefix").isin(touched) & F.col("error").isNull())
-    return named.join(receipts.select("notification_id"), "notification_id", "left_anti")
+    spark, log = notifications.sparkSession, commits(notifications.sparkSession, path)
+    receipts = read_commits(spark, path, STORED, log).filter(F.col("error").isNull())
+    if log.base is not None:
+        receipts = receipts.filter(F.col("prefix").isin(notifications.agg(F.collect_set(_prefix())).first()[0]))
+    # dealt by id once, for the join and for what repeats; nothing is sorted before it is dealt
+    named = notifications.select("notification_id", "chat_id", "text").repartition("notification_id")
+    return named.join(receipts.select("notification_id"), "notification_id", "left_anti").dropDuplicates(["notification_id"])
 
 
 def deliver(notifications: DataFrame, make_send: Callable[[], Send], path: str, turn: int, fold_every: int = FOLD_EVERY) -> None:
     """Send every notification of a turn and keep a receipt per row under ``path`` (``error`` NULL if sent).
 
+    ``notifications`` are best read from files, as ``turn_notifications`` does: they are gone over more than once.
     ``make_send`` runs once per task, so a client or connection is opened per task and never
     shipped. A failed send is a receipt, not a failed job. Calling again is the
     retry: what has a receipt without an error, of whatever turn, is not sent again, what failed is. A task that dies before its
@@ -84,8 +88,9 @@ def fold_receipts(spark: SparkSession, path: str) -> Commit | None:
 
     def settled(receipts: DataFrame) -> DataFrame:
         rank = F.struct(F.col("error").isNull().alias("sent"), "turn", "attempt", "chat_id", "error")
-        last = receipts.groupBy("notification_id").agg(F.max(rank).alias("last"))
-        kept = last.select("notification_id", "last.chat_id", "last.error", "last.turn", "last.attempt", _prefix().alias("prefix"))
-        return kept.repartition("prefix")
+        # dealt by prefix, as it is written, which all receipts of a notification share: one exchange for both
+        dealt = receipts.withColumn("prefix", _prefix()).repartition("prefix")
+        last = dealt.groupBy("prefix", "notification_id").agg(F.max(rank).alias("last"))
+        return last.select("notification_id", "last.chat_id", "last.error", "last.turn", "last.attempt", "prefix")
 
     return rewrite(spark, path, STORED, settled, partition_by=["prefix"])
