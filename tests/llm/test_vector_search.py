@@ -7,7 +7,7 @@ import pytest
 
 from llm_data import shipped  # noqa: F401
 from tickward.llm import perm_index
-from tickward.llm.nra_topk import exact_top
+from tickward.llm.nra_topk import SortedLists, exact_top
 from tickward.llm.perm_index import nearest
 
 SCHEMA = "vec_id long, embedding array<float>, rank int, score string, x string"
@@ -104,3 +104,18 @@ def test_repeated_rows_crowd_nobody_out(spark, find):
     several = good + [(0, [9.0, 9.0]), (2, [2.5, 0.0])]
     got = sorted((r.rank, r.vec_id) for r in find(table(spark, several)).collect())
     assert got == [(1, 1), (2, 2), (3, 2)]
+
+
+@pytest.mark.parametrize("size", [1, 50, 2**28])
+def test_bounds_of_many_queries_at_once_lose_no_row(size):
+    rng = np.random.default_rng(size)
+    x, q = (rng.integers(-size, size + 1, (n, 8)) for n in (700, 600))
+    allowed = rng.random((600, 700)) < 0.9
+    allowed[0] = False
+    allowed[1, 5:] = False
+    found = SortedLists(x).candidates(q, 10, allowed)
+    for vector, may, rows in zip(q, allowed, found, strict=True):
+        scores = [int(s) for s in x @ vector]
+        last = sorted((s for s, m in zip(scores, may) if m), reverse=True)[:10][-1:]
+        want = {j for j in np.flatnonzero(may) if scores[j] >= last[0]}
+        assert want <= set(rows) <= set(np.flatnonzero(may))

@@ -22,6 +22,10 @@ from tickward.llm.vector_blocks import prepared, search, top
 STOPS = (0.1, 0.75)
 
 
+#: Queries whose bounds are held at once, and the largest sum that doubles hold exactly.
+TOGETHER, EXACT = 256, 2**53
+
+
 class SortedLists:
     """One list per dimension of a block of integer vectors, kept as each row's place in it, by ascending component."""
 
@@ -32,29 +36,37 @@ class SortedLists:
         self.place = np.empty(order.shape, dtype=np.int32)
         np.put_along_axis(self.place, order, np.arange(order.shape[1], dtype=np.int32)[None, :], axis=1)
 
-    def candidates(self, q: np.ndarray, k: int, allowed: np.ndarray) -> np.ndarray:
-        """Rows that hold the ``k`` best allowed ones, every row that ties with the last included."""
+    def _read_to(self, stop: float) -> tuple[np.ndarray, np.ndarray]:
+        """What stands for each component in the lower and in the upper bound when a share ``stop`` of every list has been read:
+        first the lists read from the top, for positive query components, then those read from the bottom."""
         n = self.columns.shape[1]
-        rows = np.flatnonzero(allowed)
-        up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
-        dims = np.concatenate([up, down])
-        weight = q[dims, None]
-        worst = np.concatenate([self.sorted[up, 0], self.sorted[down, -1]])[:, None] * weight
-        for stop in STOPS:
-            if len(rows) <= k or not len(dims):
-                break
-            depth = int(np.ceil(stop * n))
-            reached = np.concatenate([self.sorted[up, n - depth], self.sorted[down, depth - 1]])[:, None] * weight
-            places, parts = self.place[dims], self.columns[dims]
-            if len(rows) < n:
-                places, parts = places[:, rows], parts[:, rows]
-            read = np.concatenate([places[: len(up)] >= n - depth, places[len(up) :] < depth])
-            parts = parts * weight
-            lower = np.where(read, parts, worst).sum(axis=0)
-            upper = np.where(read, parts, reached).sum(axis=0)
-            bar = np.partition(lower, len(rows) - k)[len(rows) - k]
-            rows = rows[upper >= bar]
-        return rows
+        depth = int(np.ceil(stop * n))
+        top, bottom = self.place >= n - depth, self.place < depth
+        lower = [np.where(top, self.columns, self.sorted[:, :1]), np.where(bottom, self.columns, self.sorted[:, -1:])]
+        upper = [np.where(top, self.columns, self.sorted[:, n - depth, None]), np.where(bottom, self.columns, self.sorted[:, depth - 1, None])]
+        return np.concatenate(lower), np.concatenate(upper)
+
+    def candidates(self, queries: np.ndarray, k: int, allowed: np.ndarray) -> list[np.ndarray]:
+        """Per query, rows that hold the ``k`` best of those ``allowed`` (a row of it per query), every row that ties with the last included.
+
+        Bounds are sums over dimensions of query component times what is known of the row's, so those of all rows and queries are two products of
+        matrices per stop, in doubles where these hold every sum exactly.
+        """
+        most = [int(max(m.max(initial=0), -m.min(initial=0))) for m in (queries, self.columns)]
+        kind = np.float64 if most[0] * most[1] * max(1, len(self.columns)) < EXACT else np.int64
+        known = [tuple(m.astype(kind) for m in self._read_to(stop)) for stop in STOPS]
+        found: list[np.ndarray] = []
+        for first in range(0, len(queries), TOGETHER):
+            q = queries[first : first + TOGETHER]
+            q = np.concatenate([np.maximum(q, 0), np.minimum(q, 0)], axis=1).astype(kind)
+            left = allowed[first : first + TOGETHER].copy()
+            for lower, upper in known:
+                bounds = np.where(left, q @ lower, -np.inf if kind is np.float64 else np.iinfo(kind).min)
+                at = max(0, bounds.shape[1] - k)
+                bar = np.partition(bounds, at, axis=1)[:, at, None]
+                left &= (q @ upper >= bar) | (left.sum(axis=1) <= k)[:, None]
+            found += [np.flatnonzero(rows) for rows in left]
+        return found
 
 
 def exact_top(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, block_rows: int = 2048) -> DataFrame:
@@ -63,10 +75,7 @@ def exact_top(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int =
     def best_of(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray) -> list:
         x, q = (np.floor(scale * m).astype(np.int64) for m in (x, q))
         lists = SortedLists(x)
-        found = []
-        for query_id, vector in zip(query_ids, q, strict=True):
-            rows = lists.candidates(vector, k, ids != query_id)
-            found.append(top(ids[rows], x[rows] @ vector, k))
-        return found
+        rows = lists.candidates(q, k, ids[None, :] != query_ids[:, None])
+        return [top(ids[some], x[some] @ vector, k) for some, vector in zip(rows, q, strict=True)]
 
     return search(prepared(vectors, zero=True), prepared(queries, zero=True), best_of, k, "long", block_rows)
