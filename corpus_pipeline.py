@@ -65,7 +65,8 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of 2048 tokens."""
     ship(spark)
-    return pack(cut_documents(docs))
+    # the last of five stages on the same executors: fewer spellings held, for more time in the tokenizer
+    return pack(cut_documents(docs, remembered=50_000))
 
 
 STAGES = [

@@ -115,3 +115,18 @@ def test_special_tokens_in_any_case(spark):
     want = {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in texts}
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in cut_documents(docs, with_ids=True).collect()}
     assert got == want
+
+
+def test_a_worker_holds_few_spellings_and_hands_memory_back_first(monkeypatch):
+    from tickward.llm import best_fit, common
+
+    encoder = best_fit.WordTokenizer(best_fit.public_tokenizers.path(best_fit.TOKENIZER), 50_000)
+    whole = encoder.encode(" ".join(f"w{n}" for n in range(1000)))
+    for start in range(0, 150_000, 1000):
+        encoder.encode(" ".join(f"w{n}" for n in range(start, start + 1000)))
+    assert len(encoder.known) + len(encoder.known.before) <= 2 * 51_001
+    assert encoder.encode(" ".join(f"w{n}" for n in range(1000))) == whole
+    calls = []
+    monkeypatch.setattr(common, "_release", lambda: calls.append("release"))
+    list(common.released(lambda batches: (calls.append(b) for b in batches))(iter("ab")))
+    assert calls == ["release", "a", "b", "release"]

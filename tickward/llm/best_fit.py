@@ -95,9 +95,9 @@ class WordTokenizer:
         return b"".join([known[w] for w in lower.split()])
 
 
-def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | None = None, with_ids: bool = False, remembered: int = 200_000) -> DataFrame:
     """Pieces of at most ``capacity`` ids per document (doc_id, text): doc_id, piece, start, length, ids_crc32 and, if
-    asked for, ids as little-endian bytes. Every document ends in the closing id."""
+    asked for, ids as little-endian bytes. Every document ends in the closing id. A task remembers up to twice ``remembered`` spellings."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
 
@@ -105,7 +105,7 @@ def cut_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str | N
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokenizer(path)
+        encoder = WordTokenizer(path, remembered)
         columns: list[list] = [[] for _ in names]
         held = 0
         for doc_id, text in rows_of(batches, "doc_id", "text"):

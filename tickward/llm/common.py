@@ -85,17 +85,23 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(name).to_pylist() for name in names), strict=True)
 
 
+def _release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def released(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``task`` that hands its memory back to the system when it ends, since Python workers outlive their tasks."""
+    """``task`` that hands memory back to the system when it ends, since Python workers outlive their tasks, and before it begins, since
+    functions that ran in its worker before may not have done so."""
 
     def run(batches: Iterator) -> Iterator:
+        _release()
         try:
             yield from task(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL(None).malloc_trim(0)
+            _release()
 
     return run
 
