@@ -102,3 +102,30 @@ def test_counted_shingles_tell_repetitions_apart(spark):
     rows = [(1, "a b c d e " * 30), (2, "a b c d e " * 8)]
     assert dict(classes(spark, rows)) == {1: 1, 2: 1}
     assert dict(classes(spark, rows, counted=True)) == {1: 1, 2: 2}
+
+
+def test_near_copies_below_the_threshold_are_not_paired_with_each_other(spark, monkeypatch):
+    compared = []
+    verified = dm._verified
+    monkeypatch.setattr(dm, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    rows = list(enumerate(family(5, 200, 3), 1))
+    want = brute_force(rows)
+    assert len(set(want.values())) > 100
+    assert dict(classes(spark, rows)) == want
+    assert sum(compared) < 40 * len(rows)
+
+
+def test_counted_links_survive_when_all_buckets_are_joined_by_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(dm, "FEW", 0)
+    rng = random.Random(8)
+    texts = []
+    for _ in range(60):
+        words = ("a b c d e " * 12 + "f g h i " * 9).split()
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(1, 9)] = [f"x{rng.randrange(6)}"] * rng.randrange(3)
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    want = brute_force(rows, counted=True)
+    assert 1 < len(set(want.values())) < len(rows)
+    assert dict(classes(spark, rows, counted=True)) == want

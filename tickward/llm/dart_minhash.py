@@ -7,10 +7,12 @@ and each coordinate keeps the earliest dart. Two documents agree in a coordinate
 Jaccard similarity, at a cost that does not depend on k times the number of shingles.
 
 Bands of five coordinates are joined: texts that are equal up to case and white space are collapsed first; every
-member of a bucket is then compared with the bucket's first document, never all with all, which ties a group of copies
-together in one round. Buckets that still hold several components are finished by comparing the few members outside the
-largest one with the rest, or, if those are many, by splitting the bucket by a second and third band. Candidates are checked on
-their signatures and then exactly on their shingles.
+member of a bucket is then compared with two of its documents, never all with all, which ties a group of copies together in
+one round: the bucket's first one, mostly the same in all buckets of a group, and one that is another in every bucket, so that
+a first one unlike the rest keeps no group apart. Buckets that still hold several components are finished by comparing all their members if they are
+few. The texts of larger ones are joined by prefixes: shingles in one order with rare ones first, two sets alike must share one of
+their first shingles, at places that leave enough behind them to share. No pair alike can fail this, and of near copies whose
+likeness lies below the threshold hardly a pair passes. Candidates are checked on their signatures and then exactly on their shingles.
 
 Words are runs without ASCII white space, A-Z in lower case; a text of fewer than five words is one shingle. NULL texts
 and texts without words are alike to nothing. Rows of one id share a class; rows without an id have none. An empty table
@@ -35,7 +37,9 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xD1B54A32D192ED03)
 THIRD = np.uint64(0x8CB92BA72F3D8DD7)
 MASK_WORDS = 1 << 19  # of 64 bits; bounds what is sent to all tasks to pick texts out where they are read
-FEW = 32  # members outside a bucket's largest component that are compared with all of it
+FEW = 8  # members of a bucket that are compared with each other
+CELLS = 1 << 20  # of the counts by which elements are put in order; fewer of them cost time, not links
+PARTS = 64  # that the counts are summed and sent in
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -244,60 +248,129 @@ def _verified(pairs: DataFrame, rows: int, texts: DataFrame, documents: DataFram
     return found
 
 
-def _split(held: str, bands: str) -> Column:
-    """The buckets (key, band) that the ``held`` ones of a text are split into by its later ``bands``."""
-
-    def later(bucket: Column) -> Column:
-        rest = F.slice(bands, bucket["band"] + 2, F.size(bands))
-        return F.transform(rest, lambda b, k: F.struct(F.xxhash64(bucket["key"], b).alias("key"), (bucket["band"] + 1 + k).alias("band")))
-
-    return F.flatten(F.transform(held, later))
-
-
-def _stragglers(buckets: DataFrame, rows: int, texts: DataFrame, labels: DataFrame, threshold: float, levels: int) -> DataFrame | None:
-    """Pairs (x, y) of different components that share a bucket (key, band, id, n), of ``rows`` rows; see the module for how."""
-    members = gathered(buckets.join(labels, "id", "left"), rows).withColumn("component", F.coalesce("component", "id"))
-    found, used = None, []
-    for level in range(levels):
-        parts = gathered(members.groupBy("key", "component").agg(F.count("*").alias("c")), rows)
-        sizes = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("all"))
-        mixed = sizes.where("parts > 1").select("key", F.col("most.component").alias("main"), (F.col("all") - F.col("most.c")).alias("others"))
-        mixed = stored(gathered(mixed, rows), "mixed")
-        used.append(mixed)
-        if mixed.isEmpty():
-            break
-        inside = stored(gathered(members.join(mixed, "key"), rows), "members")
-        used.append(inside)
-        last = level == levels - 1
-        light = inside if last else inside.where(F.col("others") <= FEW)
-        outer = light.where("component <> main").select("key", F.col("id").alias("x"), F.col("n").alias("_n"), F.col("component").alias("_c"))
-        close = light.select("key", F.col("id").alias("y"), "n", "component").join(outer, "key")
-        close = close.where((F.col("component") != F.col("_c")) & _alike_in_size("n", "_n", threshold))
-        close = stored(gathered(close.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), rows), "close")
-        found = close if found is None else found.unionAll(close)
-        heavy = inside.where(F.col("others") > FEW)
-        if last or heavy.isEmpty():
-            break
-        # bands after the one that made the bucket: two texts that share two heavy buckets meet where the first is split by the second
-        held = heavy.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_list(F.struct("key", "band")).alias("held"))
-        held = stored(gathered(held.join(texts.select("id", "bands"), "id"), rows, 5_000), "heavy")
-        split = held.select(F.explode(_split("held", "bands")).alias("part"), "id", "n", "component").select("part.*", "id", "n", "component")
-        apart = split.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-        apart = stored(gathered(apart, rows), "apart")
-        members = stored(gathered(_likely(split, "key", apart).join(apart, "key"), rows), "split")
-        used += [held, apart, members]
-        rows = members.count()
-    spent(*used)
+def _elements(data: bytes, counts: bytes, counted: bool) -> np.ndarray:
+    """A shingle set as hashes of its elements; with ``counted`` a shingle that stands k times gives k of them, so that the similarity of
+    texts is that of sets of elements."""
+    keys = np.frombuffer(data, dtype=np.uint32).astype(np.uint64)
+    if not counted or not counts:
+        return mix64(keys)
+    n = np.frombuffer(counts, dtype=np.uint32).astype(np.int64)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return mix64(np.repeat(keys, n) | nth.astype(np.uint64) << np.uint64(32))
+
+
+def _spread(sets: DataFrame, counted: bool) -> np.ndarray:
+    """In how many of ``sets`` elements stand, summed over those that share one of ``CELLS`` cells."""
+    size = CELLS // PARTS
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(CELLS, dtype=np.int64)
+        for data, n in rows_of(batches, "set", "counts"):
+            np.add.at(held, (_elements(data, n, counted) % np.uint64(CELLS)).astype(np.int64), 1)
+        parts = [k for k in range(PARTS) if held[k * size : (k + 1) * size].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([held[k * size : (k + 1) * size].tobytes() for k in parts], pa.binary())], ["part", "sums"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for part, sums in rows_of(batches, "part", "sums"):
+            held[part] = held.get(part, 0) + np.frombuffer(sums, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([h.tobytes() for h in held.values()], pa.binary())], ["part", "sums"])
+
+    schema = "part int, sums binary"
+    out = np.zeros(CELLS, dtype=np.int64)
+    for row in sets.mapInArrow(released(counts), schema).repartition(16, "part").mapInArrow(released(added), schema).collect():  # at most PARTS of fixed size
+        out[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(row["sums"], dtype=np.int64)
+    return out
+
+
+def _prefixes(sets: DataFrame, threshold: float, counted: bool) -> DataFrame:
+    """id, n and the first elements of each set in an order that is the same for all and has rare elements first.
+
+    Two sets alike by ``threshold`` share one of these (key), and what they share lies at or behind its place (at) in both. Elements of one set alone are left out.
+    """
+    told = sets.sparkSession.sparkContext.broadcast(_spread(sets, counted))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = told.value
+        for batch in batches:
+            ids, sizes, ends, keys, places = [], [], [0], [], []
+            for doc_id, data, counts in rows_of(iter([batch]), "id", "set", "counts"):
+                elements = _elements(data, counts, counted)
+                often = held[(elements % np.uint64(CELLS)).astype(np.int64)]
+                n = len(elements)
+                order = np.lexsort((elements, often))[: n - int(np.ceil((threshold - 1e-9) * n)) + 1]
+                at = np.flatnonzero(often[order] > 1)
+                ids.append(doc_id)
+                sizes.append(n)
+                ends.append(ends[-1] + len(at))
+                keys.append(elements[order[at]].view(np.int64))
+                places.append(at)
+            if not ids:
+                continue
+            inner = pa.StructArray.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(places), pa.int64())], ["key", "at"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), lists], ["id", "n", "first"])
+
+    return sets.mapInArrow(released(first), "id long, n long, first array<struct<key: long, at: long>>")
+
+
+def _apart(places: DataFrame) -> DataFrame:
+    """``places`` (key, component, ...) of the keys that several components hold, and whether they are ``outer``, of another than the key's most frequent one."""
+    parts = places.groupBy("key", "component").agg(F.count("*").alias("c"))
+    sizes = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("most"), F.sum("c").alias("all"))
+    mixed = sizes.where("parts > 1").select("key", F.col("most.component").alias("main"), "all")
+    return places.join(mixed, "key").withColumn("outer", F.col("component") != F.col("main")).drop("main")
+
+
+def _joined(sets: DataFrame, names: DataFrame, rows: int, threshold: float, counted: bool) -> DataFrame:
+    """Pairs (x, y) of different components among ``rows`` sets that may be alike, none that is alike missing.
+
+    Places are joined by what bounds a pair, key, size and place, before the sets that have them are, so that a group of near copies costs as many
+    steps as it has sizes and places, not the square of its sets.
+    """
+    named = _prefixes(sets, threshold, counted).join(names, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    places = stored(named.select(F.explode("first").alias("p"), "id", "n", "component").select("p.key", "p.at", "id", "n", "component"), "places")
+    inside = stored(gathered(_apart(places), rows * 4), "inside")
+    cells = stored(gathered(inside.groupBy("key", "n", "at", "outer").agg(F.min("component").alias("low"), F.max("component").alias("high")), rows * 4), "cells")
+    x = cells.where("outer").select("key", *[F.col(c).alias(f"x_{c}") for c in ("n", "at", "low", "high")])
+    y = cells.select("key", *[F.col(c).alias(f"y_{c}") for c in ("n", "at", "outer", "low", "high")])
+    most = F.least(F.expr("x_n - x_at"), F.expr("y_n - y_at"))
+    one = F.expr("x_low = x_high and y_low = y_high and x_low = y_low")
+    meet = x.join(y, "key").where((most * F.lit(1 + threshold) >= F.expr("x_n + y_n") * F.lit(threshold - 1e-9)) & ~one)
+    meet = meet.drop("x_low", "x_high", "y_low", "y_high")
+    left = inside.where("outer").select("key", F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("id").alias("x"), F.col("component").alias("_c"))
+    right = inside.select("key", F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("outer").alias("y_outer"), F.col("id").alias("y"), "component")
+    both = meet.join(left, ["key", "x_n", "x_at"]).join(right, ["key", "y_n", "y_at", "y_outer"]).where("component <> _c")
+    found = stored(gathered(both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), rows * 4), "close")
+    spent(places, inside, cells)
     return found
 
 
-def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 32, rows: int = 5, counted: bool = False, levels: int = 3) -> DataFrame:
+def _stragglers(buckets: DataFrame, rows: int, names: DataFrame, documents: DataFrame, threshold: float, width: int, counted: bool) -> DataFrame:
+    """Pairs (x, y) of different components that share a bucket (key, id, n), of ``rows`` rows; see the module for how."""
+    members = gathered(buckets.join(names, "id", "left"), rows).withColumn("component", F.coalesce("component", "id"))
+    inside = stored(gathered(_apart(members), rows), "members")
+    light = inside.where(F.col("all") <= FEW)
+    outer = light.where("outer").select("key", F.col("id").alias("x"), F.col("n").alias("_n"), F.col("component").alias("_c"))
+    close = light.select("key", F.col("id").alias("y"), "n", "component").join(outer, "key")
+    close = close.where((F.col("component") != F.col("_c")) & _alike_in_size("n", "_n", threshold))
+    close = stored(gathered(close.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), rows), "close")
+    heavy = stored(gathered(inside.where(F.col("all") > FEW).select(F.col("id").alias("doc_id")).distinct(), rows), "heavy")
+    n = heavy.count()
+    if n:
+        sets = stored(_shingle_sets(gathered(_texts_of(heavy, documents), n, 5_000), width), "shingles")
+        close = close.unionAll(_joined(sets, names, n, threshold, counted))
+        spent(sets)
+    spent(inside, heavy)
+    return close
+
+
+def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 32, rows: int = 5, counted: bool = False) -> DataFrame:
     """doc_id and class_id, the smallest id of its class, of every row of ``documents`` (doc_id, text).
 
     Two texts are linked if the Jaccard similarity of their shingles of ``width`` words is at least ``threshold``; with
     ``counted`` a shingle weighs as often as it stands in a text. A link of exactly 0.8 shares none of 32 bands of 5 with
-    a probability of 0.000003. Where all bands that two texts share are in buckets with more than ``FEW`` members outside the largest component, the
-    texts are compared if they share two of them, or three in buckets that stay so large: then it is missed with 0.00005 or 0.0004.
+    a probability of 0.000003; texts in buckets of more than ``FEW`` members are joined exactly.
     """
     signed = stored(_signatures(documents, bands, rows, width, counted), "signatures")
     n = signed.count()
@@ -308,16 +381,17 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5
     spent(signed)
     texts = copies.select(F.col("first").alias("id"), "n", "bands", "sketch")
     buckets = texts.select(F.posexplode("bands").alias("band", "key"), "id", "n")
-    shared = buckets.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("lead")).where("c > 1")
-    shared = gathered(shared.select("key", F.col("lead.id").alias("y"), F.col("lead.n").alias("_n")), n * bands)
-    members = stored(gathered(buckets.join(shared, "key"), n * bands), "members")
-    pairs = members.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold)).select(F.col("id").alias("x"), "y").distinct()
+    leads = [F.min(F.struct("id", "n")).alias("first"), F.min(F.struct(F.xxhash64("key", "id").alias("by"), "id", "n")).alias("any")]
+    shared = buckets.groupBy("key").agg(F.count("*").alias("c"), *leads).where("c > 1").drop("c")
+    members = stored(gathered(buckets.join(gathered(shared, n * bands), "key"), n * bands), "members")
+    led = [members.select("id", "n", F.col(f"{lead}.id").alias("y"), F.col(f"{lead}.n").alias("_n")) for lead in ("first", "any")]
+    pairs = led[0].unionAll(led[1]).where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold))
+    pairs = pairs.select(F.least("id", "y").alias("x"), F.greatest("id", "y").alias("y")).distinct()
     links = _verified(gathered(pairs, n * 4), n * 4, texts, documents, threshold, width, counted)
     names = stored(components(links).withColumnRenamed("node", "id"), "labels")
-    rest = _stragglers(members.select("key", "band", "id", "n"), members.count(), texts, names, threshold, levels)
+    rest = _stragglers(members.select("key", "id", "n"), members.count(), names, documents, threshold, width, counted)
     spent(members, names)
-    if rest is not None:
-        links = links.unionAll(_verified(gathered(rest.distinct(), n * 4), n * 4, texts, documents, threshold, width, counted))
+    links = links.unionAll(_verified(gathered(rest.distinct(), n * 4), n * 4, texts, documents, threshold, width, counted))
     spent(copies)
     labels = stored(components(links.unionAll(again)), "labels")
     named = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
