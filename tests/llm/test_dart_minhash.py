@@ -129,3 +129,33 @@ def test_counted_links_survive_when_all_buckets_are_joined_by_prefixes(spark, mo
     want = brute_force(rows, counted=True)
     assert 1 < len(set(want.values())) < len(rows)
     assert dict(classes(spark, rows, counted=True)) == want
+
+
+def test_a_group_of_near_copies_costs_few_comparisons(spark, monkeypatch):
+    compared = []
+    verified = dm._verified
+    monkeypatch.setattr(dm, "_verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    texts = [t for edits, size in ((1, 150), (4, 20)) for t in family(6, size, edits)]
+    random.Random(9).shuffle(texts)
+    rows = list(enumerate(texts, 1))
+    want = brute_force(rows)
+    assert 1 < len(set(want.values())) < len(rows)
+    assert dict(classes(spark, rows)) == want
+    assert sum(compared) < 10 * len(rows)
+
+
+@pytest.mark.parametrize("counted", [False, True])
+def test_sets_differ_by_at_least_as_many_elements_as_marks(spark, counted):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("a b c d".split()) for _ in range(k)) for k in (1, 4, 60, 90, 2000, 2000)] + family(7, 4, 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    sets = dm._shingle_sets(docs, 5)
+    marks = {r["id"]: r["marks"] for r in dm._marks(sets, counted).collect()}
+    elements = {r["id"]: Counter(dm._elements(r["set"], r["counts"], counted).tolist()) for r in sets.collect()}
+    for a in marks:
+        for b in marks:
+            differ = sum(((elements[a] - elements[b]) + (elements[b] - elements[a])).values())
+            bits = sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) + 2**64).bit_count() for x, y in zip(marks[a], marks[b], strict=True))
+            assert len(marks[a]) == dm.MARKS // 64
+            assert bits <= differ
+            assert bits or not differ or a == b

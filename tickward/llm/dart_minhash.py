@@ -7,12 +7,13 @@ and each coordinate keeps the earliest dart. Two documents agree in a coordinate
 Jaccard similarity, at a cost that does not depend on k times the number of shingles.
 
 Bands of five coordinates are joined: texts that are equal up to case and white space are collapsed first; every
-member of a bucket is then compared with two of its documents, never all with all, which ties a group of copies together in
-one round: the bucket's first one, mostly the same in all buckets of a group, and one that is another in every bucket, so that
-a first one unlike the rest keeps no group apart. Buckets that still hold several components are finished by comparing all their members if they are
+member of a bucket is then compared with two of its documents, never all with all. The bucket's first one, mostly the same in all
+buckets of a group, ties a group of copies together in one round. One that is another in every bucket follows, so that a first one
+unlike the rest keeps no group apart; only members that are not tied to it by then are compared with it. Buckets that still hold several components are finished by comparing all their members if they are
 few. The texts of larger ones are joined by prefixes: shingles in one order with rare ones first, two sets alike must share one of
 their first shingles, at places that leave enough behind them to share. No pair alike can fail this, and of near copies whose
-likeness lies below the threshold hardly a pair passes. Candidates are checked on their signatures and then exactly on their shingles.
+likeness lies below the threshold few pass. What passes must not differ by more, in bits that stand for the sets, than sets
+alike can. Candidates are checked on their signatures and then exactly on their shingles.
 
 Words are runs without ASCII white space, A-Z in lower case; a text of fewer than five words is one shingle. NULL texts
 and texts without words are alike to nothing. Rows of one id share a class; rows without an id have none. An empty table
@@ -40,6 +41,7 @@ MASK_WORDS = 1 << 19  # of 64 bits; bounds what is sent to all tasks to pick tex
 FEW = 8  # members of a bucket that are compared with each other
 CELLS = 1 << 20  # of the counts by which elements are put in order; fewer of them cost time, not links
 PARTS = 64  # that the counts are summed and sent in
+MARKS = 512  # bits that stand for a set; sets of more than some 700 elements fill them, and more of their pairs are compared
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -314,6 +316,21 @@ def _prefixes(sets: DataFrame, threshold: float, counted: bool) -> DataFrame:
     return sets.mapInArrow(released(first), "id long, n long, first array<struct<key: long, at: long>>")
 
 
+def _marks(sets: DataFrame, counted: bool) -> DataFrame:
+    """id and ``MARKS`` bits of each set, each whether an odd number of its elements falls on it: two sets differ by at least as many elements as bits."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks = [], []
+            for doc_id, data, counts in rows_of(iter([batch]), "id", "set", "counts"):
+                spots = (_elements(data, counts, counted) % np.uint64(MARKS)).astype(np.int64)
+                ids.append(doc_id)
+                marks.append(np.packbits(np.bincount(spots, minlength=MARKS) % 2 == 1).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.list_(pa.int64()))], ["id", "marks"])
+
+    return sets.mapInArrow(released(mark), "id long, marks array<long>")
+
+
 def _apart(places: DataFrame) -> DataFrame:
     """``places`` (key, component, ...) of the keys that several components hold, and whether they are ``outer``, of another than the key's most frequent one."""
     parts = places.groupBy("key", "component").agg(F.count("*").alias("c"))
@@ -326,7 +343,7 @@ def _joined(sets: DataFrame, names: DataFrame, rows: int, threshold: float, coun
     """Pairs (x, y) of different components among ``rows`` sets that may be alike, none that is alike missing.
 
     Places are joined by what bounds a pair, key, size and place, before the sets that have them are, so that a group of near copies costs as many
-    steps as it has sizes and places, not the square of its sets.
+    steps as it has sizes and places, not the square of its sets. Where sets do meet, the bits that stand for them are compared within the join.
     """
     named = _prefixes(sets, threshold, counted).join(names, "id", "left").withColumn("component", F.coalesce("component", "id"))
     places = stored(named.select(F.explode("first").alias("p"), "id", "n", "component").select("p.key", "p.at", "id", "n", "component"), "places")
@@ -338,11 +355,15 @@ def _joined(sets: DataFrame, names: DataFrame, rows: int, threshold: float, coun
     one = F.expr("x_low = x_high and y_low = y_high and x_low = y_low")
     meet = x.join(y, "key").where((most * F.lit(1 + threshold) >= F.expr("x_n + y_n") * F.lit(threshold - 1e-9)) & ~one)
     meet = meet.drop("x_low", "x_high", "y_low", "y_high")
-    left = inside.where("outer").select("key", F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("id").alias("x"), F.col("component").alias("_c"))
-    right = inside.select("key", F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("outer").alias("y_outer"), F.col("id").alias("y"), "component")
-    both = meet.join(left, ["key", "x_n", "x_at"]).join(right, ["key", "y_n", "y_at", "y_outer"]).where("component <> _c")
+    marks = stored(_marks(sets, counted), "marks")
+    marked = inside.join(marks, "id")
+    left = marked.where("outer").select("key", F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("id").alias("x"), F.col("component").alias("_c"), F.col("marks").alias("_m"))
+    right = marked.select("key", F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("outer").alias("y_outer"), F.col("id").alias("y"), "component", "marks")
+    differ = F.expr(" + ".join(f"bit_count(marks[{k}] ^ _m[{k}])" for k in range(MARKS // 64)))
+    near = differ * F.lit(1 + threshold) <= F.expr("x_n + y_n") * F.lit(1 - threshold + 1e-9)
+    both = meet.join(left, ["key", "x_n", "x_at"]).join(right, ["key", "y_n", "y_at", "y_outer"]).where(F.expr("component <> _c") & near)
     found = stored(gathered(both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), rows * 4), "close")
-    spent(places, inside, cells)
+    spent(places, inside, cells, marks)
     return found
 
 
@@ -365,6 +386,13 @@ def _stragglers(buckets: DataFrame, rows: int, names: DataFrame, documents: Data
     return close
 
 
+def _led(members: DataFrame, lead: str, threshold: float) -> DataFrame:
+    """Pairs (x, y) of each of ``members`` (id, n) and the one named ``lead`` of its bucket."""
+    pairs = members.select("id", "n", F.col(f"{lead}.id").alias("y"), F.col(f"{lead}.n").alias("_n"))
+    pairs = pairs.where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold))
+    return pairs.select(F.least("id", "y").alias("x"), F.greatest("id", "y").alias("y")).distinct()
+
+
 def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5, bands: int = 32, rows: int = 5, counted: bool = False) -> DataFrame:
     """doc_id and class_id, the smallest id of its class, of every row of ``documents`` (doc_id, text).
 
@@ -384,15 +412,20 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, width: int = 5
     leads = [F.min(F.struct("id", "n")).alias("first"), F.min(F.struct(F.xxhash64("key", "id").alias("by"), "id", "n")).alias("any")]
     shared = buckets.groupBy("key").agg(F.count("*").alias("c"), *leads).where("c > 1").drop("c")
     members = stored(gathered(buckets.join(gathered(shared, n * bands), "key"), n * bands), "members")
-    led = [members.select("id", "n", F.col(f"{lead}.id").alias("y"), F.col(f"{lead}.n").alias("_n")) for lead in ("first", "any")]
-    pairs = led[0].unionAll(led[1]).where((F.col("id") != F.col("y")) & _alike_in_size("n", "_n", threshold))
-    pairs = pairs.select(F.least("id", "y").alias("x"), F.greatest("id", "y").alias("y")).distinct()
-    links = _verified(gathered(pairs, n * 4), n * 4, texts, documents, threshold, width, counted)
+    led = _led(members, "first", threshold)
+    links = _verified(gathered(led, n * 4), n * 4, texts, documents, threshold, width, counted)
+    names = stored(components(links).withColumnRenamed("node", "id"), "labels")
+    x, y = (names.select(F.col("id").alias(c), F.col("component").alias(f"_{c}")) for c in ("x", "y"))
+    led = _led(members.where("any.id <> first.id"), "any", threshold).join(x, "x", "left").join(y, "y", "left")
+    led = gathered(led.where(F.coalesce("_x", "x") != F.coalesce("_y", "y")).select("x", "y"), n * 4)
+    links = links.unionAll(_verified(led, n * 4, texts, documents, threshold, width, counted))
+    spent(names)
     names = stored(components(links).withColumnRenamed("node", "id"), "labels")
     rest = _stragglers(members.select("key", "id", "n"), members.count(), names, documents, threshold, width, counted)
-    spent(members, names)
-    links = links.unionAll(_verified(gathered(rest.distinct(), n * 4), n * 4, texts, documents, threshold, width, counted))
+    spent(members)
+    rest = _verified(gathered(rest.distinct(), n * 4), n * 4, texts, documents, threshold, width, counted)
     spent(copies)
-    labels = stored(components(links.unionAll(again)), "labels")
+    labels = stored(components(names.unionAll(rest).unionAll(again)), "labels")
+    spent(names)
     named = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
     return documents.select("doc_id").join(named, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
