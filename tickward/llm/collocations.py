@@ -1,14 +1,13 @@
 """Phrases whose words go together, mined from the suffixes of all texts by multikey quicksort.
 
 Texts are split into pieces at punctuation and line ends, pieces into words; a phrase never crosses a piece. Every word begins a
-suffix, of which four words count. Depth by depth, infrequent leading words, pairs and threes are given up before their suffixes
+suffix, of which four words count. Depth by depth, infrequent leading words and pairs are given up before their suffixes
 are sent anywhere:
 
 1. words are counted per language,
-2. two and three neighbours that are all frequent words are counted under a hash, which can only overstate a count; tasks send the hashes
-   of a slice of all hashes in one piece, in order, of which little more than two bytes each are left once compressed,
-3. suffixes whose leading pair may be frequent, as far as all their twos and threes may be, are routed and sorted to depth four, which counts
-   all phrases exactly.
+2. neighbours that are both frequent words are counted under a hash of the pair, which can only overstate a pair's count; tasks send the
+   hashes of a slice of all hashes in one piece, in order, of which little more than two bytes a pair are left once compressed,
+3. suffixes whose leading pairs may be frequent are routed and sorted to depth four, which counts all phrases exactly.
 
 A task first merges the equal suffixes of two million words into one pointer with a weight. Pointers are then routed over the whole
 cluster by ranges of leading words: a range ends wherever it is full, within the suffixes of one frequent word or pair too, so a common
@@ -40,7 +39,7 @@ from tickward.llm.common import mix64, released, rows_of, stored
 
 DEPTH = 4  # words of the longest phrase
 MASK_BITS = 1 << 27
-SPOTS = 1 << 32  # hashes that twos and threes are counted under; with more of them than that more of them pass
+SPOTS = 1 << 32  # hashes that pairs are counted under; with more pairs than that more of them pass
 SLICE = 1 << 22  # of the spots, counted at once
 CHUNK = 2_000_000  # words whose equal suffixes are merged before routing
 POINTERS = 400_000  # to a task
@@ -172,8 +171,8 @@ def _slices(spots: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(pairs, pa.binary())], names=["part", "sums"])
 
 
-def _neighbour_keys(documents: DataFrame, mask: bytes, least: int) -> DataFrame:
-    """Spots of all twos and threes of neighbours that stand ``least`` times, and of some that share their spot with others."""
+def _pair_keys(documents: DataFrame, mask: bytes, least: int) -> DataFrame:
+    """Spots of all pairs of neighbours that stand ``least`` times, and of some that share their spot with others."""
     told = documents.sparkSession.sparkContext.broadcast(mask)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,10 +185,8 @@ def _neighbour_keys(documents: DataFrame, mask: bytes, least: int) -> DataFrame:
             frequent = good[numbers]
             starts = np.flatnonzero(frequent[:-1] & frequent[1:])
             pairs, weights = np.unique(numbers[starts] << 32 | numbers[starts + 1], return_counts=True)
-            twos = _keys(lang, hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF]) % SPOTS
-            starts = starts[frequent[np.minimum(starts + 2, len(frequent) - 1)]]  # each text ends in a 0, which is never frequent
-            threes, counts = np.unique(_keys(lang, *(hashes[numbers[starts + k]] for k in range(3))) % SPOTS, return_counts=True)
-            held.append((np.concatenate([twos, threes]), np.minimum(np.concatenate([weights, counts]), least)))  # more than ``least`` tells no more
+            keys = _keys(lang, hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF])
+            held.append((keys % SPOTS, np.minimum(weights, least)))  # more than ``least`` tells no more
             if sum(len(k) for k, _ in held) >= CHUNK:
                 yield from _in_batches(_slices(*(np.concatenate(c) for c in zip(*held, strict=True))), 64)
                 held = []
@@ -212,7 +209,7 @@ def _neighbour_keys(documents: DataFrame, mask: bytes, least: int) -> DataFrame:
 
 
 def _pointers(documents: DataFrame, mask: bytes) -> DataFrame:
-    """Equal suffixes of each chunk merged, with their weight: as many of ``DEPTH`` words, two at least, as all twos and threes of neighbours may be frequent."""
+    """Equal suffixes of each chunk merged, with their weight: as many of ``DEPTH`` words, two at least, as neighbours may be frequent pairs."""
     told = documents.sparkSession.sparkContext.broadcast(mask)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,11 +221,8 @@ def _pointers(documents: DataFrame, mask: bytes) -> DataFrame:
             first, second = pairs >> 32, pairs & 0xFFFFFFFF
             good = (_told(bits, _keys(lang, hashes[first], hashes[second])) & (first > 0) & (second > 0))[of]
             starts = np.flatnonzero(good[:-2])
-            three = np.zeros(len(numbers), dtype=bool)
-            begun = starts[good[starts + 1]]
-            three[begun] = _told(bits, _keys(lang, *(hashes[numbers[begun + k]] for k in range(3))))
-            third = np.where(three[starts], numbers[starts + 2], 0)
-            fourth = np.where(three[starts] & three[starts + 1], numbers[starts + 3], 0)
+            third = np.where(good[starts + 1], numbers[starts + 2], 0)
+            fourth = np.where((third > 0) & good[starts + 2], numbers[starts + 3], 0)
             rest, then = np.unique(third << 32 | fourth, return_inverse=True)
             whole, weights = np.unique(of[starts] << 32 | then, return_counts=True)
             lead, tail = pairs[whole >> 32], rest[whole & 0xFFFFFFFF]
@@ -318,8 +312,8 @@ def phrase_counts(documents: DataFrame, least: int = 30, per_task: int = POINTER
     words = stored(_counted_words(texts), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= least)
-    neighbours = _neighbour_keys(texts, _mask(_word_hashes(frequent)), least)
-    phrases = _sorted_counts(_pointers(texts, _mask(neighbours)), least, per_task)
+    pairs = _pair_keys(texts, _mask(_word_hashes(frequent)), least)
+    phrases = _sorted_counts(_pointers(texts, _mask(pairs)), least, per_task)
     every = frequent.unionByName(phrases, allowMissingColumns=True)
     listed = F.array_compact(F.array(*WORDS))
     return every.select("lang", listed.alias("words"), F.array_join(listed, " ").alias("phrase"), "n"), totals
